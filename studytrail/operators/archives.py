@@ -99,6 +99,11 @@ def _measures(spec: Archive, when: Column | None = None) -> dict[str, Column]:
     return out
 
 
+def counts(events: DataFrame, spec: Archive) -> DataFrame:
+    """An archive without visits: one groupBy."""
+    return events.where(is_submit()).groupBy(*spec.keys).agg(*_named(_measures(spec)))
+
+
 def timeline_of(spec: Archive, **names: str) -> Timeline:
     """The timelines whose order matters to this archive."""
     day = ("dt",) if "dt" in spec.keys else ()
@@ -109,11 +114,12 @@ def timeline_of(spec: Archive, **names: str) -> Timeline:
     return Timeline(("account_id", *(k for k in spec.keys if k != "tag_code")), **names)
 
 
-def mark_visits(events: DataFrame, spec: Archive, line: Timeline) -> DataFrame:
+def mark_visits(events: DataFrame, spec: Archive, line: Timeline, asked: Column | None = None) -> DataFrame:
     """Keep the rows a visit is made of and mark them:
 
     ``opens`` the row starts a visit, ``closes`` it (or the row after it) completes one,
-    ``gap`` seconds that belong to the row's visit.
+    ``gap`` seconds that belong to the row's visit, ``asks`` it starts a run of one question
+    (``asked``: rows known to do so).
     """
     time, marker = line.time, {"_prev_seq": line.seq}
     first = F.col("_prev_seq").isNull()
@@ -138,6 +144,7 @@ def mark_visits(events: DataFrame, spec: Archive, line: Timeline) -> DataFrame:
         {"_next_seq": line.seq, "_next_tag": "tag_code", "_next_time": time},
     )
     opens = first | ~F.col("_prev_tag").eqNullSafe(F.col("tag_code"))
+    known = F.lit(False) if asked is None else F.coalesce(asked, F.lit(False))
     if spec.close_at == "last_submit":
         gap = F.when(~opens, F.col(time) - F.col("_prev_time"))
     else:
@@ -146,7 +153,7 @@ def mark_visits(events: DataFrame, spec: Archive, line: Timeline) -> DataFrame:
         {
             "opens": opens,
             "closes": F.col("_next_seq").isNotNull() & ~F.col("_next_tag").eqNullSafe(F.col("tag_code")),
-            "asks": opens | ~F.col("_prev_question").eqNullSafe(F.col("question_id")),
+            "asks": opens | ~F.col("_prev_question").eqNullSafe(F.col("question_id")) | known,
             "gap": gap,
         }
     )
@@ -163,8 +170,8 @@ def _visit_totals(line: Timeline, fresh: Column, in_time: bool) -> dict[str, Col
         last = F.max(F.when(is_submit(), F.col(line.time)))
         last_open = F.max(F.when(F.col("opens"), F.col(line.time)))
     else:
-        last = F.max(F.when(is_submit(), line.position))["_time"]
-        last_open = F.max(F.when(F.col("opens"), line.position))["_time"]
+        last = F.max(F.when(is_submit(), line.position))[line.time]
+        last_open = F.max(F.when(F.col("opens"), line.position))[line.time]
     open_gap = F.when(opened > closed, last - last_open).otherwise(F.lit(0))
     return {
         "entries": F.count_if(F.col("opens") & fresh),
@@ -210,7 +217,7 @@ def archive(events: DataFrame, spec: Archive | str, rows_per_part: int = ROWS_PE
     """
     spec = ARCHIVES[spec] if isinstance(spec, str) else spec
     if spec.visits is None:
-        return events.where(is_submit()).groupBy(*spec.keys).agg(*_named(_measures(spec)))
+        return counts(events, spec)
     line = timeline_of(spec)
     accounts = Timeline(("account_id",), line.time, line.seq)
     events, cut_line = cut(events, accounts, rows_per_part)
@@ -224,8 +231,16 @@ def archive_factors(events: DataFrame, keys: tuple[str, ...] | str) -> DataFrame
     ``triggers`` is a distinct count and cannot be added up over days or batches.
     """
     keys = FACTORS[keys] if isinstance(keys, str) else keys
+    return factor_totals(factor_accounts(events, keys), keys)
+
+
+def factor_accounts(events: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Answer counters per key and account; these add up over batches."""
     rows = events.where(is_submit()).withColumn("factor", F.explode("factor_codes"))
-    per_account = rows.groupBy(*keys, "account_id").agg(*_named(answer_counters()))
+    return rows.groupBy(*keys, "account_id").agg(*_named(answer_counters()))
+
+
+def factor_totals(per_account: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return (
         per_account.groupBy(*keys)
         .agg(F.count("account_id").alias("triggers"), *(F.sum(c).alias(c) for c in COUNTERS))

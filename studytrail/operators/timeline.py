@@ -1,7 +1,7 @@
 """Rows of a timeline and their neighbours, for timelines of any length.
 
 A timeline is every row that shares ``keys``, in the order of ``(time, seq)``; ``seq`` is
-unique within the timeline. Where no timeline is long, neighbours are plain window
+unique within the timeline. Where rows arrive in batches, ``batch`` orders before time. Where no timeline is long, neighbours are plain window
 functions. Where one key holds a large share of the log, ``cut`` gives its rows a part
 number that rises along the timeline; windows then run per part, and what has to cross
 from one part to the next is taken from a summary that holds one row per part.
@@ -28,10 +28,11 @@ class Timeline:
     time: str = "epoch_s"
     seq: str = "seq"
     part: str | None = None
+    batch: str | None = None
 
     @property
-    def order(self) -> tuple[str, str]:
-        return (self.time, self.seq)
+    def order(self) -> tuple[str, ...]:
+        return (self.time, self.seq) if self.batch is None else (self.batch, self.time, self.seq)
 
     @property
     def position(self) -> Column:
@@ -83,12 +84,9 @@ def cut(
     rows = join_same(df, hint(long), keys, "left_semi").withColumn(
         "_bucket", F.floor(F.col(timeline.seq) / F.lit(SEQ_BUCKET))
     )
-    bucket = (*keys, timeline.time, "_bucket")
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(timeline.time, "_bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    steps = (*timeline.order[:-1], "_bucket")
+    bucket = (*keys, *steps)
+    earlier = Window.partitionBy(*keys).orderBy(*steps).rowsBetween(Window.unboundedPreceding, -1)
     parts = (
         rows.groupBy(*bucket)
         .count()
