@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from studytrail.schema import KEY_JOINER
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is evaluated once per row.
+
+    Plain projections are merged into whatever uses them, which would parse a document once per use;
+    a generator of one row is not.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def payload(value: Column) -> Column:
     """Everything from the first ``{``; NULL where there is none."""
     at = F.instr(value, "{")
@@ -24,14 +33,17 @@ def payload_of_two(value: Column) -> Column:
     return F.when(F.size(parts) == 2, F.concat(F.lit("{"), F.get(parts, F.lit(1))))
 
 
-def one_json(text: Column, schema: T.DataType) -> Column:
-    """Parse text that must be one JSON value of ``schema`` and nothing else; NULL if it is not.
+def json_elements(text: Column, schema: T.DataType) -> Column:
+    """The text parsed as the elements of a JSON array without its brackets; NULL if malformed.
 
-    Wrapped in brackets, text after the value makes the whole malformed or longer than one element.
-    Of repeated keys the last one counts.
+    One JSON value and nothing else gives one element; text after the value gives NULL or more
+    elements. Of repeated keys the last one counts.
     """
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema))
-    return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)))
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema))
+
+
+def only_element(elements: Column) -> Column:
+    return F.when(F.size(elements) == 1, F.get(elements, F.lit(0)))
 
 
 def words(line: Column) -> Column:

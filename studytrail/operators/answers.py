@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from studytrail.functions.text import one_json
+from studytrail.functions.text import json_elements, only_element, with_once
 
 # Delimiter, number of fields and position of the answers.
 DELIMITER = "\x01"
@@ -24,23 +24,26 @@ def fields_of(value: Column, width: int = WIDTH) -> Column:
     return F.when(F.size(parts) <= width, F.concat(parts, missing))
 
 
-def _questions(answers: Column) -> Column:
+def _questions(text: Column, lists: Column, objects: Column) -> Column:
     """(question_id, answer) pairs: the first key of each array element, or every key of one object."""
-    elements = one_json(answers, T.ArrayType(_ANSWERS))
+    elements = only_element(lists)
     whole = ~F.exists(elements, lambda m: m.isNull() | (F.size(m) == 0))
     first = F.transform(elements, lambda m: F.get(F.map_entries(m), F.lit(0)))
-    every = F.map_entries(one_json(answers, _ANSWERS))
-    return F.when(answers.startswith("["), F.when(whole, first)).otherwise(every)
+    return F.when(text.startswith("["), F.when(whole, first)).otherwise(F.map_entries(only_element(objects)))
 
 
 def read_answers(lines: DataFrame, value: str = "value") -> DataFrame:
     """Add ``fields``, ``questions`` and, for rows that cannot be exploded, ``reason``."""
-    read = lines.withColumn("fields", fields_of(F.col(value)))
-    read = read.withColumn("questions", _questions(F.trim(F.get("fields", F.lit(ANSWERS)))))
+    read = with_once(lines, "fields", fields_of(F.col(value)))
+    text = F.trim(F.get("fields", F.lit(ANSWERS)))
+    lists = json_elements(F.when(text.startswith("["), text), T.ArrayType(_ANSWERS))
+    objects = json_elements(F.when(~text.startswith("["), text), _ANSWERS)
+    read = with_once(read, "_found", F.struct(lists.alias("lists"), objects.alias("objects")))
+    read = with_once(read, "questions", _questions(text, F.col("_found.lists"), F.col("_found.objects")))
     reason = F.when(F.col("fields").isNull(), "too many fields").when(
         F.coalesce(F.size("questions"), F.lit(0)) < 1, "no answers"
     )
-    return read.withColumn("reason", reason)
+    return read.withColumn("reason", reason).drop("_found")
 
 
 def explode_answers(read: DataFrame, *keep: str | Column) -> DataFrame:

@@ -65,17 +65,21 @@ def long_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
 
 
 def cut(
-    df: DataFrame, timeline: Timeline, rows_per_part: int = ROWS_PER_PART, part: str = "part"
+    df: DataFrame,
+    timeline: Timeline,
+    rows_per_part: int = ROWS_PER_PART,
+    part: str = "part",
+    counted: DataFrame | None = None,
 ) -> tuple[DataFrame, Timeline]:
     """Cut long timelines into parts of about ``rows_per_part`` consecutive rows.
 
-    One job counts rows per key. Usually no key is long and the frame is returned as it is.
+    One job counts rows per key (of ``counted``, if that is a cheaper frame with most of the rows). Usually no key is long and the frame is returned as it is.
     Otherwise rows of long keys are counted per second (and per run of ``seq`` within it);
     the running count of earlier buckets gives the part, so parts are even whatever the
     distribution over time. Rows of other keys are part 0.
     """
     keys = timeline.keys
-    long = long_keys(df, keys, rows_per_part)
+    long = long_keys(df if counted is None else counted, keys, rows_per_part)
     n_long = long.count()
     if n_long == 0:
         return df, timeline

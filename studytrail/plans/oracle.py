@@ -336,6 +336,19 @@ FROM b GROUP BY rule, url, w""",
     }
 
 
+def streams() -> dict[str, str]:
+    names = ("course", "topic", "section", "tag", "question", "factor", "tag_daily")
+    batch = archives() | usage() | ingest()
+    return {f"stream_archive_{n}": batch[f"archive_{n}"] for n in names} | {
+        "stream_append": batch["ingest_log"],
+        "stream_pass_through": batch["scan_text"],
+        "stream_alert_warn": f"""WITH {LOG}, {CALLS}
+SELECT 'warn' AS rule, url, {_at("epoch_s // 43200 * 43200")} AS at, count(*) AS amount
+FROM c WHERE level = 'warn' GROUP BY url, epoch_s // 43200
+HAVING count(*) >= 3 AND (epoch_s // 43200 + 1) * 43200 <= (SELECT max(epoch_s) - 3600 FROM c)""",
+    }
+
+
 def all_statements() -> dict[str, str]:
-    groups = (archives, usage, ingest, answers, serving, merges, words_and_dates, alerts)
+    groups = (archives, usage, ingest, answers, serving, merges, words_and_dates, alerts, streams)
     return {name: sql for group in groups for name, sql in group().items()}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from studytrail.functions import dates, text
 from studytrail.operators import alerts, answers, archives, merge, serving, usage, words
 from studytrail.plans import rendered
+from studytrail.plans.streams import stream_queries
 from studytrail.plans.study_log import API_GO, OFFLINE_SUFFIX, ONLINE_SUFFIX, study_log
 from studytrail.schema import API_SUBMIT, INDICATORS, WEEKLY_INDICATORS
 from studytrail.session import shared_folder
@@ -293,4 +294,4 @@ def all_queries() -> dict[str, Query]:
         "word_count": lambda spark, sf: words.word_count(_documents(spark, sf)),
         "word_count_topn": lambda spark, sf: words.word_count_topn(_documents(spark, sf), 20),
     }
-    return out
+    return out | stream_queries()

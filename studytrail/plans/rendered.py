@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from studytrail.functions.text import with_once
 from studytrail.operators.answers import ANSWERS, DELIMITER, WIDTH
 from studytrail.operators.archives import is_submit
 from studytrail.plans.study_log import OFFLINE_SUFFIX, ONLINE_SUFFIX
@@ -16,6 +17,10 @@ def _prefix() -> Column:
     return F.concat(F.substring("time", 12, 8), F.lit(".000000 192.0.2.7 "), F.col("seq").cast("string"), F.lit(" "))
 
 
+def _lines(rows: DataFrame, line: Column) -> DataFrame:
+    return with_once(rows, "_line", line).select(F.col("_line").alias("value"))
+
+
 def event_lines(log: DataFrame) -> DataFrame:
     """Archive event lines; submits carry their section as ``module_type``."""
     data = F.struct(
@@ -26,20 +31,20 @@ def event_lines(log: DataFrame) -> DataFrame:
         "ability", "lo_status",
     )
     body = F.to_json(F.struct("time", data.alias("data")))
-    return log.select(F.concat(_prefix(), body).alias("value"))
+    return _lines(log, F.concat(_prefix(), body))
 
 
 def damaged_lines(log: DataFrame) -> DataFrame:
     """All event lines, some of them cut off, followed by other text or without a payload."""
     seq = F.regexp_extract("value", r"^\S+ \S+ (\d+)", 1).cast("bigint")
     line = F.col("value")
-    return event_lines(log).select(
+    damaged = (
         F.when(seq % 97 == 0, F.substring(line, F.lit(1), F.length(line) - 1))
         .when(seq % 101 == 0, F.concat(line, F.lit(" tail")))
         .when(seq % 103 == 0, F.concat(F.substring_index(line, "{", 1), F.lit("noise")))
         .otherwise(line)
-        .alias("value")
     )
+    return with_once(event_lines(log), "damaged", damaged).select(F.col("damaged").alias("value"))
 
 
 def api_log(log: DataFrame) -> DataFrame:
@@ -58,7 +63,7 @@ def api_lines(log: DataFrame) -> DataFrame:
     rows = api_log(log).drop("epoch_s")
     body = F.to_json(F.struct(*rows.columns))
     tail = F.when(F.col("event").cast("bigint") % 89 == 0, ' {"a":1}').otherwise("")
-    return rows.select(F.concat(F.substring("time", 12, 8), F.lit(" 192.0.2.7 1 "), body, tail).alias("value"))
+    return _lines(rows, F.concat(F.substring("time", 12, 8), F.lit(" 192.0.2.7 1 "), body, tail))
 
 
 def usage_log(log: DataFrame) -> DataFrame:
@@ -85,7 +90,7 @@ def answer_lines(log: DataFrame) -> DataFrame:
     fields = [F.col("seq").cast("string"), *(F.lit(f"f{i}") for i in range(1, ANSWERS)), F.col("answers")]
     short = F.concat_ws(DELIMITER, *fields)
     full = F.concat_ws(DELIMITER, *fields, *(F.lit(f"f{i}") for i in range(ANSWERS + 1, WIDTH)))
-    return rows.select(F.when(F.col("seq") % 10 == 0, short).otherwise(full).alias("value"))
+    return _lines(rows, F.when(F.col("seq") % 10 == 0, short).otherwise(full))
 
 
 def call_lines(log: DataFrame) -> DataFrame:
@@ -96,7 +101,7 @@ def call_lines(log: DataFrame) -> DataFrame:
     use_time = F.floor(F.col("value") * 20).cast("string")
     blank = F.lit("-")
     fields = [F.col("time"), F.col("seq").cast("string"), level, blank, blank, blank, use_time, blank, url]
-    return log.select(F.concat_ws("##", *fields).alias("value"))
+    return _lines(log, F.concat_ws("##", *fields))
 
 
 def indicator(log: DataFrame, table: str) -> DataFrame:

@@ -10,7 +10,7 @@ COLUMNS = {
     "seq": "event_id",
     "time": "date_format(ts, 'yyyy-MM-dd HH:mm:ss')",
     "dt": "date_format(ts, 'yyyyMMdd')",
-    "epoch_s": "cast(floor(timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) / 1000000) as bigint)",
+    "epoch_s": "unix_date(cast(ts as date)) * 86400L + hour(ts) * 3600 + minute(ts) * 60 + second(ts)",
     "src_type": "case event_type when 'error' then 'TOPIC_END' when 'signup' then 'SECTION_END' "
     "else 'SUBMIT_QUESTION' end",
     "course_id": "(event_id div 700) % 3",

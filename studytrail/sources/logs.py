@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from studytrail.functions.dates import day_key, epoch_seconds, hour_key
-from studytrail.functions.text import one_json, payload, payload_of_two
+from studytrail.functions.text import json_elements, only_element, payload, payload_of_two, with_once
 from studytrail.schema import API_LOG, API_LOG_INGEST, EVENT
 
 # Numbers are read as text and cast, so that 5 and "5" both count.
@@ -20,11 +20,12 @@ _AS_TEXT = T.StructType(
 _EVENT = T.StructType([T.StructField("time", T.StringType()), T.StructField("data", _AS_TEXT)])
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType, text: Column, value: str = "value") -> DataFrame:
+def parse_lines(lines: DataFrame, schema: T.StructType, text: Column) -> DataFrame:
     """Add ``record`` (NULL where the line is rejected) and ``reason`` (NULL where it is not)."""
-    parsed = lines.withColumn("_text", text).withColumn("record", one_json(F.col("_text"), schema))
-    reason = F.when(F.col("_text").isNull(), "no payload").when(F.col("record").isNull(), "malformed json")
-    return parsed.withColumn("reason", reason).drop("_text")
+    parsed = with_once(lines.withColumn("_text", text), "_found", json_elements(F.col("_text"), schema))
+    record = only_element(F.col("_found"))
+    reason = F.when(F.col("_text").isNull(), "no payload").when(record.isNull(), "malformed json")
+    return parsed.withColumns({"record": record, "reason": reason}).drop("_text", "_found")
 
 
 def rejected(parsed: DataFrame, value: str = "value") -> DataFrame:
@@ -33,7 +34,7 @@ def rejected(parsed: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_events(lines: DataFrame, value: str = "value") -> DataFrame:
-    return parse_lines(lines, _EVENT, payload(F.col(value)), value)
+    return parse_lines(lines, _EVENT, payload(F.col(value)))
 
 
 def event_columns() -> list[Column]:
@@ -58,11 +59,11 @@ def events_of(parsed: DataFrame, *keep: str | Column) -> DataFrame:
 def parse_api_log(lines: DataFrame, value: str = "value") -> DataFrame:
     """Study API log lines: exactly one payload after a blank, nested application document in ``edApp``."""
     schema = T.StructType([*API_LOG.fields, T.StructField("edApp", T.StringType())])
-    return parse_lines(lines, schema, payload_of_two(F.col(value)), value)
+    return parse_lines(lines, schema, payload_of_two(F.col(value)))
 
 
 def parse_ingest_log(lines: DataFrame, value: str = "value") -> DataFrame:
-    return parse_lines(lines, API_LOG_INGEST, payload_of_two(F.col(value)), value)
+    return parse_lines(lines, API_LOG_INGEST, payload_of_two(F.col(value)))
 
 
 def records_of(parsed: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,35 +46,31 @@ def _event_columns(spec: ar.Archive, line: Timeline) -> list[str]:
     return list(dict.fromkeys(cols))
 
 
-def _last(rows: DataFrame, line: Timeline, cond: Column, cols: Sequence[str], kept: Column) -> DataFrame:
-    row = F.struct(*cols, kept.alias(ASKED))
-    best = rows.where(cond).groupBy(*line.keys).agg(F.max_by(row, line.position).alias("_row"))
-    return best.select("_row.*")
-
-
 def next_tail(marked: DataFrame, spec: ar.Archive, line: Timeline, cols: Sequence[str]) -> DataFrame:
     """Rows that later rows of each timeline are compared with.
 
     ``change``: the last row. ``closed``: the submit that opened a visit still open. ``runs``: of the
     latest visit the first row, the first row of its last question and the last row.
     """
-    no, yes = F.lit(False), F.lit(True)
+
+    def last(cond: Column, asked: bool) -> Column:
+        row = F.struct(*cols, F.lit(asked).alias(ASKED))
+        return F.max_by(F.when(cond, row), F.when(cond, line.position))
+
+    every = F.lit(True)
     if spec.visits == "change":
-        return _last(marked, line, yes, cols, no)
+        kept = {"_rows": F.array(last(every, False))}
+    elif spec.visits == "closed":
+        kept = {"_rows": F.array(last(F.col("opens"), False)), "_type": F.max_by("src_type", line.position)}
+    else:
+        first, ask, end = last(F.col("opens"), True), last(F.col("asks"), True), last(every, False)
+        ask = F.when(ask[line.seq] != first[line.seq], ask)
+        end = F.when(~end[line.seq].isin(first[line.seq], F.coalesce(ask[line.seq], first[line.seq])), end)
+        kept = {"_rows": F.array_compact(F.array(first, ask, end))}
+    rows = marked.groupBy(*line.keys).agg(*(c.alias(n) for n, c in kept.items()))
     if spec.visits == "closed":
-        row = F.struct(*cols, no.alias(ASKED))
-        latest = marked.groupBy(*line.keys).agg(
-            F.max_by(F.when(F.col("opens"), row), F.when(F.col("opens"), line.position)).alias("_row"),
-            F.max_by("src_type", line.position).alias("_type"),
-        )
-        return latest.where(F.col("_type") == SUBMIT).select("_row.*")
-    parts = [
-        _last(marked, line, F.col("opens"), cols, yes),
-        _last(marked, line, F.col("asks"), cols, yes),
-        _last(marked, line, yes, cols, no),
-    ]
-    rows = reduce(DataFrame.unionByName, parts)
-    return rows.groupBy(*cols).agg(F.max(ASKED).alias(ASKED))
+        rows = rows.where(F.col("_type") == SUBMIT)
+    return rows.select(F.inline("_rows"))
 
 
 class ArchiveStream:
@@ -123,7 +118,7 @@ class ArchiveStream:
         carried = join_same(tail, touched, self.line.keys, "left_semi").withColumn(ARRIVAL, F.lit(0))
         rows = carried.unionByName(new, allowMissingColumns=True)
         accounts = replace(self.line, keys=("account_id",))
-        rows, cut_line = cut(rows, accounts, self.rows_per_part)
+        rows, cut_line = cut(rows, accounts, self.rows_per_part, counted=new)
         line = cut_line.within(*self.line.keys)
         return ar.mark_visits(rows, spec, line, F.col(ASKED)), line, touched, tail
 
