@@ -2,11 +2,9 @@
 
 Next to the archive itself a *tail* is kept: the few rows of each timeline that a later row still
 has to be compared with. A micro-batch is marked together with the tails of the timelines it
-touches, its additions are merged into the archive, and the tails of those timelines are replaced.
+touches; what it adds to the archive and the new tails of those timelines are written down, and
+neither table is rewritten as a whole but for a fold now and then (see ``versions``).
 Rows count in order of arrival: tails come first, a micro-batch is ordered by (time, seq).
-
-Archive and tails have two places each, written in turn. Batch ``n`` reads what ``n - 1`` wrote and
-overwrites the other place, so a batch that is repeated after a failure gives the same tables.
 """
 
 from __future__ import annotations
@@ -24,19 +22,11 @@ from studytrail.operators.merge import merge_additive
 from studytrail.operators.timeline import ROWS_PER_PART, Timeline, cut, join_same
 from studytrail.schema import SUBMIT
 from studytrail.streaming.sinks import EVERY, each_batch
+from studytrail.streaming.versions import BATCH, Versions
 
 ARRIVAL = "_arrival"
 ASKED = "_asks_kept"
-
-
-def _place(root: str, table: str, batch_id: int) -> str:
-    return f"{root}/{table}/{batch_id % 2}"
-
-
-def _before(spark: SparkSession, root: str, table: str, batch_id: int, schema: T.StructType) -> DataFrame:
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(_place(root, table, batch_id - 1))
+FOLD_EVERY = 20
 
 
 def _event_columns(spec: ar.Archive, line: Timeline) -> list[str]:
@@ -46,11 +36,11 @@ def _event_columns(spec: ar.Archive, line: Timeline) -> list[str]:
     return list(dict.fromkeys(cols))
 
 
-def next_tail(marked: DataFrame, spec: ar.Archive, line: Timeline, cols: Sequence[str]) -> DataFrame:
-    """Rows that later rows of each timeline are compared with.
+def next_tails(marked: DataFrame, spec: ar.Archive, line: Timeline, cols: Sequence[str]) -> DataFrame:
+    """(timeline, tail): the rows that later rows of each timeline are compared with.
 
-    ``change``: the last row. ``closed``: the submit that opened a visit still open. ``runs``: of the
-    latest visit the first row, the first row of its last question and the last row.
+    ``change``: the last row. ``closed``: the submit that opened a visit still open, or none.
+    ``runs``: of the latest visit the first row, the first row of its last question and the last row.
     """
 
     def last(cond: Column, asked: bool) -> Column:
@@ -59,25 +49,32 @@ def next_tail(marked: DataFrame, spec: ar.Archive, line: Timeline, cols: Sequenc
 
     every = F.lit(True)
     if spec.visits == "change":
-        kept = {"_rows": F.array(last(every, False))}
+        tail = F.array(last(every, False))
     elif spec.visits == "closed":
-        kept = {"_rows": F.array(last(F.col("opens"), False)), "_type": F.max_by("src_type", line.position)}
+        is_open = F.max_by("src_type", line.position) == SUBMIT
+        tail = F.array_compact(F.array(F.when(is_open, last(F.col("opens"), False))))
     else:
         first, ask, end = last(F.col("opens"), True), last(F.col("asks"), True), last(every, False)
         ask = F.when(ask[line.seq] != first[line.seq], ask)
         end = F.when(~end[line.seq].isin(first[line.seq], F.coalesce(ask[line.seq], first[line.seq])), end)
-        kept = {"_rows": F.array_compact(F.array(first, ask, end))}
-    rows = marked.groupBy(*line.keys).agg(*(c.alias(n) for n, c in kept.items()))
-    if spec.visits == "closed":
-        rows = rows.where(F.col("_type") == SUBMIT)
-    return rows.select(F.inline("_rows"))
+        tail = F.array_compact(F.array(first, ask, end))
+    return marked.groupBy(*line.keys).agg(tail.alias("tail"))
+
+
+def latest_tails(tails: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return tails.groupBy(*keys).agg(F.max_by("tail", BATCH).alias("tail"))
 
 
 class ArchiveStream:
     """Keeps one archive and its tails under ``root``."""
 
     def __init__(
-        self, root: str, spec: ar.Archive | str, rows_per_part: int = ROWS_PER_PART, keep_days: int | None = None
+        self,
+        root: str,
+        spec: ar.Archive | str,
+        rows_per_part: int = ROWS_PER_PART,
+        keep_days: int | None = None,
+        fold_every: int = FOLD_EVERY,
     ):
         self.root = root
         self.spec = ar.ARCHIVES[spec] if isinstance(spec, str) else spec
@@ -87,40 +84,43 @@ class ArchiveStream:
         line = ar.timeline_of(self.spec)
         self.line = replace(line, batch=ARRIVAL)
         self.cols = _event_columns(self.spec, line) if self.spec.visits else []
+        self.archive = Versions(f"{root}/archive", fold_every)
+        self.tails = Versions(f"{root}/tails", fold_every)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        spark, spec = batch.sparkSession, self.spec
         batch = batch.persist()
         try:
-            if spec.visits is None:
-                delta = ar.counts(batch, spec)
+            if self.spec.visits is None:
+                delta = ar.counts(batch, self.spec)
             else:
-                marked, line, touched, tail = self._mark(spark, batch, batch_id)
-                delta = ar.archive_marked(marked, spec, line, F.col(ARRIVAL) == 1)
-                rest = join_same(tail, touched, self.line.keys, "left_anti")
-                rest = rest.unionByName(next_tail(marked, spec, self.line, self.cols))
-                rest.write.mode("overwrite").parquet(_place(self.root, "tail", batch_id))
-            old = _before(spark, self.root, "archive", batch_id, delta.schema)
-            total = merge_additive(old, delta, spec.keys, spec.measures).withColumn("batch_id", F.lit(batch_id))
-            total.write.mode("overwrite").parquet(_place(self.root, "archive", batch_id))
+                delta = self._write_tails(batch, batch_id)
+            write_added(self.archive, delta, self.spec.keys, self.spec.measures, batch_id)
         finally:
             batch.unpersist()
 
-    def _mark(self, spark: SparkSession, batch: DataFrame, batch_id: int):
-        spec = self.spec
+    def _write_tails(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Write the tails after this batch; returns what the batch adds to the archive."""
+        spec, keys = self.spec, self.line.keys
         relevant = ar.is_submit() if spec.visits != "closed" else ar.is_submit() | (F.col("src_type") == spec.end)
         new = batch.where(relevant).withColumns({ARRIVAL: F.lit(1), ASKED: F.lit(False)})
-        schema = new.select(*self.cols, ASKED).schema
-        tail = _before(spark, self.root, "tail", batch_id, schema)
-        if self.keep_days is not None and "dt" in spec.keys:
-            tail = tail.where(F.col("dt") >= self._oldest_day(batch))
-        touched = new.select(*self.line.keys).distinct()
-        carried = join_same(tail, touched, self.line.keys, "left_semi").withColumn(ARRIVAL, F.lit(0))
-        rows = carried.unionByName(new, allowMissingColumns=True)
+        rows = T.ArrayType(new.select(*self.cols, ASKED).schema)
+        kept = self.tails.rows(batch.sparkSession, batch_id - 1, new.select(*keys).schema.add("tail", rows))
+        if self.keep_days is not None and "dt" in keys:
+            kept = kept.where(F.col("dt") >= self._oldest_day(batch))
+        touched = latest_tails(join_same(kept, new.select(*keys).distinct(), keys, "left_semi"), keys)
+        carried = touched.select(F.inline("tail")).withColumn(ARRIVAL, F.lit(0))
         accounts = replace(self.line, keys=("account_id",))
-        rows, cut_line = cut(rows, accounts, self.rows_per_part, counted=new)
-        line = cut_line.within(*self.line.keys)
-        return ar.mark_visits(rows, spec, line, F.col(ASKED)), line, touched, tail
+        every, cut_line = cut(
+            carried.unionByName(new, allowMissingColumns=True), accounts, self.rows_per_part, counted=new
+        )
+        line = cut_line.within(*keys)
+        marked = ar.mark_visits(every, spec, line, F.col(ASKED))
+        tails = next_tails(marked, spec, self.line, self.cols)
+        if self.tails.is_fold(batch_id):
+            others = latest_tails(join_same(kept, tails, keys, "left_anti"), keys)
+            tails = others.unionByName(tails).where(F.size("tail") > 0)
+        self.tails.write(tails, batch_id)
+        return ar.archive_marked(marked, spec, line, F.col(ARRIVAL) == 1)
 
     def _oldest_day(self, batch: DataFrame) -> Column:
         latest = batch.agg(F.max("dt")).first()[0]
@@ -132,31 +132,35 @@ class ArchiveStream:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The archive as of the last completed batch."""
-        return ar.finish(latest_version(spark, f"{self.root}/archive"), self.spec)
+        return ar.finish(ar.add_up(self.archive.latest(spark), self.spec), self.spec)
 
 
-def latest_version(spark: SparkSession, path: str) -> DataFrame:
-    both = spark.read.parquet(f"{path}/*")
-    latest = both.agg(F.max("batch_id")).first()[0]
-    return both.where(F.col("batch_id") == F.lit(latest)).drop("batch_id")
+def write_added(
+    table: Versions, delta: DataFrame, keys: Sequence[str], measures: Sequence[str], batch_id: int
+) -> None:
+    """Write what a batch adds, or at a fold the sum of everything so far."""
+    if table.is_fold(batch_id):
+        before = table.rows(delta.sparkSession, batch_id - 1, delta.schema)
+        delta = merge_additive(before, delta, keys, measures)
+    table.write(delta, batch_id)
 
 
 class FactorStream:
     """Keeps the ability archive: counters per account are the state, so triggers stay exact."""
 
-    def __init__(self, root: str, keys: Sequence[str] | str):
+    def __init__(self, root: str, keys: Sequence[str] | str, fold_every: int = FOLD_EVERY):
         self.root = root
         self.keys = ar.FACTORS[keys] if isinstance(keys, str) else tuple(keys)
+        self.accounts = Versions(f"{root}/accounts", fold_every)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        spark, by = batch.sparkSession, (*self.keys, "account_id")
         delta = ar.factor_accounts(batch, self.keys)
-        old = _before(spark, self.root, "archive", batch_id, delta.schema)
-        total = merge_additive(old, delta, by, ar.COUNTERS).withColumn("batch_id", F.lit(batch_id))
-        total.write.mode("overwrite").parquet(_place(self.root, "archive", batch_id))
+        write_added(self.accounts, delta, (*self.keys, "account_id"), ar.COUNTERS, batch_id)
 
     def start(self, events: DataFrame, every: str | None = EVERY) -> StreamingQuery:
         return each_batch(events, self.write, f"{self.root}/checkpoint", every)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return ar.factor_totals(latest_version(spark, f"{self.root}/archive"), self.keys)
+        rows, by = self.accounts.latest(spark), (*self.keys, "account_id")
+        per_account = rows.groupBy(*by).agg(*(F.sum(c).alias(c) for c in ar.COUNTERS))
+        return ar.factor_totals(per_account, self.keys)

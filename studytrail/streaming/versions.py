@@ -1,0 +1,48 @@
+"""A keyed table that micro-batches add to.
+
+Batch ``n`` writes only its own additions; every ``fold_every``-th batch writes the whole table
+instead. The table after batch ``n`` is the last whole one and the additions since. Each batch number
+has its own place, so a batch that is repeated after a failure gives the same table; places are used
+again two folds later.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BATCH = "batch_id"
+
+
+@dataclass(frozen=True)
+class Versions:
+    root: str
+    fold_every: int = 20
+
+    def _place(self, batch_id: int) -> str:
+        fold, step = divmod(batch_id, self.fold_every)
+        return f"{self.root}/{fold % 2}/{step}"
+
+    def is_fold(self, batch_id: int) -> bool:
+        return batch_id % self.fold_every == 0
+
+    def rows(self, spark: SparkSession, batch_id: int, schema: T.StructType) -> DataFrame:
+        """All rows that make up the table after ``batch_id``; a key may have several."""
+        schema = T.StructType([f for f in schema.fields if f.name != BATCH]).add(BATCH, T.LongType())
+        if batch_id < 0:
+            return spark.createDataFrame([], schema)
+        first = batch_id - batch_id % self.fold_every
+        return spark.read.schema(schema).parquet(*(self._place(i) for i in range(first, batch_id + 1)))
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        numbered = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        numbered.write.mode("overwrite").parquet(self._place(batch_id))
+
+    def latest(self, spark: SparkSession) -> DataFrame:
+        """Rows that make up the table after the last batch that wrote any."""
+        every = spark.read.parquet(f"{self.root}/*/*")
+        last = every.agg(F.max(BATCH)).first()[0]
+        return self.rows(spark, -1 if last is None else last, every.schema).drop(BATCH)

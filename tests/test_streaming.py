@@ -4,9 +4,10 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from compare import spark_rows
-from pyspark.sql import functions as F
 from studytrail.operators import archives as ar
 from studytrail.plans.study_log import study_log
 from studytrail.sources.messages import table_stream
@@ -18,7 +19,7 @@ def files(spark, sf_dir, tmp_path_factory):
     """The study log as four files in order of arrival."""
     folder = tmp_path_factory.mktemp("stream")
     log = study_log(spark, sf_dir).where("dt < '20240106'")
-    quarter = log.withColumn("q", F.ntile(4).over(__import__("pyspark").sql.Window.orderBy("seq"))).cache()
+    quarter = log.withColumn("q", F.ntile(4).over(Window.orderBy("seq"))).cache()
     for i in range(1, 5):
         quarter.where(F.col("q") == i).drop("q").coalesce(1).write.parquet(f"{folder}/part{i}")
     paths = [glob.glob(f"{folder}/part{i}/*.parquet")[0] for i in range(1, 5)]
@@ -37,9 +38,10 @@ def test_archive_streams_equal_batch(spark, files, tmp_path):
     paths, log, _ = files
     source = tmp_path / "in"
     source.mkdir()
-    streams = {n: ArchiveStream(str(tmp_path / n), n) for n in ("course", "topic", "section", "tag", "question")}
+    names = ("course", "topic", "section", "tag", "question")
+    streams = {n: ArchiveStream(str(tmp_path / n), n, fold_every=2) for n in names}
     streams["tag_daily"] = ArchiveStream(str(tmp_path / "tag_daily"), "tag_daily", keep_days=1)
-    streams["factor"] = FactorStream(str(tmp_path / "factor"), "factor")
+    streams["factor"] = FactorStream(str(tmp_path / "factor"), "factor", fold_every=3)
 
     def drain():
         for s in streams.values():
