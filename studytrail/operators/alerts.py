@@ -62,5 +62,13 @@ def limit_rate(alerts: DataFrame, every: str = "10 minutes", by: Sequence[str] =
 
 
 def limit_rate_stream(alerts: DataFrame, every: str = "10 minutes", by: Sequence[str] = ("rule", "url")) -> DataFrame:
-    """Streaming form: an alert passes unless one of its rule and url passed within the last ``every``."""
-    return alerts.withWatermark("at", every).dropDuplicatesWithinWatermark(list(by))
+    """Streaming form of ``limit_rate``: the first alert to arrive in each interval passes at once.
+
+    What has passed is remembered until the watermark, ``every`` behind, leaves its interval.
+    """
+    return (
+        alerts.withWatermark("at", every)
+        .withColumn("_interval", F.window("at", every)["start"])
+        .dropDuplicatesWithinWatermark([*by, "_interval"])
+        .drop("_interval")
+    )
