@@ -52,8 +52,8 @@ def words(line: Column) -> Column:
     Empty words at the end of a line are dropped, those at the start or between blanks are kept.
     """
     text = F.replace(F.replace(line, F.lit("?"), F.lit("")), F.lit("http"), F.lit("www"))
-    only_blanks = (F.rtrim(text) == "") & (text != "")
-    return F.when(only_blanks, F.array().cast("array<string>")).otherwise(F.split(F.rtrim(text), " "))
+    no_words = F.rlike(line, F.lit("^[? ]* [? ]*$"))
+    return F.when(no_words, F.array().cast("array<string>")).otherwise(F.split(F.rtrim(text), " "))
 
 
 def is_blank(line: Column) -> Column:

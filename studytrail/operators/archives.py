@@ -104,14 +104,14 @@ def counts(events: DataFrame, spec: Archive) -> DataFrame:
     return events.where(is_submit()).groupBy(*spec.keys).agg(*_named(_measures(spec)))
 
 
-def timeline_of(spec: Archive, **names: str) -> Timeline:
+def timeline_of(spec: Archive) -> Timeline:
     """The timelines whose order matters to this archive."""
     day = ("dt",) if "dt" in spec.keys else ()
     if spec.visits == "change":
-        return Timeline(("account_id", *day), **names)
+        return Timeline(("account_id", *day))
     if spec.visits == "closed":
-        return Timeline(("account_id", *spec.keys), **names)
-    return Timeline(("account_id", *(k for k in spec.keys if k != "tag_code")), **names)
+        return Timeline(("account_id", *spec.keys))
+    return Timeline(("account_id", *(k for k in spec.keys if k != "tag_code")))
 
 
 def mark_visits(events: DataFrame, spec: Archive, line: Timeline, asked: Column | None = None) -> DataFrame:
@@ -210,18 +210,28 @@ def finish(total: DataFrame, spec: Archive) -> DataFrame:
     return total
 
 
-def archive(events: DataFrame, spec: Archive | str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+def cut_accounts(events: DataFrame, rows_per_part: int = ROWS_PER_PART) -> tuple[DataFrame, Timeline]:
+    """Cut accounts with more than ``rows_per_part`` rows into parts (see ``timeline.cut``)."""
+    return cut(events, Timeline(("account_id",)), rows_per_part)
+
+
+def archive(
+    events: DataFrame,
+    spec: Archive | str,
+    rows_per_part: int = ROWS_PER_PART,
+    accounts: Timeline | None = None,
+) -> DataFrame:
     """Compute one archive over a frame of archive events.
 
-    Accounts with more than ``rows_per_part`` rows are cut into parts first (see ``timeline.cut``).
+    Long accounts are cut first. Several archives of one frame can share that step: call
+    ``cut_accounts`` once and hand its frame and its ``accounts`` to each.
     """
     spec = ARCHIVES[spec] if isinstance(spec, str) else spec
     if spec.visits is None:
         return counts(events, spec)
-    line = timeline_of(spec)
-    accounts = Timeline(("account_id",), line.time, line.seq)
-    events, cut_line = cut(events, accounts, rows_per_part)
-    line = cut_line.within(*line.keys)
+    if accounts is None:
+        events, accounts = cut_accounts(events, rows_per_part)
+    line = accounts.within(*timeline_of(spec).keys)
     return finish(archive_marked(mark_visits(events, spec, line), spec, line), spec)
 
 

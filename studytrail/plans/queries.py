@@ -19,7 +19,7 @@ from studytrail.sources import logs, tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DATE = "2024-01-11"
-LATER = "20240108"
+LATER = "2024-01-08"
 RUN_TIME = "2024-02-01 00:00:00"
 
 
@@ -128,7 +128,10 @@ def user_avg_duration(log: DataFrame) -> DataFrame:
 
 
 def _previous_day(log: DataFrame, table: str) -> DataFrame:
-    return tables.of_previous_day(rendered.indicator(log, table), RUN_DATE)
+    """The indicator's rows of the day before; the time range reaches the scan of the log."""
+    day = F.lit(RUN_DATE).cast("timestamp_ntz")
+    of_day = log.where((F.col("ts") >= day - F.expr("interval 1 day")) & (F.col("ts") < day))
+    return tables.of_previous_day(rendered.indicator(of_day, table), RUN_DATE)
 
 
 def user_docs(log: DataFrame) -> DataFrame:
@@ -178,11 +181,11 @@ def to_message_frame(log: DataFrame) -> DataFrame:
 
 
 def _early(log: DataFrame) -> DataFrame:
-    return log.where(F.col("dt") < LATER)
+    return log.where(F.col("ts") < F.lit(LATER).cast("timestamp_ntz"))
 
 
 def _late(log: DataFrame) -> DataFrame:
-    return log.where(F.col("dt") >= LATER)
+    return log.where(F.col("ts") >= F.lit(LATER).cast("timestamp_ntz"))
 
 
 def merge_additive(log: DataFrame) -> DataFrame:
