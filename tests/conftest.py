@@ -9,8 +9,17 @@ from studytrail.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", "4")
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
+    session = local_session(
+        "tests",
+        "8",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.warehouse.dir": str(folder / "warehouse"),
+            "spark.checkpoint.dir": str(folder / "shared"),
+        },
+    )
     yield session
     session.stop()
 
