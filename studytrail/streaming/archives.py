@@ -21,7 +21,7 @@ from studytrail.operators import archives as ar
 from studytrail.operators.merge import merge_additive
 from studytrail.operators.timeline import ROWS_PER_PART, Timeline, cut, join_same
 from studytrail.schema import SUBMIT
-from studytrail.streaming.sinks import EVERY, each_batch
+from studytrail.streaming.sinks import EVERY, each_batch, persisted
 from studytrail.streaming.versions import BATCH, Versions
 
 ARRIVAL = "_arrival"
@@ -88,25 +88,36 @@ class ArchiveStream:
         self.tails = Versions(f"{root}/tails", fold_every)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        """Add a micro-batch; it is read several times, so the caller should persist it."""
+        spec = self.spec
+        if spec.visits is None:
+            write_added(self.archive, ar.counts(batch, spec), spec.keys, spec.measures, batch_id)
+            return
+        kept = self._kept_tails(batch, batch_id)
+        marked, line = self._mark(batch, kept)
+        # Read for the tails and for the archive; blocks that are lost are computed again.
+        marked = marked.persist()
         try:
-            if self.spec.visits is None:
-                delta = ar.counts(batch, self.spec)
-            else:
-                delta = self._write_tails(batch, batch_id)
-            write_added(self.archive, delta, self.spec.keys, self.spec.measures, batch_id)
+            self._write_tails(marked, kept, batch_id)
+            delta = ar.archive_marked(marked, spec, line, F.col(ARRIVAL) == 1)
+            write_added(self.archive, delta, spec.keys, spec.measures, batch_id)
         finally:
-            batch.unpersist()
+            marked.unpersist()
 
-    def _write_tails(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        """Write the tails after this batch; returns what the batch adds to the archive."""
+    def _kept_tails(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        keys = self.line.keys
+        rows = T.ArrayType(batch.select(*self.cols, F.lit(False).alias(ASKED)).schema)
+        schema = batch.select(*keys).schema.add("tail", rows)
+        kept = self.tails.rows(batch.sparkSession, batch_id - 1, schema)
+        if self.keep_days is not None and "dt" in keys:
+            kept = kept.where(F.col("dt") >= self._oldest_day(batch))
+        return kept
+
+    def _mark(self, batch: DataFrame, kept: DataFrame) -> tuple[DataFrame, Timeline]:
+        """The batch and the tails of the timelines it touches, marked as one log."""
         spec, keys = self.spec, self.line.keys
         relevant = ar.is_submit() if spec.visits != "closed" else ar.is_submit() | (F.col("src_type") == spec.end)
         new = batch.where(relevant).withColumns({ARRIVAL: F.lit(1), ASKED: F.lit(False)})
-        rows = T.ArrayType(new.select(*self.cols, ASKED).schema)
-        kept = self.tails.rows(batch.sparkSession, batch_id - 1, new.select(*keys).schema.add("tail", rows))
-        if self.keep_days is not None and "dt" in keys:
-            kept = kept.where(F.col("dt") >= self._oldest_day(batch))
         touched = latest_tails(join_same(kept, new.select(*keys).distinct(), keys, "left_semi"), keys)
         carried = touched.select(F.inline("tail")).withColumn(ARRIVAL, F.lit(0))
         accounts = replace(self.line, keys=("account_id",))
@@ -114,13 +125,15 @@ class ArchiveStream:
             carried.unionByName(new, allowMissingColumns=True), accounts, self.rows_per_part, counted=new
         )
         line = cut_line.within(*keys)
-        marked = ar.mark_visits(every, spec, line, F.col(ASKED))
-        tails = next_tails(marked, spec, self.line, self.cols)
+        return ar.mark_visits(every, spec, line, F.col(ASKED)), line
+
+    def _write_tails(self, marked: DataFrame, kept: DataFrame, batch_id: int) -> None:
+        keys = self.line.keys
+        tails = next_tails(marked, self.spec, self.line, self.cols)
         if self.tails.is_fold(batch_id):
             others = latest_tails(join_same(kept, tails, keys, "left_anti"), keys)
             tails = others.unionByName(tails).where(F.size("tail") > 0)
         self.tails.write(tails, batch_id)
-        return ar.archive_marked(marked, spec, line, F.col(ARRIVAL) == 1)
 
     def _oldest_day(self, batch: DataFrame) -> Column:
         latest = batch.agg(F.max("dt")).first()[0]
@@ -128,7 +141,7 @@ class ArchiveStream:
         return F.date_format(day, "yyyyMMdd")
 
     def start(self, events: DataFrame, every: str | None = EVERY) -> StreamingQuery:
-        return each_batch(events, self.write, f"{self.root}/checkpoint", every)
+        return each_batch(events, persisted(self.write), f"{self.root}/checkpoint", every)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The archive as of the last completed batch."""

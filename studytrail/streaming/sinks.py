@@ -35,6 +35,20 @@ def each_batch(
     return trigger(writer, every).start()
 
 
+def persisted(*writes: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A ``write`` for ``each_batch`` that reads a micro-batch once for several writers."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for each in writes:
+                each(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def jdbc_writer(url: str, table: str, **options: str) -> Callable[[DataFrame, int], None]:
     """A ``write`` for ``each_batch`` that inserts rows through the JDBC data source."""
 
