@@ -24,9 +24,13 @@ def error_calls(calls: DataFrame) -> DataFrame:
     return calls.where(F.col("level") == "error").select(*_alert("error", F.col("ts"), F.lit(1)))
 
 
-def warn_bursts(calls: DataFrame, times: int = 3, within: str = "1 minute") -> DataFrame:
-    """Windows in which one url warned at least ``times`` times."""
-    counts = calls.where(F.col("level") == "warn").groupBy(F.window("ts", within), "url").count()
+def warn_bursts(calls: DataFrame, times: int = 3, within: str = "1 minute", slide: str | None = None) -> DataFrame:
+    """Windows in which one url warned at least ``times`` times.
+
+    With ``slide`` windows overlap, so that bursts across a border are seen (and reported more than once).
+    """
+    window = F.window("ts", within, slide)
+    counts = calls.where(F.col("level") == "warn").groupBy(window, "url").count()
     return counts.where(F.col("count") >= times).select(*_alert("warn", F.col("window.start"), F.col("count")))
 
 

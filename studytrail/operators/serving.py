@@ -14,10 +14,16 @@ ROWS_PER_DOCUMENT = 100_000
 
 
 def number_parts(
-    rows: DataFrame, keys: Sequence[str], by: Sequence[str], limit: int, part: str = "part"
+    rows: DataFrame, keys: Sequence[str], by: Sequence[str], limit: int | None, part: str = "part"
 ) -> DataFrame:
     """Number the parts a key's rows are collected in: 0, or a hash of ``by`` where the key has
-    more than ``limit`` rows, so that no collected value grows beyond about ``limit`` rows."""
+    more than ``limit`` rows, so that no collected value grows beyond about ``limit`` rows.
+
+    One job counts rows per key, so ``rows`` should be a table or cheap to compute. No limit (None) is
+    for frames in which the number of rows per key is fixed, such as one row per user and day.
+    """
+    if limit is None:
+        return rows.withColumn(part, F.lit(0).cast("bigint"))
     counts = rows.groupBy(*keys).count().where(F.col("count") > limit)
     n_long = counts.count()
     if n_long == 0:
@@ -42,7 +48,7 @@ def json_documents(
     keys: Sequence[str],
     columns: Sequence[str],
     order: Sequence[str],
-    rows_per_document: int = ROWS_PER_DOCUMENT,
+    rows_per_document: int | None = ROWS_PER_DOCUMENT,
 ) -> DataFrame:
     """(keys, part, value): a JSON array of the key's rows in ``order``, every value as text."""
     rows = number_parts(rows, keys, columns, rows_per_document)
@@ -54,7 +60,7 @@ def json_documents(
 
 def user_docs(
     rows: DataFrame, table: str, columns: Sequence[str], order: Sequence[str],
-    rows_per_document: int = ROWS_PER_DOCUMENT,
+    rows_per_document: int | None = ROWS_PER_DOCUMENT,
 ) -> DataFrame:
     """(key, part, value) with key ``user<=>table``."""
     docs = json_documents(rows, ["user_id"], columns, order, rows_per_document)
@@ -63,7 +69,7 @@ def user_docs(
 
 def user_week_docs(
     rows: DataFrame, columns: Sequence[str], order: Sequence[str], week: str = "dt",
-    rows_per_document: int = ROWS_PER_DOCUMENT,
+    rows_per_document: int | None = ROWS_PER_DOCUMENT,
 ) -> DataFrame:
     """(key, part, value) with key ``user<=>week``."""
     docs = json_documents(rows, ["user_id", week], columns, order, rows_per_document)
@@ -72,7 +78,7 @@ def user_week_docs(
 
 def user_week_scores(
     rows: DataFrame, table: str, columns: Sequence[str], order: Sequence[str], week: str = "dt",
-    rows_per_document: int = ROWS_PER_DOCUMENT,
+    rows_per_document: int | None = ROWS_PER_DOCUMENT,
 ) -> DataFrame:
     """(key, score, member): the week's document as a member scored by the week; a document in several
     parts is several members of one score. Merge on (key, member)."""
@@ -105,7 +111,7 @@ def read_cells(cells: DataFrame, row_key: str, family: str) -> DataFrame:
     return cells.where((F.col("rowkey") == row_key) & (F.col("cf") == family)).select("qualifier", "value")
 
 
-def cells_to_map(cells: DataFrame, cells_per_map: int = ROWS_PER_DOCUMENT) -> DataFrame:
+def cells_to_map(cells: DataFrame, cells_per_map: int | None = ROWS_PER_DOCUMENT) -> DataFrame:
     """(rowkey, cf, part, cells): rows as maps; a row with very many cells is several maps."""
     cells = number_parts(cells, ["rowkey", "cf"], ["qualifier"], cells_per_map)
     entries = F.array_sort(F.collect_list(F.struct("qualifier", "value")))

@@ -38,7 +38,10 @@ def parse_events(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def event_columns() -> list[Column]:
-    """Columns of an archive event. A submit names its section ``module_type``, an end ``section_id``."""
+    """Columns of an archive event. A submit names its section ``module_type``, an end ``section_id``.
+
+    An unreadable time is kept as text, with neither day nor seconds.
+    """
     data = F.col("record.data")
     cols = []
     for f in EVENT["data"].dataType:
@@ -48,7 +51,9 @@ def event_columns() -> list[Column]:
             plain = isinstance(f.dataType, (T.StringType, T.ArrayType))
             cols.append((data[f.name] if plain else data[f.name].try_cast(f.dataType)).alias(f.name))
     time = F.col("record.time")
-    return [time.alias("time"), day_key(time).alias("dt"), epoch_seconds(time).alias("epoch_s"), *cols]
+    seconds = epoch_seconds(time)
+    day = F.when(seconds.isNotNull(), day_key(time))
+    return [time.alias("time"), day.alias("dt"), seconds.alias("epoch_s"), *cols]
 
 
 def events_of(parsed: DataFrame, *keep: str | Column) -> DataFrame:

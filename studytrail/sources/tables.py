@@ -24,10 +24,17 @@ def of_previous_day(table: DataFrame, run_date: str, dt: str = "dt") -> DataFram
     return table.where(F.col(dt).cast("string") == previous_day(F.lit(run_date).cast("date")))
 
 
-def write_by_day(df: DataFrame, path: str, by: Sequence[str] = ("dt",), mode: str = "overwrite") -> None:
-    """Write one folder per value of ``by``. Rows are not gathered per folder, so that a folder
-    with most of the rows is still written by many tasks."""
-    df.write.mode(mode).partitionBy(*by).parquet(path)
+def write_by_day(
+    df: DataFrame, path: str, by: Sequence[str] = ("dt",), mode: str = "overwrite", gather: bool = True
+) -> None:
+    """Write one folder per value of ``by``.
+
+    ``gather`` shuffles rows by folder first, so that not every task writes a small file into every folder;
+    under AQE the rebalance splits a folder with many rows over several tasks and joins small ones. Without
+    it nothing moves, which is better where each task sees few folders anyway, as when ingesting one day.
+    """
+    rows = df.hint("rebalance", *(F.col(c) for c in by)) if gather else df
+    rows.write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def of_date(table: DataFrame, date: str, dt: str = "dt", sources: Sequence[str] | None = None) -> DataFrame:

@@ -171,6 +171,9 @@ def test_alert_rules(spark):
         (5, "warn", 1, "/b"), (7, "error", 1, "/b"), (8, "info", 1001, "/c"), (9, "info", 1000, "/c"),
     )
     assert [(r.url, r.amount) for r in alerts.warn_bursts(df).collect()] == [("/a", 3)]
+    across = calls(spark, (50, "warn", 1, "/a"), (55, "warn", 1, "/a"), (65, "warn", 1, "/a"))
+    assert alerts.warn_bursts(across).count() == 0
+    assert alerts.warn_bursts(across, slide="30 seconds").count() == 1
     assert [r.url for r in alerts.error_calls(df).collect()] == ["/b"]
     assert [(r.url, r.amount) for r in alerts.slow_calls(df).collect()] == [("/c", 1001)]
     many = [(s, "info", 1, "/a") for s in range(3)] + [(300 + s, "info", 1, "/a") for s in range(6)]
@@ -234,6 +237,8 @@ def test_tables(spark, tmp_path):
     assert [r.n for r in tables.of_date(back, "20240102").collect()] == [2]
     assert tables.of_date(back, "20240102", sources=["a"]).count() == 0
     plan = tables.of_date(back, "20240102")._jdf.queryExecution().toString()
+    tables.write_by_day(rows, str(tmp_path / "u"), gather=False)
+    assert spark.read.parquet(str(tmp_path / "u")).count() == 2
     assert "PartitionFilters: [isnotnull(dt" in plan or "PartitionFilters: [(cast(dt" in plan
     spark.sql("create database if not exists db_t")
     rows.write.mode("overwrite").saveAsTable("db_t.rows_t")
