@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from studytrail.functions.text import join_key
-from studytrail.operators.timeline import BROADCAST_KEYS, join_same
+from studytrail.operators.timeline import join_same, long_keys
 
 ROWS_PER_DOCUMENT = 100_000
 
@@ -24,12 +24,9 @@ def number_parts(
     """
     if limit is None:
         return rows.withColumn(part, F.lit(0).cast("bigint"))
-    counts = rows.groupBy(*keys).count().where(F.col("count") > limit)
-    n_long = counts.count()
-    if n_long == 0:
+    counts = long_keys(rows, keys, limit)
+    if counts is None:
         return rows.withColumn(part, F.lit(0).cast("bigint"))
-    if n_long <= BROADCAST_KEYS:
-        counts = F.broadcast(counts)
     parts = F.ceil(F.col("count") / F.lit(limit))
     number = F.pmod(F.xxhash64(*by), parts).cast("bigint")
     return (

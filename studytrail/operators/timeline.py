@@ -1,10 +1,10 @@
 """Rows of a timeline and their neighbours, for timelines of any length.
 
-A timeline is every row that shares ``keys``, in the order of ``(time, seq)``; ``seq`` is
-unique within the timeline. Where rows arrive in batches, ``batch`` orders before time. Where no timeline is long, neighbours are plain window
-functions. Where one key holds a large share of the log, ``cut`` gives its rows a part
-number that rises along the timeline; windows then run per part, and what has to cross
-from one part to the next is taken from a summary that holds one row per part.
+A timeline is every row that shares ``keys``, in the order of ``(time, seq)``; ``seq`` is unique
+within the timeline. Where rows arrive in batches, ``batch`` orders before time. Where no timeline
+is long, neighbours are plain window functions. Where one key holds a large share of the log, ``cut``
+gives its rows a part number that rises along the timeline; windows then run per part, and what has
+to cross from one part to the next is taken from a summary that holds one row per part.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 ROWS_PER_PART = 4_000_000
 # A list of long keys up to this many rows is a few MB at most and may be broadcast.
 BROADCAST_KEYS = 100_000
-# seq values per histogram bucket; seq is unique, so a bucket never holds more rows than this.
-SEQ_BUCKET = 1 << 20
+# Long timelines are counted per hour. An hour with too many rows is counted per second and run of
+# seq values; seq is unique, so such a run never holds more rows than this.
+SPAN = 3600
+SEQ_RUN = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -59,9 +61,20 @@ def join_same(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str)
     return left.join(renamed, cond, how).drop(*(f"_r_{c}" for c in cols))
 
 
-def long_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """Keys with more than ``rows`` rows: at most one per ``rows`` rows of the input."""
-    return df.groupBy(*keys).count().where(F.col("count") > rows).select(*keys)
+def long_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame | None:
+    """(keys, count) of the keys with more than ``rows`` rows, or None if there is none.
+
+    There is at most one such key per ``rows`` rows of the input. A list of up to ``BROADCAST_KEYS`` is
+    fetched and broadcast, so that it is counted once; a longer one stays distributed and is joined
+    by shuffle, where adaptive execution splits the long keys.
+    """
+    long = df.groupBy(*keys).count().where(F.col("count") > rows)
+    n = long.count()
+    if n == 0:
+        return None
+    if n > BROADCAST_KEYS:
+        return long
+    return F.broadcast(df.sparkSession.createDataFrame(long.collect(), long.schema))
 
 
 def cut(
@@ -73,31 +86,41 @@ def cut(
 ) -> tuple[DataFrame, Timeline]:
     """Cut long timelines into parts of about ``rows_per_part`` consecutive rows.
 
-    One job counts rows per key (of ``counted``, if that is a cheaper frame with most of the rows). Usually no key is long and the frame is returned as it is.
-    Otherwise rows of long keys are counted per second (and per run of ``seq`` within it);
-    the running count of earlier buckets gives the part, so parts are even whatever the
-    distribution over time. Rows of other keys are part 0.
+    One job counts rows per key (of ``counted``, if that is a cheaper frame with most of the rows).
+    Usually no key is long and the frame is returned as it is. Otherwise rows of long keys are
+    counted per cell: an hour, or where an hour holds more than a part, a second and a run of ``seq``.
+    The running count of earlier cells gives the part, so parts are even whatever the distribution
+    over time. Rows of other keys are part 0.
     """
     keys = timeline.keys
     long = long_keys(df if counted is None else counted, keys, rows_per_part)
-    n_long = long.count()
-    if n_long == 0:
+    if long is None:
         return df, timeline
-    hint = F.broadcast if n_long <= BROADCAST_KEYS else (lambda d: d)
-    rest = join_same(df, hint(long), keys, "left_anti").withColumn(part, F.lit(0).cast("bigint"))
-    rows = join_same(df, hint(long), keys, "left_semi").withColumn(
-        "_bucket", F.floor(F.col(timeline.seq) / F.lit(SEQ_BUCKET))
-    )
-    steps = (*timeline.order[:-1], "_bucket")
-    bucket = (*keys, *steps)
+    rest = join_same(df, long, keys, "left_anti").withColumn(part, F.lit(0).cast("bigint"))
+    spans = [*timeline.order[:-2], "_span"]
+    rows = join_same(df, long, keys, "left_semi").withColumn("_span", F.floor(F.col(timeline.time) / F.lit(SPAN)))
+    crowded = long_keys(rows, [*keys, *spans], rows_per_part)
+    if crowded is None:
+        rows = rows.withColumns({"_second": F.lit(0), "_run": F.lit(0)})
+    else:
+        fine = F.col("_fine").isNotNull()
+        crowded = crowded.select(*keys, *spans, F.lit(True).alias("_fine"))
+        rows = join_same(rows, crowded, [*keys, *spans], "left").withColumns(
+            {
+                "_second": F.when(fine, F.col(timeline.time)).otherwise(F.lit(0)),
+                "_run": F.when(fine, F.floor(F.col(timeline.seq) / F.lit(SEQ_RUN))).otherwise(F.lit(0)),
+            }
+        )
+    steps = [*spans, "_second", "_run"]
+    cell = [*keys, *steps]
     earlier = Window.partitionBy(*keys).orderBy(*steps).rowsBetween(Window.unboundedPreceding, -1)
     parts = (
-        rows.groupBy(*bucket)
+        rows.groupBy(*cell)
         .count()
         .withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
-        .select(*bucket, F.expr(f"_before div {int(rows_per_part)} + 1").alias(part))
+        .select(*cell, F.expr(f"_before div {int(rows_per_part)} + 1").alias(part))
     )
-    numbered = join_same(rows, parts, bucket, "inner").drop("_bucket")
+    numbered = join_same(rows, parts, cell, "inner").drop("_span", "_second", "_run", "_fine")
     return rest.unionByName(numbered), replace(timeline, part=part)
 
 
