@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from studytrail.plans import oracle
+from studytrail.plans.queries import all_queries
 from compare import connect, duck_rows, spark_rows
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), oracle.all_statements()
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +16,9 @@ def duck(sf_dir):
 
 
 def test_every_statement_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
