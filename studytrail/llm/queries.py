@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from studytrail.llm import exact_dedup, url_filter, warc
+from studytrail.llm import bpe_codec, exact_dedup, language, token_counts, toxicity, url_filter, warc
 from studytrail.llm.tables import table
 
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identified(docs, language.learn(docs.where(~language.held_out())))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(table(spark, sf_dir, "documents"))
 
@@ -16,12 +25,28 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.digests(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_roundtrip(table(spark, sf_dir, "pages"))
 
 
+QUERIES = (op1_language, op2_exact_dedup, op4_url_filter, op5_bpe_codec, op6_toxicity, op7_token_counts, op10_warc)
+
+
 def all_queries() -> dict:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_url_filter, op10_warc)}
+    return {f.__name__: f for f in QUERIES}
 
 
 OP2 = """

@@ -55,31 +55,42 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-def _hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, start) of the words of a lower-cased text."""
+def _hashes(text: str, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of the words of a lower-cased text; with prefixes a row of hashes for each word."""
     cp = points(text)
     inside = np.zeros(len(cp) + 2, bool)
     inside[1:-1] = word_table()[np.minimum(cp, PLANES - 1)]
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[::2], edge[1::2]
     if not len(start):
-        return np.zeros(0, np.uint64), start
+        return np.zeros((0, 1 + len(prefixes)) if prefixes else 0, np.uint64), start
     n = 1 << max(10, int(len(cp)).bit_length())
     up, down = powers(n) if n <= 4 * PIECE else powers.__wrapped__(n)
     total = np.zeros(len(cp) + 1, np.uint64)
     np.cumsum((cp.astype(np.uint64) + np.uint64(1)) * up[: len(cp)], out=total[1:])
-    return mixed((total[end] - total[start]) * down[start]), start
-
-
-def words_of(texts: list[str | None]) -> Iterator[np.ndarray]:
-    """Word hashes of each text, in order; null counts as empty."""
+    h = mixed((total[end] - total[start]) * down[start])
+    if not prefixes:
+        return h, start
+    out = np.repeat(h[:, None], 1 + len(prefixes), axis=1)
+    for k, m in enumerate(prefixes, 1):
+        longer = np.flatnonzero(end - start > m)
+        out[longer, k] = mixed((total[start[longer] + m] - total[start[longer]]) * down[start[longer]] + np.uint64(m << 56))
+    return out, start
+
+
+def words_of(texts: list[str | None], prefixes: tuple[int, ...] = ()) -> Iterator[np.ndarray]:
+    """Word hashes of each text, in order; null counts as empty.
+
+    With prefixes each word is a row: its hash, and for each length the hash of that many first letters, or the word's
+    own hash if it isn't longer.
+    """
     batch, size = [], 0
 
     def flush():
         if not batch:
             return
         joined = "\n".join(batch)
-        h, start = _hashes(joined)
+        h, start = _hashes(joined, prefixes)
         ends = np.cumsum([len(t) + 1 for t in batch])
         cuts = np.searchsorted(start, ends)
         at = 0
@@ -92,7 +103,7 @@ def words_of(texts: list[str | None]) -> Iterator[np.ndarray]:
         if len(text) > PIECE:
             yield from flush()
             batch, size = [], 0
-            yield np.concatenate([_hashes(p)[0] for p in pieces(text)])
+            yield np.concatenate([_hashes(p, prefixes)[0] for p in pieces(text)])
             continue
         if size + len(text) > PIECE:
             yield from flush()
