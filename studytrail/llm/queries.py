@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from studytrail.llm import bpe_codec, exact_dedup, language, token_counts, toxicity, url_filter, warc
+from studytrail.llm import bpe_codec, decontamination, exact_dedup, language, token_counts, toxicity, url_filter, warc
 from studytrail.llm.tables import table
 
 
@@ -38,11 +38,15 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_roundtrip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = (op1_language, op2_exact_dedup, op4_url_filter, op5_bpe_codec, op6_toxicity, op7_token_counts, op10_warc)
+QUERIES = (op1_language, op2_exact_dedup, op4_url_filter, op5_bpe_codec, op6_toxicity, op7_token_counts, op8_decontamination, op10_warc)
 
 
 def all_queries() -> dict:
