@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from studytrail.llm import bpe_codec, decontamination, exact_dedup, language, token_counts, toxicity, url_filter, warc
+from studytrail.llm import bpe_codec, decontamination, exact_dedup, language, near_dups, token_counts, toxicity, url_filter, warc
 from studytrail.llm.tables import table
 
 
@@ -42,11 +42,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_roundtrip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = (op1_language, op2_exact_dedup, op4_url_filter, op5_bpe_codec, op6_toxicity, op7_token_counts, op8_decontamination, op10_warc)
+QUERIES = (op1_language, op2_exact_dedup, op4_url_filter, op5_bpe_codec, op6_toxicity, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc)
 
 
 def all_queries() -> dict:
