@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from studytrail.llm import bpe_codec, decontamination, exact_dedup, language, near_dups, token_counts, toxicity, url_filter, warc
+from studytrail.llm import bpe_codec, decontamination, exact_dedup, language, main_text, near_dups, token_counts, toxicity, url_filter, warc
 from studytrail.llm.tables import table
 
 
@@ -21,6 +21,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -50,7 +54,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_roundtrip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = (op1_language, op2_exact_dedup, op4_url_filter, op5_bpe_codec, op6_toxicity, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc)
+QUERIES = (op1_language, op2_exact_dedup, op3_main_text, op4_url_filter, op5_bpe_codec, op6_toxicity, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc)
 
 
 def all_queries() -> dict:
