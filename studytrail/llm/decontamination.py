@@ -183,9 +183,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = tables.stored(judged(docs, benchmark).select(F.col("doc_id").alias("_id")), "contaminated")
     blocks = tables.blocks_for(bad.count())
     bits = tables.stored(tables.filter_of(bad, "_id", blocks), "bits")
-    marked = tables.maybe(docs, "doc_id", bits, blocks, "_maybe")
-    kept = marked.where("_maybe").join(bad, F.col("doc_id") == F.col("_id"), "left_anti")
-    return marked.where(~F.col("_maybe")).unionByName(kept).select(*docs.columns)
+    marked = tables.maybe(tables.packed(docs, "doc_id"), "doc_id", bits, blocks)
+    kept = marked.where("maybe").join(bad, F.col("doc_id") == F.col("_id"), "left_anti").select("row")
+    return tables.unpacked(marked.where(~F.col("maybe")).select("row").unionByName(kept))
 
 
 def uncovered_patterns() -> list[tuple[int, ...]]:

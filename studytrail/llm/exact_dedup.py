@@ -49,14 +49,13 @@ def copy_groups(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns. Only rows whose text may be repeated are shuffled."""
-    names = docs.columns
     digests = tables.stored(docs.select("doc_id", _sha().alias("sha")), "digests")
     blocks = tables.blocks_for(digests.count())
     bits = tables.stored(tables.filter_of(digests, "sha", blocks, times=2), "bits")
-    top = tables.maybe(digests, "sha", bits, blocks).where("maybe").groupBy("sha").agg(F.max("doc_id").alias("_keep"))
-    top = top.withColumnRenamed("sha", "_top")
-    marked = tables.maybe(docs.withColumn("_sha", _sha()), "_sha", bits, blocks, "_maybe")
+    top = tables.maybe(digests, "sha", bits, blocks).where("maybe").groupBy("sha").agg(F.max("doc_id").alias("keep"))
+    marked = tables.maybe(tables.packed(docs, "doc_id", _sha().alias("sha")), "sha", bits, blocks)
     # joined on text and id, so that a hot text is spread by its rows' ids
-    stay = marked.where("_maybe").join(top, (F.col("_sha") == F.col("_top")) & F.col("doc_id").eqNullSafe(F.col("_keep")))
-    stay = stay.dropDuplicates(["_sha"]).select(*names)
-    return marked.where(~F.col("_maybe")).select(*names).unionByName(stay)
+    rows = marked.where("maybe")
+    stay = rows.join(top, (rows["sha"] == top["sha"]) & rows["doc_id"].eqNullSafe(top["keep"])).select(rows["sha"], "row")
+    stay = stay.dropDuplicates(["sha"]).select("row")
+    return tables.unpacked(marked.where(~F.col("maybe")).select("row").unionByName(stay))

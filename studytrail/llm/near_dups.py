@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from studytrail.llm import tables
 from studytrail.llm.components import components
@@ -288,27 +289,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.unionByName(empty)
 
 
-def _with_key(docs: DataFrame) -> DataFrame:
+def _with_key(rows: DataFrame) -> DataFrame:
+    """row, doc_id and key of packed rows."""
+
     def work(batches):
         for b in batches:
             keys = [set_key(shingles(w, WORDS)) for _, texts in slices(b["text"]) for w in words_of(texts)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary())], names=[*b.schema.names, "_key"])
+            yield pa.RecordBatch.from_arrays([b["row"], b["doc_id"], pa.array(keys, pa.binary())], names=["row", "doc_id", "key"])
 
-    return docs.mapInArrow(work, docs.schema.add("_key", "binary"))
+    schema = T.StructType([rows.schema["row"], T.StructField("doc_id", T.LongType()), T.StructField("key", T.BinaryType())])
+    return rows.select("row", F.col("doc_id").cast("bigint"), "text").mapInArrow(work, schema)
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each group, the one with the smallest id, and all rows of no group, with all their columns."""
     sketches, named = joined(docs)
-    names = docs.columns
-    groups = named.where("class_size > 1").select(F.col("key").alias("_key"), F.col("comp").alias("_comp"), F.col("class_id").alias("_class"))
-    groups = tables.stored(groups, "groups")
-    ids = sketches.join(groups.select(F.col("_key").alias("key")), "key", "left_semi").select("doc_id")
-    ids = tables.stored(ids, "ids")
+    groups = tables.stored(named.where("class_size > 1").select("key", "comp", "class_id"), "groups")
+    ids = tables.stored(sketches.join(groups.select("key"), "key", "left_semi").select("doc_id"), "ids")
     blocks = tables.blocks_for(ids.count())
     bits = tables.stored(tables.filter_of(ids, "doc_id", blocks), "bits")
-    marked = tables.maybe(docs, "doc_id", bits, blocks, "_maybe")
-    found = tables.stored(_with_key(marked.where("_maybe").drop("_maybe")).join(groups, "_key", "left"), "grouped")
-    first = found.where(F.col("_comp").isNotNull() & F.col("doc_id").eqNullSafe(F.col("_class"))).dropDuplicates(["_comp"])
-    out = marked.where(~F.col("_maybe")).select(*names)
-    return out.unionByName(found.where("_comp IS NULL").select(*names)).unionByName(first.select(*names))
+    rows = tables.packed(docs, F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    marked = tables.maybe(rows, "doc_id", bits, blocks)
+    found = tables.stored(_with_key(marked.where("maybe")).join(groups, "key", "left"), "grouped")
+    first = found.where(F.col("comp").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id"))).select("comp", "row").dropDuplicates(["comp"])
+    out = marked.where(~F.col("maybe")).select("row").unionByName(found.where("comp IS NULL").select("row"))
+    return tables.unpacked(out.unionByName(first.select("row")))

@@ -23,6 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(df: DataFrame, *columns: str) -> DataFrame:
+    """The named columns and the whole row as ``row``, so that no helper column can clash with one of the frame's."""
+    return df.select(*columns, F.struct("*").alias("row"))
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("row.*")
+
+
 def blocks_for(rows: int) -> int:
     """Bitmaps for so many keys at 32 bits a key: a power of two, MAX_BLOCKS at most."""
     need = max(1, 32 * rows // BLOCK)
