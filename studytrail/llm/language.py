@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from studytrail.llm.words import PIECE, PLANES, pieces, points, slices
 
 BUCKETS = 1 << 16
-SMOOTH = 0.5
+COMMON = 0.1  # share of the languages' common distribution in each, so that what none has seen speaks for none
 MAX_LANGUAGES = 256
 STEPS = 8
 FOLDS, FOLD = 4, 2
@@ -107,12 +107,16 @@ def learn(docs: DataFrame, max_languages: int = MAX_LANGUAGES) -> Languages:
     found = counts.join(F.broadcast(names.select("lang")), "lang").orderBy("lang")
     columns, langs = [], []
     for row in found.toLocalIterator():  # max_languages rows
-        n = np.full(BUCKETS, SMOOTH)
+        n = np.zeros(BUCKETS)
         for bucket, count in row["bins"]:
-            n[bucket] += count
-        columns.append(np.log(n / n.sum()).astype(np.float32))
+            n[bucket] = count
+        columns.append((n / n.sum()).astype(np.float32))
         langs.append(row["lang"])
-    return Languages(tuple(langs), np.stack(columns, 1) if columns else np.zeros((BUCKETS, 0), np.float32))
+    if not columns:
+        return Languages((), np.zeros((BUCKETS, 0), np.float32))
+    share = np.stack(columns, 1)
+    common = 0.5 * share.mean(1, keepdims=True) + 0.5 / BUCKETS
+    return Languages(tuple(langs), np.log((1 - COMMON) * share + COMMON * common).astype(np.float32))
 
 
 def mixtures(loglik: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
