@@ -52,7 +52,9 @@ def words(line: Column) -> Column:
     Empty words at the end of a line are dropped, those at the start or between blanks are kept.
     """
     text = F.replace(F.replace(line, F.lit("?"), F.lit("")), F.lit("http"), F.lit("www"))
-    no_words = F.rlike(line, F.lit("^[? ]* [? ]*$"))
+    # only blanks and question marks, at least one of them a blank; by replacing, as a pattern would go back and forth
+    rest = F.replace(F.replace(line, F.lit("?"), F.lit("")), F.lit(" "), F.lit(""))
+    no_words = (rest == "") & F.contains(line, F.lit(" "))
     return F.when(no_words, F.array().cast("array<string>")).otherwise(F.split(F.rtrim(text), " "))
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from studytrail.operators.timeline import join_same
 
@@ -38,12 +39,19 @@ def merge_insert_if_absent(
 ) -> DataFrame:
     """Insert keys the target lacks; of keys it has, only ``update_time`` moves to ``run_time``.
 
-    ``new`` holds one row per key.
+    ``new`` holds one row per key. One full outer join, so each side is shuffled once; NULL keys match.
     """
-    when = F.lit(run_time)
-    seen = join_same(target, new.select(*keys, F.lit(True).alias("_seen")), keys, "left")
-    kept = seen.withColumn(updated, F.when(F.col("_seen"), when).otherwise(F.col(updated))).drop("_seen")
-    added = join_same(new, target.select(*keys), keys, "left_anti")
-    if updated not in added.columns:
-        added = added.withColumn(updated, F.lit(None).cast(target.schema[updated].dataType))
-    return kept.unionByName(added)
+    old, fresh = (df.select(F.struct(*df.columns).alias(side)) for df, side in ((target, "_old"), (new, "_new")))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"_old.{k}").eqNullSafe(F.col(f"_new.{k}"))
+    known, given = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+
+    def value(name: str, kind: T.DataType) -> Column:
+        inserted = F.col(f"_new.{name}") if name in new.columns else F.lit(None).cast(kind)
+        kept = F.col(f"_old.{name}")
+        if name == updated:
+            kept = F.when(given, F.lit(run_time)).otherwise(kept)
+        return F.when(known, kept).otherwise(inserted).alias(name)
+
+    return old.join(fresh, same, "full_outer").select(*(value(f.name, f.dataType) for f in target.schema))

@@ -34,7 +34,8 @@ def ingest_lines(lines: DataFrame, path: str, *keep: str | Column, mode: str = "
     status = F.coalesce("reason", F.lit(ACCEPTED)).alias("status")
     raw = F.when(F.col("reason").isNotNull(), F.col("value")).alias("raw")
     rows = parsed.select(*keep, *logs.event_columns(), raw, status)
-    rows.write.mode(mode).partitionBy("status", "dt").parquet(path)
+    # gathered by folder, large ones in several parts: one file or a few for each status and day
+    rows.hint("rebalance", "status", "dt").write.mode(mode).partitionBy("status", "dt").parquet(path)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -101,10 +102,25 @@ def user_documents(indicators: Mapping[str, DataFrame], run_date: str) -> dict[s
 
 
 def write_answers(lines: DataFrame, path: str, rejected_path: str) -> None:
-    """Exploded answers as delimited text, rejected rows as a table."""
+    """Exploded answers as delimited text, rejected rows as a table; lines are read and parsed once.
+
+    Both kinds are first written side by side next to the rejected rows.
+    """
     read = answers.read_answers(lines)
-    answers.to_delimited(answers.explode_answers(read)).write.mode("overwrite").text(path)
-    logs.rejected(read).write.mode("overwrite").parquet(rejected_path)
+    right = F.coalesce(F.get_json_object("q.value", "$.is_right"), F.lit(answers.UNANSWERED))
+    rows = read.select("value", "reason", "fields", F.explode_outer("questions").alias("q"))
+    rows = rows.withColumns({"question_id": F.col("q.key"), "answer": F.col("q.value"), "is_right": right})
+    bad = F.col("reason").isNotNull()
+    both = rows.select(
+        F.when(bad, "rejected").otherwise(ACCEPTED).alias("status"),
+        F.when(bad, F.struct(F.col("value").alias("raw"), "reason")).alias("letter"),
+        F.when(~bad, answers.delimited_line()).alias("line"),
+    )
+    parsed = f"{rejected_path.rstrip('/')}-parsed"
+    both.write.mode("overwrite").partitionBy("status").parquet(parsed)
+    stored = lines.sparkSession.read.schema(both.schema).parquet(parsed)
+    stored.where(F.col("status") == ACCEPTED).select(F.col("line").alias("value")).write.mode("overwrite").text(path)
+    stored.where(F.col("status") != ACCEPTED).select("letter.*").write.mode("overwrite").parquet(rejected_path)
 
 
 def start_archives(

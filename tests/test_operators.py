@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,21 @@ def test_answers(spark):
     assert all(v.endswith(DELIMITER) and v.count(DELIMITER) == 28 for v in written)
 
 
+def test_last_of_repeated_questions_counts(spark):
+    rows = [answer_row('{"q1":{"is_right":1},"q2":{},"q1":{"is_right":2}}'), answer_row('[{"q3":{},"q3":{"is_right":1}},{"q3":{}}]')]
+    out = answers.explode_answers(answers.read_answers(lines(spark, *rows)))
+    got = [(r.question_id, r.is_right) for r in out.collect()]
+    assert sorted(got) == [("q1", "2"), ("q2", "0"), ("q3", "0"), ("q3", "1")]
+
+
+def test_words_of_a_long_blank_line(spark):
+    df = lines(spark, " " * 100_000 + "x", "? " * 50_000, "?" * 100_000)
+    start = time.perf_counter()
+    got = {r.word: r.n for r in words.word_count(df).collect()}
+    assert got == {"": 100_001, "x": 1}
+    assert time.perf_counter() - start < 30
+
+
 def test_words(spark):
     df = lines(spark, "a  b ", " x", "? ", "?", "\t ", "https://q?p", "", "b b x")
     got = {r.word: r.n for r in words.word_count(df).collect()}
@@ -108,6 +124,8 @@ def test_merges(spark):
     assert spark_rows(kept) == sorted(
         [("a", 1, None), ("b", 2, "now"), ("c", 20, None), (None, 3, "now")], key=repr
     )
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert plan.count("Exchange") <= 2 and plan.count("Join") == 1
     rows = spark.createDataFrame([("a", 1, 5), ("a", 2, 4), ("b", 1, 1)], "k string, o int, v int")
     assert spark_rows(merge.pick(rows, ["k"], ["o"])) == [("a", 2, 4), ("b", 1, 1)]
     assert spark_rows(merge.pick(rows, ["k"], ["o"], last=False)) == [("a", 1, 5), ("b", 1, 1)]
