@@ -153,8 +153,11 @@ def ingest() -> dict[str, str]:
   cast(tag_code AS VARCHAR) AS tag_code, cast(question_id AS VARCHAR) AS question_id,
   array_to_string(factor_codes, ',') AS factor_codes, is_right, is_view_analyze,
   cast(cost_time AS INTEGER) AS cost_time, ability, lo_status FROM log""",
-        "quarantine": f"""WITH {LOG} SELECT seq, CASE WHEN seq % 97 = 0 OR seq % 101 = 0 THEN 'malformed json'
-  ELSE 'no payload' END AS reason FROM log WHERE seq % 97 = 0 OR seq % 101 = 0 OR seq % 103 = 0""",
+        "quarantine": f"""WITH {LOG} SELECT seq, reason FROM (SELECT seq, CASE
+  WHEN seq % 97 = 0 OR seq % 101 = 0 THEN 'malformed json' WHEN seq % 103 = 0 THEN 'no payload'
+  WHEN seq % 107 = 0 THEN 'no data' WHEN seq % 109 = 0 THEN 'bad time' WHEN seq % 113 = 0 THEN 'no account'
+  WHEN seq % 127 = 0 THEN 'bad field ability' WHEN seq % 131 = 0 THEN 'bad field factor_codes' END AS reason FROM log)
+WHERE reason IS NOT NULL""",
         "event_routes": f"WITH {LOG} SELECT src_type, count(*) AS n FROM log GROUP BY src_type",
         "scan_layout": f"""WITH {LOG} SELECT event_type AS source, account_id, seq FROM log WHERE dt = '20240110'""",
         "scan_text": f"""WITH {LOG} SELECT time || '##' || seq || '##' || CASE event_type WHEN 'error' THEN 'ERROR'

@@ -35,13 +35,19 @@ def event_lines(log: DataFrame) -> DataFrame:
 
 
 def damaged_lines(log: DataFrame) -> DataFrame:
-    """All event lines, some of them cut off, followed by other text or without a payload."""
+    """All event lines, some of them cut off, followed by other text, without a payload, data, readable time or account,
+    or with a field that cannot be read."""
     seq = F.regexp_extract("value", r"^\S+ \S+ (\d+)", 1).cast("bigint")
     line = F.col("value")
     damaged = (
         F.when(seq % 97 == 0, F.substring(line, F.lit(1), F.length(line) - 1))
         .when(seq % 101 == 0, F.concat(line, F.lit(" tail")))
         .when(seq % 103 == 0, F.concat(F.substring_index(line, "{", 1), F.lit("noise")))
+        .when(seq % 107 == 0, F.concat(F.substring_index(line, ',"data":', 1), F.when(seq % 2 == 0, "}").otherwise(',"data":"oops"}')))
+        .when(seq % 109 == 0, F.replace(line, F.lit('"time":"2024-'), F.lit('"time":"2024-13-')))
+        .when(seq % 113 == 0, F.replace(line, F.lit('"account_id":'), F.lit('"account":')))
+        .when(seq % 127 == 0, F.replace(line, F.lit('"ability":'), F.lit('"ability":"x","was":')))
+        .when(seq % 131 == 0, F.regexp_replace(line, r'"factor_codes":\[[^]]*\]', '"factor_codes":"g"'))
         .otherwise(line)
     )
     return with_once(event_lines(log), "damaged", damaged).select(F.col("damaged").alias("value"))

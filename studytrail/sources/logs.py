@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +36,40 @@ def rejected(parsed: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_events(lines: DataFrame, value: str = "value") -> DataFrame:
-    return parse_lines(lines, _EVENT, payload(F.col(value)))
+    """Archive event lines. Besides malformed lines those are rejected that would be an event without meaning: no data, no
+    readable time, no account, or a field whose text cannot be read as its type."""
+    parsed = parse_lines(lines, _EVENT, payload(F.col(value)))
+    data = F.col("record.data")
+    unread = F.lit(None).cast("string")
+    for f in reversed(list(EVENT["data"].dataType)):
+        if isinstance(f.dataType, T.ArrayType):
+            bad = data[f.name].isNull() & F.col("_arrays")[f.name].isNotNull()
+        elif isinstance(f.dataType, T.StringType):
+            continue
+        else:
+            bad = data[f.name].isNotNull() & data[f.name].try_cast(f.dataType).isNull()
+        unread = F.when(bad, F.lit(f"bad field {f.name}")).otherwise(unread)
+    given = [data[f.name].isNotNull() for f in EVENT["data"].dataType]
+    empty = ~functools.reduce(Column.__or__, given)
+    arrays = [f.name for f in EVENT["data"].dataType if isinstance(f.dataType, T.ArrayType)]
+    no_arrays = ~functools.reduce(Column.__or__, (F.col("_arrays")[n].isNotNull() for n in arrays))
+    reason = (
+        F.when(F.col("reason").isNotNull(), F.col("reason"))
+        .when(data.isNull() | (empty & no_arrays), "no data")
+        .when(epoch_seconds(F.col("record.time")).isNull(), "bad time")
+        .when(data["account_id"].isNull(), "no account")
+        .otherwise(unread)
+    )
+    return _with_array_text(parsed, value).withColumn("reason", reason).drop("_arrays")
+
+
+def _with_array_text(parsed: DataFrame, value: str) -> DataFrame:
+    """Add ``_arrays``: the text of array fields, read only where one of them is missing; other rows have NULL."""
+    arrays = [f.name for f in EVENT["data"].dataType if isinstance(f.dataType, T.ArrayType)]
+    schema = T.StructType([T.StructField("data", T.StructType([T.StructField(n, T.StringType()) for n in arrays]))])
+    missing = functools.reduce(Column.__or__, (F.col("record.data")[n].isNull() for n in arrays))
+    text = F.when(F.col("reason").isNull() & missing, payload(F.col(value)))
+    return with_once(parsed, "_arrays", F.from_json(text, schema)["data"])
 
 
 def event_columns() -> list[Column]:
@@ -88,15 +123,24 @@ def normalize(log: DataFrame, offline_suffix: str, online_suffix: str) -> DataFr
     ).drop("edApp")
 
 
-def alert_calls(lines: DataFrame, time_field: int = 0, value: str = "value") -> DataFrame:
-    """``##``-separated call log: level is field 2, milliseconds field 6, url field 8."""
+def parse_calls(lines: DataFrame, time_field: int = 0, value: str = "value") -> DataFrame:
+    """``##``-separated call log, with ``reason`` for lines that are too short or have no readable time.
+
+    Level is field 2, milliseconds field 6, url field 8.
+    """
     f = F.split(F.col(value), "##")
-    return lines.where(F.size(f) > 8).select(
-        f[time_field].try_cast("timestamp_ntz").alias("ts"),
-        F.lower(f[2]).alias("level"),
-        F.trim(f[6]).try_cast("bigint").alias("use_time"),
-        f[8].alias("url"),
+    read = lines.select(
+        F.get(f, F.lit(time_field)).try_cast("timestamp_ntz").alias("ts"),
+        F.lower(F.get(f, F.lit(2))).alias("level"),
+        F.trim(F.get(f, F.lit(6))).try_cast("bigint").alias("use_time"),
+        F.get(f, F.lit(8)).alias("url"),
         F.col(value).alias("line"),
+        F.size(f).alias("_size"),
     )
+    reason = F.when(F.coalesce(F.col("_size"), F.lit(0)) < 9, "too few fields").when(F.col("ts").isNull(), "bad time")
+    return read.withColumn("reason", reason).drop("_size")
 
 
+def alert_calls(lines: DataFrame, time_field: int = 0, value: str = "value") -> DataFrame:
+    """The readable calls; ``rejected(parse_calls(lines), "line")`` has the others."""
+    return parse_calls(lines, time_field, value).where(F.col("reason").isNull()).drop("reason")

@@ -22,16 +22,21 @@ def lines(spark, *values):
 
 def test_event_lines(spark):
     good = '1 ip 0 {"time":"2024-01-02 00:00:01","data":{"account_id":11,"account_id":"12","cost_time":"5","ability":1,"module_type":3}}'
+    at = '"time":"2024-01-02 00:00:01"'
     parsed = logs.parse_events(
-        lines(spark, good, 'x {"time":"t"} junk', 'x {"time":"t"}{"a":1}', "nothing", 'x {"time":', None, 'x {"time":"t"} ')
+        lines(spark, good, 'x {"time":"t"} junk', 'x {"time":"t"}{"a":1}', "nothing", 'x {"time":', None,
+              f"x {{{at}}} ", f'x {{{at},"data":"oops"}}', 'x {"a":1}', f'x {{{at},"data":{{}}}}',
+              'x {"time":"2024-13-01 00:00:00","data":{"account_id":1}}', 'x {"data":{"account_id":1}}', f'x {{{at},"data":{{"stage":1}}}}',
+              f'x {{{at},"data":{{"account_id":1,"cost_time":"5.5"}}}}', f'x {{{at},"data":{{"account_id":1,"factor_codes":"g"}}}}')
     )
-    ok = logs.events_of(parsed).collect()
-    assert len(ok) == 2
-    first = next(r for r in ok if r.account_id)
+    first, = logs.events_of(parsed).collect()
     assert (first.account_id, first.cost_time, first.ability, first.section_id, first.dt) == ("12", 5, 1.0, "3", "20240102")
-    assert first.epoch_s is not None and next(r for r in ok if not r.account_id).epoch_s is None
+    assert first.epoch_s is not None and first.factor_codes is None
     reasons = [r.reason for r in logs.rejected(parsed).collect()]
-    assert sorted(reasons) == ["malformed json"] * 3 + ["no payload"] * 2
+    assert sorted(reasons) == sorted(
+        ["malformed json"] * 3 + ["no payload"] * 2 + ["no data"] * 4 + ["bad time"] * 2
+        + ["no account", "bad field cost_time", "bad field factor_codes"]
+    )
 
 
 def test_api_lines(spark):
@@ -206,7 +211,13 @@ def test_alert_rules(spark):
 def test_alert_lines(spark):
     df = logs.alert_calls(lines(spark, "2024-01-01 00:00:00##x##ERROR##a##b##c##12##d##/u", "a##b##c", "t##x##W##a##b##c##no##d##/v"))
     got = sorted((r.level, r.use_time, r.url) for r in df.select("level", F.coalesce("use_time", F.lit(-1)).alias("use_time"), "url").collect())
-    assert got == [("error", 12, "/u"), ("w", -1, "/v")]
+    assert got == [("error", 12, "/u")]
+
+
+def test_unreadable_calls_are_kept_apart(spark):
+    parsed = logs.parse_calls(lines(spark, "2024-01-01 00:00:00##x##ERROR##a##b##c##12##d##/u", "a##b##c", None, "t##x##W##a##b##c##no##d##/v"))
+    got = sorted((r.raw or "", r.reason) for r in logs.rejected(parsed, "line").collect())
+    assert got == [("", "too few fields"), ("a##b##c", "too few fields"), ("t##x##W##a##b##c##no##d##/v", "bad time")]
 
 
 def test_alert_stream(spark, tmp_path):
