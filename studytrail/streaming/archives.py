@@ -2,8 +2,9 @@
 
 Next to the archive itself a *tail* is kept: the few rows of each timeline that a later row still
 has to be compared with. A micro-batch is marked together with the tails of the timelines it
-touches; what it adds to the archive and the new tails of those timelines are written down, and
-neither table is rewritten as a whole but for a fold now and then (see ``versions``).
+touches; what it adds to the archive and the new tails of those timelines are written down. Both tables are kept in
+buckets, tails by account, so a micro-batch reads the buckets of its own accounts and rewrites a few that are due
+(see ``versions``). Empty micro-batches change nothing.
 Rows count in order of arrival: tails come first, a micro-batch is ordered by (time, seq).
 """
 
@@ -22,7 +23,7 @@ from studytrail.operators.merge import merge_additive
 from studytrail.operators.timeline import ROWS_PER_PART, Timeline, cut, join_same
 from studytrail.schema import SUBMIT
 from studytrail.streaming.sinks import EVERY, each_batch, persisted
-from studytrail.streaming.versions import BATCH, Versions
+from studytrail.streaming.versions import BATCH, BUCKET, Pointer, Versions, bucket_of, query_id
 
 ARRIVAL = "_arrival"
 ASKED = "_asks_kept"
@@ -66,7 +67,12 @@ def latest_tails(tails: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 class ArchiveStream:
-    """Keeps one archive and its tails under ``root``."""
+    """Keeps one archive and its tails under ``root``.
+
+    ``keep_days``: tails of daily archives may be forgotten this many days before the latest day seen. Days after
+    the day of the run do not count as seen, and a tail is only ever dropped when its bucket is due, never hidden
+    from a batch; ``expired`` counts them. A row that comes later still opens a visit of its own.
+    """
 
     def __init__(
         self,
@@ -79,83 +85,108 @@ class ArchiveStream:
         self.root = root
         self.spec = ar.ARCHIVES[spec] if isinstance(spec, str) else spec
         self.rows_per_part = rows_per_part
-        # Daily archives may forget tails older than this many days before the batch's latest day.
         self.keep_days = keep_days
         line = ar.timeline_of(self.spec)
         self.line = replace(line, batch=ARRIVAL)
         self.cols = _event_columns(self.spec, line) if self.spec.visits else []
         self.archive = Versions(f"{root}/archive", fold_every)
         self.tails = Versions(f"{root}/tails", fold_every)
+        self.pointer = Pointer(f"{root}/pointer")
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Add a micro-batch; it is read several times, so the caller should persist it."""
-        spec = self.spec
-        if spec.visits is None:
-            write_added(self.archive, ar.counts(batch, spec), spec.keys, spec.measures, batch_id)
+        spec, spark = self.spec, batch.sparkSession
+        rows, touched, day = self._look(batch)
+        if not rows:
             return
-        kept = self._kept_tails(batch, batch_id)
-        marked, line = self._mark(batch, kept)
-        # Read for the tails and for the archive; blocks that are lost are computed again.
-        marked = marked.persist()
-        try:
-            self._write_tails(marked, kept, batch_id)
-            delta = ar.archive_marked(marked, spec, line, F.col(ARRIVAL) == 1)
-            write_added(self.archive, delta, spec.keys, spec.measures, batch_id)
-        finally:
-            marked.unpersist()
-
-    def _kept_tails(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        keys = self.line.keys
+        step, last = self.pointer.step_of(spark, batch_id)
+        day = max(filter(None, (day, last and last["day"])), default=None)
+        expired = last["expired"] if last else 0
+        if spec.visits is None:
+            write_added(self.archive, ar.counts(batch, spec), spec.keys, spec.measures, step)
+        else:
+            kept = self._kept_tails(batch, step, sorted({*touched, *self.tails.due(step)}))
+            marked, line = self._mark(batch, kept, rows > self.rows_per_part)
+            # Read for the tails and for the archive; blocks that are lost are computed again.
+            marked = marked.persist()
+            try:
+                expired += self._write_tails(marked, kept, step, day)
+                delta = ar.archive_marked(marked, spec, line, F.col(ARRIVAL) == 1)
+                write_added(self.archive, delta, spec.keys, spec.measures, step)
+            finally:
+                marked.unpersist()
+        self.pointer.write(spark, query_id(spark), batch_id, step, day, expired)
+
+    def _look(self, batch: DataFrame) -> tuple[int, list[int], str | None]:
+        """One pass: number of rows, buckets of their accounts (BUCKETS at most), latest day up to the day of the run."""
+        today = F.date_format(F.current_date(), "yyyyMMdd")
+        day = F.max(F.when(F.col("dt") <= today, F.col("dt"))) if "dt" in batch.columns else F.lit(None).cast("string")
+        found = batch.agg(F.count(F.lit(1)).alias("n"), F.collect_set(bucket_of(["account_id"])).alias("b"), day.alias("d")).first()
+        return found["n"], found["b"], found["d"]
+
+    def _kept_tails(self, batch: DataFrame, step: int, buckets: Sequence[int]) -> DataFrame:
         rows = T.ArrayType(batch.select(*self.cols, F.lit(False).alias(ASKED)).schema)
-        schema = batch.select(*keys).schema.add("tail", rows)
-        kept = self.tails.rows(batch.sparkSession, batch_id - 1, schema)
-        if self.keep_days is not None and "dt" in keys:
-            kept = kept.where(F.col("dt") >= self._oldest_day(batch))
-        return kept
-
-    def _mark(self, batch: DataFrame, kept: DataFrame) -> tuple[DataFrame, Timeline]:
-        """The batch and the tails of the timelines it touches, marked as one log."""
+        schema = batch.select(*self.line.keys).schema.add("tail", rows)
+        return self.tails.rows(batch.sparkSession, step - 1, schema, buckets)
+
+    def _mark(self, batch: DataFrame, kept: DataFrame, long: bool) -> tuple[DataFrame, Timeline]:
+        """The batch and the tails of the timelines it touches, marked as one log.
+
+        Only a batch of more rows than a part holds (``long``) can have an account to cut.
+        """
         spec, keys = self.spec, self.line.keys
         relevant = ar.is_submit() if spec.visits != "closed" else ar.is_submit() | (F.col("src_type") == spec.end)
         new = batch.where(relevant).withColumns({ARRIVAL: F.lit(1), ASKED: F.lit(False)})
         touched = latest_tails(join_same(kept, new.select(*keys).distinct(), keys, "left_semi"), keys)
         carried = touched.select(F.inline("tail")).withColumn(ARRIVAL, F.lit(0))
         accounts = replace(self.line, keys=("account_id",))
-        every, cut_line = cut(
-            carried.unionByName(new, allowMissingColumns=True), accounts, self.rows_per_part, counted=new
-        )
-        line = cut_line.within(*keys)
+        every = carried.unionByName(new, allowMissingColumns=True)
+        if long:
+            every, accounts = cut(every, accounts, self.rows_per_part, counted=new)
+        line = accounts.within(*keys)
         return ar.mark_visits(every, spec, line, F.col(ASKED)), line
 
-    def _write_tails(self, marked: DataFrame, kept: DataFrame, batch_id: int) -> None:
-        keys = self.line.keys
-        tails = next_tails(marked, self.spec, self.line, self.cols)
-        if self.tails.is_fold(batch_id):
-            others = latest_tails(join_same(kept, tails, keys, "left_anti"), keys)
-            tails = others.unionByName(tails).where(F.size("tail") > 0)
-        self.tails.write(tails, batch_id)
-
-    def _oldest_day(self, batch: DataFrame) -> Column:
-        latest = batch.agg(F.max("dt")).first()[0]
-        day = F.date_sub(F.to_date(F.lit(latest), "yyyyMMdd"), self.keep_days)
-        return F.date_format(day, "yyyyMMdd")
+    def _write_tails(self, marked: DataFrame, kept: DataFrame, step: int, day: str | None) -> int:
+        """Tails of the touched timelines, and all others of the buckets that are due; how many of those expired."""
+        keys, due = self.line.keys, self.tails.due(step)
+        tails = next_tails(marked, self.spec, self.line, self.cols).withColumn(BUCKET, bucket_of(["account_id"]))
+        others = latest_tails(join_same(kept.where(F.col(BUCKET).isin(due)), tails, keys, "left_anti"), keys)
+        others = others.where(F.size("tail") > 0).withColumn(BUCKET, bucket_of(["account_id"]))
+        expired = 0
+        if self.keep_days is not None and "dt" in keys and day is not None:
+            oldest = F.date_format(F.date_sub(F.to_date(F.lit(day), "yyyyMMdd"), self.keep_days), "yyyyMMdd")
+            old = F.coalesce(F.col("dt") < oldest, F.lit(False))
+            expired = others.where(old).count()
+            others = others.where(~old)
+        self.tails.write(others.unionByName(tails), step)
+        return expired
 
     def start(self, events: DataFrame, every: str | None = EVERY) -> StreamingQuery:
         return each_batch(events, persisted(self.write), f"{self.root}/checkpoint", every)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """The archive as of the last completed batch."""
-        return ar.finish(ar.add_up(self.archive.latest(spark), self.spec), self.spec)
+        """The archive as of the last completed batch; before the first, there is none to read."""
+        return ar.finish(ar.add_up(latest(spark, self.pointer, self.archive), self.spec), self.spec)
+
+    def expired(self, spark: SparkSession) -> int:
+        last = self.pointer.read(spark)
+        return last["expired"] if last else 0
+
 
+def latest(spark: SparkSession, pointer: Pointer, table: Versions) -> DataFrame:
+    """Rows that make up the table as of the last completed step."""
+    last = pointer.read(spark)
+    if last is None:
+        raise ValueError(f"no batch has been written under {pointer.root}")
+    schema = spark.read.option("basePath", table.root).parquet(f"{table.root}/place=*").drop("place").schema
+    return table.rows(spark, last["step"], schema).drop(BATCH, BUCKET)
 
-def write_added(
-    table: Versions, delta: DataFrame, keys: Sequence[str], measures: Sequence[str], batch_id: int
-) -> None:
-    """Write what a batch adds, or at a fold the sum of everything so far."""
-    if table.is_fold(batch_id):
-        before = table.rows(delta.sparkSession, batch_id - 1, delta.schema)
-        delta = merge_additive(before, delta, keys, measures)
-    table.write(delta, batch_id)
+
+def write_added(table: Versions, delta: DataFrame, keys: Sequence[str], measures: Sequence[str], step: int) -> None:
+    """Write what a batch adds, and of the buckets that are due the sum of everything so far."""
+    delta = delta.withColumn(BUCKET, bucket_of(keys))
+    before = table.rows(delta.sparkSession, step - 1, delta.schema, table.due(step)).drop(BATCH)
+    table.write(merge_additive(before, delta, (*keys, BUCKET), measures), step)
 
 
 class FactorStream:
@@ -165,15 +196,20 @@ class FactorStream:
         self.root = root
         self.keys = ar.FACTORS[keys] if isinstance(keys, str) else tuple(keys)
         self.accounts = Versions(f"{root}/accounts", fold_every)
+        self.pointer = Pointer(f"{root}/pointer")
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        delta = ar.factor_accounts(batch, self.keys)
-        write_added(self.accounts, delta, (*self.keys, "account_id"), ar.COUNTERS, batch_id)
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        step, _ = self.pointer.step_of(spark, batch_id)
+        write_added(self.accounts, ar.factor_accounts(batch, self.keys), (*self.keys, "account_id"), ar.COUNTERS, step)
+        self.pointer.write(spark, query_id(spark), batch_id, step)
 
     def start(self, events: DataFrame, every: str | None = EVERY) -> StreamingQuery:
-        return each_batch(events, self.write, f"{self.root}/checkpoint", every)
+        return each_batch(events, persisted(self.write), f"{self.root}/checkpoint", every)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        rows, by = self.accounts.latest(spark), (*self.keys, "account_id")
+        rows, by = latest(spark, self.pointer, self.accounts), (*self.keys, "account_id")
         per_account = rows.groupBy(*by).agg(*(F.sum(c).alias(c) for c in ar.COUNTERS))
         return ar.factor_totals(per_account, self.keys)

@@ -1,48 +1,94 @@
-"""A keyed table that micro-batches add to.
+"""A keyed table that micro-batches add to, in buckets.
 
-Batch ``n`` writes only its own additions; every ``fold_every``-th batch writes the whole table
-instead. The table after batch ``n`` is the last whole one and the additions since. Each batch number
-has its own place, so a batch that is repeated after a failure gives the same table; places are used
-again two folds later.
+Step ``n`` writes its own additions, and of the buckets that are due the whole content: bucket ``b`` is folded at steps
+``n`` with ``n % fold_every == b % fold_every``. The table after step ``n`` is, bucket by bucket, the last whole one and
+the additions since, so a step reads and writes the buckets it touches and a few that are due, however large the
+table is. Each step has its own place, so a step that is repeated gives the same table; places are used again
+two rounds later. ``Pointer`` names the last step that was completed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH = "batch_id"
+BUCKET = "bucket"
+BUCKETS = 32
+POINTER = "query string, batch bigint, step bigint, day string, expired bigint"
+
+
+def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
 @dataclass(frozen=True)
 class Versions:
     root: str
     fold_every: int = 20
+    buckets: int = BUCKETS
 
-    def _place(self, batch_id: int) -> str:
-        fold, step = divmod(batch_id, self.fold_every)
-        return f"{self.root}/{fold % 2}/{step}"
+    def _place(self, step: int) -> str:
+        return f"{self.root}/place={step % (2 * self.fold_every)}"
 
-    def is_fold(self, batch_id: int) -> bool:
-        return batch_id % self.fold_every == 0
+    def due(self, step: int) -> list[int]:
+        """Buckets that are written as a whole at this step."""
+        return [b for b in range(self.buckets) if b % self.fold_every == step % self.fold_every]
 
-    def rows(self, spark: SparkSession, batch_id: int, schema: T.StructType) -> DataFrame:
-        """All rows that make up the table after ``batch_id``; a key may have several."""
-        schema = T.StructType([f for f in schema.fields if f.name != BATCH]).add(BATCH, T.LongType())
-        if batch_id < 0:
+    def rows(self, spark: SparkSession, step: int, schema: T.StructType, only: Sequence[int] | None = None) -> DataFrame:
+        """All rows that make up the table after ``step`` (of some buckets only); a key may have several."""
+        schema = T.StructType([f for f in schema.fields if f.name not in (BATCH, BUCKET)])
+        schema = schema.add(BATCH, T.LongType()).add(BUCKET, T.IntegerType())
+        if step < 0 or (only is not None and not len(only)):
             return spark.createDataFrame([], schema)
-        first = batch_id - batch_id % self.fold_every
-        return spark.read.schema(schema).parquet(*(self._place(i) for i in range(first, batch_id + 1)))
-
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        numbered = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        numbered.write.mode("overwrite").parquet(self._place(batch_id))
-
-    def latest(self, spark: SparkSession) -> DataFrame:
-        """Rows that make up the table after the last batch that wrote any."""
-        every = spark.read.parquet(f"{self.root}/*/*")
-        last = every.agg(F.max(BATCH)).first()[0]
-        return self.rows(spark, -1 if last is None else last, every.schema).drop(BATCH)
+        places = [self._place(i) for i in range(max(0, step - self.fold_every + 1), step + 1)]
+        found = spark.read.option("basePath", self.root).schema(schema).parquet(*places)
+        if only is not None:
+            found = found.where(F.col(BUCKET).isin([int(b) for b in only]))
+        whole = F.lit(step) - F.pmod(F.lit(step) - F.col(BUCKET), F.lit(self.fold_every))
+        return found.where((F.col(BATCH) >= whole) & (F.col(BATCH) <= step))
+
+    def write(self, rows: DataFrame, step: int) -> None:
+        """Rows with their bucket, one file for each bucket."""
+        numbered = rows.withColumn(BATCH, F.lit(step).cast("bigint"))
+        numbered.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(self._place(step))
+
+
+@dataclass(frozen=True)
+class Pointer:
+    """The last completed step: the query and batch that wrote it, the latest day seen, tails expired so far."""
+
+    root: str
+
+    def read(self, spark: SparkSession) -> T.Row | None:
+        try:
+            found = spark.read.schema(POINTER).parquet(f"{self.root}/[01]").orderBy(F.desc("step")).head(1)
+        except AnalysisException as e:  # nothing written yet
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return found[0] if found else None
+
+    def write(self, spark: SparkSession, query: str | None, batch: int, step: int, day: str | None = None, expired: int = 0) -> None:
+        row = spark.createDataFrame([(query, batch, step, day, expired)], POINTER)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{step % 2}")
+
+    def step_of(self, spark: SparkSession, batch: int) -> tuple[int, T.Row | None]:
+        """(step, pointer before it) of a batch: a repeated batch has its step again, a new one the next.
+
+        A query is known by the id that its checkpoint keeps; without one, batches are told apart by number only.
+        """
+        last = self.read(spark)
+        if last is None:
+            return 0, None
+        same = last["query"] == query_id(spark) and last["batch"] == batch
+        return (last["step"] if same else last["step"] + 1), last
+
+
+def query_id(spark: SparkSession) -> str | None:
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")

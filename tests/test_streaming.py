@@ -12,6 +12,7 @@ from studytrail.operators import archives as ar
 from studytrail.plans.study_log import study_log
 from studytrail.sources.messages import table_stream
 from studytrail.streaming.archives import ArchiveStream, FactorStream
+from studytrail.streaming.sinks import each_batch
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +80,62 @@ def test_hot_account_in_a_stream(spark, files, tmp_path):
             s.write(part, i)
         want = ar.archive(whole, name)
         assert spark_rows(s.read(spark).select(*want.columns)) == spark_rows(want), name
+
+
+def one_course(spark, log, *rows):
+    """Submits of account 1 in course 1: (seq, day or None)."""
+    base = log.where("src_type = 'SUBMIT_QUESTION'").limit(1).drop("seq", "dt", "epoch_s", "account_id", "course_id")
+    made = spark.createDataFrame([(s, d, s, 1, 1) for s, d in rows], "seq bigint, dt string, epoch_s bigint, account_id bigint, course_id bigint")
+    return base.crossJoin(F.broadcast(made)).select(*log.columns)
+
+
+@pytest.mark.parametrize("between", [[], [(50, None)], [(50, "20990101")]])
+def test_odd_batches_keep_the_state(spark, files, tmp_path, between):
+    """An empty batch, one without a day or one from the far future hides or expires no live tail."""
+    _, log, _ = files
+    s = ArchiveStream(str(tmp_path / "c"), "course_daily", keep_days=1, fold_every=2)
+    odd = one_course(spark, log, *between) if between else log.limit(0)
+    for i, batch in enumerate([one_course(spark, log, (1, "20240102")), odd, odd, odd, one_course(spark, log, (2, "20240102"))]):
+        s.write(batch, i)
+    got = {r.dt: (r.entries, r.answers) for r in s.read(spark).collect()}
+    assert got["20240102"] == (1, 2)
+
+
+def test_old_tails_expire_and_are_counted(spark, files, tmp_path):
+    _, log, _ = files
+    s = ArchiveStream(str(tmp_path / "c"), "course_daily", keep_days=1, fold_every=1)
+    for i, day in enumerate(["20240102", "20240103", "20240110", "20240111"]):
+        s.write(one_course(spark, log, (i, day)), i)
+    assert s.expired(spark) == 2
+    assert {(r.dt, r.entries) for r in s.read(spark).collect()} == {(d, 1) for d in ("20240102", "20240103", "20240110", "20240111")}
+
+
+def test_a_batch_reads_the_buckets_it_touches(spark, files, tmp_path):
+    paths, log, _ = files
+    s = ArchiveStream(str(tmp_path / "tag"), "tag", fold_every=20)
+    first = spark.read.schema(log.schema).parquet(paths[0])
+    s.write(first, 0)
+    small = one_course(spark, log, (10**9, "20240105"))
+    _, touched, _ = s._look(small)
+    assert len(touched) == 1 and len(s.tails.due(1)) <= 2
+    kept = s._kept_tails(small, 1, touched)
+    plan = kept._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r.bucket for r in kept.select("bucket").distinct().collect()} <= set(touched)
+    s.write(small, 1)
+    whole = first.unionByName(small)
+    assert spark_rows(s.read(spark).select(*ar.archive(whole, "tag").columns)) == spark_rows(ar.archive(whole, "tag"))
+
+
+def test_state_goes_on_under_a_new_checkpoint(spark, files, tmp_path):
+    paths, log, _ = files
+    parts = [spark.read.schema(log.schema).parquet(p) for p in paths[:2]]
+    s = ArchiveStream(str(tmp_path / "topic"), "topic", fold_every=2)
+    for i, path in enumerate(paths[:2]):
+        source = tmp_path / f"in{i}"
+        source.mkdir()
+        deliver(path, source, 0, 1_000_000)
+        stream = table_stream(spark, str(source), log.schema, files_per_trigger=1)
+        each_batch(stream, s.write, str(tmp_path / f"checkpoint{i}"), every=None).awaitTermination()  # batch 0 each time
+    want = ar.archive(parts[0].unionByName(parts[1]), "topic")
+    assert spark_rows(s.read(spark).select(*want.columns)) == spark_rows(want)
