@@ -1,7 +1,8 @@
 """Alert rules over a call log with ``ts``, ``level``, ``use_time`` (ms) and ``url``.
 
 Every rule gives (rule, url, at, amount), so that rules can be unioned and rate-limited together.
-All rules but ``traffic_jumps`` also take a streaming frame that has a watermark on ``ts``.
+Slow and failed calls also take a streaming frame; bursts and jumps on a stream come from counts that add up over
+micro-batches (``streaming.alerts``).
 """
 
 from __future__ import annotations
@@ -24,34 +25,56 @@ def error_calls(calls: DataFrame) -> DataFrame:
     return calls.where(F.col("level") == "error").select(*_alert("error", F.col("ts"), F.lit(1)))
 
 
-def warn_bursts(calls: DataFrame, times: int = 3, within: str = "1 minute", slide: str | None = None) -> DataFrame:
-    """Windows in which one url warned at least ``times`` times.
+def warn_counts(calls: DataFrame) -> DataFrame:
+    """(url, ts, n): warnings of each moment; these add up over batches."""
+    return calls.where(F.col("level") == "warn").groupBy("url", "ts").agg(F.count(F.lit(1)).alias("n"))
 
-    With ``slide`` windows overlap, so that bursts across a border are seen (and reported more than once).
+
+def bursts_of(counts: DataFrame, times: int = 3, within: str = "1 minute") -> DataFrame:
+    """One alert per url and stretch of ``within`` in which the ``times``-th warning within any ``within`` came.
+
+    ``at`` is when it came, ``amount`` the most warnings within ``within``. A moment is looked at together with the
+    stretch before its own, so that borders hide nothing and no window holds more than two stretches of one url.
     """
-    window = F.window("ts", within, slide)
-    counts = calls.where(F.col("level") == "warn").groupBy(window, "url").count()
-    return counts.where(F.col("count") >= times).select(*_alert("warn", F.col("window.start"), F.col("count")))
+    span = F.expr(f"interval {within}")
+    own = F.window("ts", within)["start"].cast(counts.schema["ts"].dataType)
+    rows = counts.withColumn("_own", own).withColumn("_stretch", F.explode(F.array(F.col("_own"), F.col("_own") + span)))
+    so_far = F.expr(f"sum(n) OVER (PARTITION BY url, _stretch ORDER BY ts RANGE BETWEEN INTERVAL {within} PRECEDING AND CURRENT ROW)")
+    rows = rows.withColumn("_sum", so_far).where((F.col("_stretch") == F.col("_own")) & (F.col("_sum") >= times))
+    return rows.groupBy("url", "_own").agg(F.min("ts").alias("_at"), F.max("_sum").alias("_most")).select(*_alert("warn", F.col("_at"), F.col("_most")))
 
 
-def traffic_jumps(calls: DataFrame, within: str = "5 minutes", top: int = 20, factor: float = 2.0) -> DataFrame:
+def warn_bursts(calls: DataFrame, times: int = 3, within: str = "1 minute") -> DataFrame:
+    """Alerts where one url warned ``times`` times within any ``within`` (see ``bursts_of``)."""
+    return bursts_of(warn_counts(calls), times, within)
+
+
+def call_counts(calls: DataFrame, within: str = "5 minutes") -> DataFrame:
+    """(url, start, n): calls of each window; these add up over batches."""
+    return calls.groupBy("url", F.window("ts", within)["start"].alias("start")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def jumps_of(counts: DataFrame, within: str = "5 minutes", top: int = 20, factor: float = 2.0) -> DataFrame:
     """Of each window's ``top`` urls, those called more than ``factor`` times as often as in the window before.
 
-    Calls are counted per window and url before anything is ranked; the rank limit applies before the
-    shuffle, and the window before is one row per url.
+    The rank limit applies before the shuffle, and the window before is one row per url.
     """
-    counts = calls.groupBy(F.window("ts", within), "url").count()
-    by_url = Window.partitionBy("url").orderBy("window.start")
-    before = F.when(F.lag("window.end").over(by_url) == F.col("window.start"), F.lag("count").over(by_url))
-    busiest = Window.partitionBy("window").orderBy(F.desc("count"), "url")
+    by_url = Window.partitionBy("url").orderBy("start")
+    before = F.when(F.lag("start").over(by_url) + F.expr(f"interval {within}") == F.col("start"), F.lag("n").over(by_url))
+    busiest = Window.partitionBy("start").orderBy(F.desc("n"), "url")
     return (
         counts.withColumn("before", F.coalesce(before, F.lit(0)))
         .withColumn("rank", F.row_number().over(busiest))
-        .where((F.col("rank") <= top) & (F.col("count") > F.col("before") * F.lit(factor)))
-        .select(*_alert("traffic", F.col("window.start"), F.col("count")))
+        .where((F.col("rank") <= top) & (F.col("n") > F.col("before") * F.lit(factor)))
+        .select(*_alert("traffic", F.col("start"), F.col("n")))
     )
 
 
+def traffic_jumps(calls: DataFrame, within: str = "5 minutes", top: int = 20, factor: float = 2.0) -> DataFrame:
+    """Calls are counted per window and url before anything is ranked (see ``jumps_of``)."""
+    return jumps_of(call_counts(calls, within), within, top, factor)
+
+
 def limit_rate(alerts: DataFrame, every: str = "10 minutes", by: Sequence[str] = ("rule", "url")) -> DataFrame:
     """The first alert per rule and url in each interval; how many there were is kept as ``suppressed``."""
     return (

@@ -4,36 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from studytrail.functions.text import join_key
-from studytrail.operators.timeline import join_same, long_keys
 
-ROWS_PER_DOCUMENT = 100_000
 
-
-def number_parts(
-    rows: DataFrame, keys: Sequence[str], by: Sequence[str], limit: int | None, part: str = "part"
-) -> DataFrame:
-    """Number the parts a key's rows are collected in: 0, or a hash of ``by`` where the key has
-    more than ``limit`` rows, so that no collected value grows beyond about ``limit`` rows.
-
-    One job counts rows per key, so ``rows`` should be a table or cheap to compute. No limit (None) is
-    for frames in which the number of rows per key is fixed, such as one row per user and day.
-    """
-    if limit is None:
-        return rows.withColumn(part, F.lit(0).cast("bigint"))
-    counts = long_keys(rows, keys, limit)
-    if counts is None:
-        return rows.withColumn(part, F.lit(0).cast("bigint"))
-    parts = F.ceil(F.col("count") / F.lit(limit))
-    number = F.pmod(F.xxhash64(*by), parts).cast("bigint")
-    return (
-        join_same(rows, counts, keys, "left")
-        .withColumn(part, F.coalesce(number, F.lit(0).cast("bigint")))
-        .drop("count")
-    )
+def _part(part: Column | None) -> Column:
+    return (F.lit(0) if part is None else part).cast("bigint").alias("part")
 
 
 def _as_text(columns: Sequence[str]) -> Column:
@@ -41,48 +19,49 @@ def _as_text(columns: Sequence[str]) -> Column:
 
 
 def json_documents(
-    rows: DataFrame,
-    keys: Sequence[str],
-    columns: Sequence[str],
-    order: Sequence[str],
-    rows_per_document: int | None = ROWS_PER_DOCUMENT,
+    rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str], part: Column | None = None
 ) -> DataFrame:
-    """(keys, part, value): a JSON array of the key's rows in ``order``, every value as text."""
-    rows = number_parts(rows, keys, columns, rows_per_document)
+    """(keys, part, value): a JSON array of the key's rows in ``order``, every value as text.
+
+    A document is one value, so what a key holds must be bounded by what the key is: a user's subjects of a day, say.
+    Where it isn't, name a ``part`` that comes from the row, such as its day; parts follow each other if ``part`` rises
+    with ``order``. The rule is the same whatever a key's size. ``entry_rows`` has no bound at all.
+    """
     entry = F.struct(*(F.col(c).alias(f"_o{i}") for i, c in enumerate(order)), _as_text(columns).alias("_row"))
     entries = F.array_sort(F.collect_list(entry))
     value = F.to_json(F.transform(entries, lambda e: e["_row"])).alias("value")
-    return rows.groupBy(*keys, "part").agg(value)
+    return rows.groupBy(*keys, _part(part)).agg(value)
 
 
-def user_docs(
-    rows: DataFrame, table: str, columns: Sequence[str], order: Sequence[str],
-    rows_per_document: int | None = ROWS_PER_DOCUMENT,
-) -> DataFrame:
+def entry_rows(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """(keys, position, entry): the entries of a document as rows, numbered from 1 in ``order``; nothing is collected."""
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *columns))
+    return rows.select(*keys, position.cast("bigint").alias("position"), F.to_json(_as_text(columns)).alias("entry"))
+
+
+def user_docs(rows: DataFrame, table: str, columns: Sequence[str], order: Sequence[str], part: Column | None = None) -> DataFrame:
     """(key, part, value) with key ``user<=>table``."""
-    docs = json_documents(rows, ["user_id"], columns, order, rows_per_document)
+    docs = json_documents(rows, ["user_id"], columns, order, part)
     return docs.select(join_key(F.col("user_id"), F.lit(table)).alias("key"), "part", "value")
 
 
 def user_week_docs(
-    rows: DataFrame, columns: Sequence[str], order: Sequence[str], week: str = "dt",
-    rows_per_document: int | None = ROWS_PER_DOCUMENT,
+    rows: DataFrame, columns: Sequence[str], order: Sequence[str], week: str = "dt", part: Column | None = None
 ) -> DataFrame:
     """(key, part, value) with key ``user<=>week``."""
-    docs = json_documents(rows, ["user_id", week], columns, order, rows_per_document)
+    docs = json_documents(rows, ["user_id", week], columns, order, part)
     return docs.select(join_key(F.col("user_id"), F.col(week)).alias("key"), "part", "value")
 
 
 def user_week_scores(
-    rows: DataFrame, table: str, columns: Sequence[str], order: Sequence[str], week: str = "dt",
-    rows_per_document: int | None = ROWS_PER_DOCUMENT,
+    rows: DataFrame, table: str, columns: Sequence[str], order: Sequence[str], week: str = "dt", part: Column | None = None
 ) -> DataFrame:
-    """(key, score, member): the week's document as a member scored by the week; a document in several
-    parts is several members of one score. Merge on (key, member)."""
-    docs = json_documents(rows, ["user_id", week], columns, order, rows_per_document)
+    """(key, score, part, member): the week's document as a member scored by the week. Merge on (key, score, part)."""
+    docs = json_documents(rows, ["user_id", week], columns, order, part)
     return docs.select(
         join_key(F.col("user_id"), F.lit(table)).alias("key"),
         F.col(week).try_cast("double").alias("score"),
+        "part",
         F.col("value").alias("member"),
     )
 
@@ -108,11 +87,10 @@ def read_cells(cells: DataFrame, row_key: str, family: str) -> DataFrame:
     return cells.where((F.col("rowkey") == row_key) & (F.col("cf") == family)).select("qualifier", "value")
 
 
-def cells_to_map(cells: DataFrame, cells_per_map: int | None = ROWS_PER_DOCUMENT) -> DataFrame:
-    """(rowkey, cf, part, cells): rows as maps; a row with very many cells is several maps."""
-    cells = number_parts(cells, ["rowkey", "cf"], ["qualifier"], cells_per_map)
+def cells_to_map(cells: DataFrame, part: Column | None = None) -> DataFrame:
+    """(rowkey, cf, part, cells): a row's family as a map; a family holds a fixed set of columns, else name a ``part``."""
     entries = F.array_sort(F.collect_list(F.struct("qualifier", "value")))
-    return cells.groupBy("rowkey", "cf", "part").agg(F.map_from_entries(entries).alias("cells"))
+    return cells.groupBy("rowkey", "cf", _part(part)).agg(F.map_from_entries(entries).alias("cells"))
 
 
 def to_messages(rows: DataFrame, topic: str, key: Column, columns: Sequence[str] | None = None) -> DataFrame:

@@ -247,7 +247,7 @@ FROM {table} WHERE dt = '20240110' GROUP BY user_id"""
 def serving() -> dict[str, str]:
     head = f"WITH {LOG}, {INDICATORS}"
     week = f"'[' || {_object(WEEK)} || ']'"
-    scores = f"SELECT user_id || '<=>up_week' AS key, cast(dt AS DOUBLE) AS score, {week} AS member FROM up_week"
+    scores = f"SELECT user_id || '<=>up_week' AS key, cast(dt AS DOUBLE) AS score, cast(0 AS BIGINT) AS part, {week} AS member FROM up_week"
     cells = " UNION ALL ".join(
         f"SELECT user_id || '_' || dt AS rowkey, 'cf' AS cf, '{c}' AS qualifier, cast({c} AS VARCHAR) AS value "
         "FROM up_rank_day"
@@ -324,8 +324,10 @@ def alerts() -> dict[str, str]:
     return {
         "alert_slow": f"{head} {slow}",
         "alert_error": f"{head} {error}",
-        "alert_warn": f"""{head} SELECT 'warn' AS rule, url, {_at("epoch_s // 43200 * 43200")} AS at, count(*) AS amount
-FROM c WHERE level = 'warn' GROUP BY url, epoch_s // 43200 HAVING count(*) >= 3""",
+        "alert_warn": f"""{head}, s AS (SELECT url, epoch_s, count(*) AS n FROM c WHERE level = 'warn' GROUP BY url, epoch_s),
+w AS (SELECT *, sum(n) OVER (PARTITION BY url ORDER BY epoch_s RANGE BETWEEN 43200 PRECEDING AND CURRENT ROW) AS m FROM s)
+SELECT 'warn' AS rule, url, {_at("min(epoch_s)")} AS at, cast(max(m) AS BIGINT) AS amount
+FROM w WHERE m >= 3 GROUP BY url, epoch_s // 43200""",
         "alert_traffic": f"""{head}, n AS (
   SELECT epoch_s // 21600 AS w, url, count(*) AS n FROM c GROUP BY epoch_s // 21600, url),
 r AS (
@@ -340,16 +342,10 @@ FROM b GROUP BY rule, url, w""",
 
 
 def streams() -> dict[str, str]:
-    names = ("course", "topic", "section", "tag", "question", "factor", "tag_daily")
-    batch = archives() | usage() | ingest()
-    return {f"stream_archive_{n}": batch[f"archive_{n}"] for n in names} | {
-        "stream_append": batch["ingest_log"],
-        "stream_pass_through": batch["scan_text"],
-        "stream_alert_warn": f"""WITH {LOG}, {CALLS}
-SELECT 'warn' AS rule, url, {_at("epoch_s // 43200 * 43200")} AS at, count(*) AS amount
-FROM c WHERE level = 'warn' GROUP BY url, epoch_s // 43200
-HAVING count(*) >= 3 AND (epoch_s // 43200 + 1) * 43200 <= (SELECT max(epoch_s) - 3600 FROM c)""",
-    }
+    batch = archives() | usage() | ingest() | alerts()
+    out = {f"stream_{n}": sql for n, sql in batch.items() if n.startswith("archive_") and n != "archive_rollup"}
+    out |= {f"stream_{n}": batch[n] for n in ("alert_slow", "alert_error", "alert_warn", "alert_traffic")}
+    return out | {"stream_append": batch["ingest_log"], "stream_pass_through": batch["scan_text"]}
 
 
 def all_statements() -> dict[str, str]:

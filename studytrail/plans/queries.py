@@ -144,9 +144,8 @@ def multi_table_docs(log: DataFrame) -> DataFrame:
     docs = {}
     for table in (t for t in INDICATORS if t not in WEEKLY_INDICATORS):
         columns = INDICATORS[table]
-        # A table without subjects has one row per user and day.
-        limit = serving.ROWS_PER_DOCUMENT if "subject_id" in columns else None
-        docs[table] = serving.user_docs(_previous_day(log, table), table, columns, columns[1:2], limit)
+        # a user's rows of one day: one, or one for each subject
+        docs[table] = serving.user_docs(_previous_day(log, table), table, columns, columns[1:2])
     return tables.union_tables(docs)
 
 
@@ -156,12 +155,12 @@ def _week(log: DataFrame) -> DataFrame:
 
 
 def user_week_docs(log: DataFrame) -> DataFrame:
-    return serving.user_week_docs(_week(log), INDICATORS["up_week"], ["question_time"], rows_per_document=None)
+    return serving.user_week_docs(_week(log), INDICATORS["up_week"], ["question_time"])
 
 
 def user_week_scores(log: DataFrame) -> DataFrame:
     columns = INDICATORS["up_week"]
-    return serving.user_week_scores(_week(log), "up_week", columns, ["question_time"], rows_per_document=None)
+    return serving.user_week_scores(_week(log), "up_week", columns, ["question_time"])
 
 
 def user_week_range(log: DataFrame) -> DataFrame:
@@ -175,7 +174,7 @@ def columns_to_cells(log: DataFrame) -> DataFrame:
 
 
 def cells_to_map(log: DataFrame) -> DataFrame:
-    return serving.cells_to_map(columns_to_cells(log), cells_per_map=None).withColumn("cells", F.to_json("cells"))
+    return serving.cells_to_map(columns_to_cells(log)).withColumn("cells", F.to_json("cells"))
 
 
 def to_message_frame(log: DataFrame) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Registered streaming queries: the events table read as a stream until it is exhausted."""
+"""Registered streaming queries: the events table read as a stream until it is exhausted.
+
+Archives and counted alerts get it as several deliveries, so that state is carried and folded between micro-batches.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studytrail.functions import dates
+from studytrail.operators import alerts as rules
 from studytrail.operators import archives
 from studytrail.plans import rendered
 from studytrail.plans.study_log import as_study_log
@@ -20,6 +24,21 @@ from studytrail.streaming.archives import ArchiveStream, FactorStream
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+PARTS = 4
+FOLD_EVERY = 2  # so that four micro-batches fold every bucket twice
+
+
+def _arriving(spark: SparkSession, sf: str, root: str, run: Callable[[DataFrame], None]) -> None:
+    """The events as four deliveries in order of their ids: each is written, then the stream run until it is caught up."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    shares = [i / PARTS for i in range(1, PARTS)]
+    bounds = [-1, *events.agg(F.percentile_approx("event_id", shares, 10_000)).first()[0], (1 << 62)]
+    for i in range(PARTS):
+        part = events.where((F.col("event_id") > bounds[i]) & (F.col("event_id") <= bounds[i + 1]))
+        part.write.parquet(f"{root}/in/delivery{i}")
+        run(as_study_log(table_stream(spark, f"{root}/in/*", events.schema)))
+
+
 def _log_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     # A pattern, since the table may be one file or a folder of files and a stream's path may not be a file.
@@ -30,13 +49,24 @@ def _archive(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         root = shared_folder(spark, f"stream-{name}")
         kind = FactorStream if name in archives.FACTORS else ArchiveStream
-        stream = kind(root, name)
-        stream.start(_log_stream(spark, sf), every=None).awaitTermination()
+        stream = kind(f"{root}/state", name, fold_every=FOLD_EVERY)
+        _arriving(spark, sf, root, lambda log: stream.start(log, every=None).awaitTermination())
         return stream.read(spark)
 
     return run
 
 
+def _counted(name: str, make: Callable[..., alerts.CountedAlerts], *args) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        root = shared_folder(spark, name)
+        stream = make(f"{root}/state", *args, fold_every=FOLD_EVERY)
+        calls = lambda log: logs.alert_calls(rendered.call_lines(log))
+        _arriving(spark, sf, root, lambda log: stream.start(calls(log), every=None).awaitTermination())
+        return stream.read(spark).withColumn("at", F.date_format("at", dates.TIME))
+
+    return run
+
+
 def _appended(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     root = shared_folder(spark, name)
     sinks.append_files(rows, f"{root}/rows", f"{root}/checkpoint", every=None).awaitTermination()
@@ -54,13 +84,21 @@ def stream_pass_through(spark: SparkSession, sf: str) -> DataFrame:
     return _appended(spark, values, "stream-values")
 
 
-def stream_alert_warn(spark: SparkSession, sf: str) -> DataFrame:
+def _alert(spark: SparkSession, sf: str, rule: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
     calls = logs.alert_calls(rendered.call_lines(_log_stream(spark, sf)))
-    found = alerts.warn_alerts(calls, 3, "12 hours", "1 hour")
-    return _appended(spark, found, "stream-warn").withColumn("at", F.date_format("at", dates.TIME))
+    return _appended(spark, rule(calls), name).withColumn("at", F.date_format("at", dates.TIME))
+
+
+def stream_alert_slow(spark: SparkSession, sf: str) -> DataFrame:
+    return _alert(spark, sf, rules.slow_calls, "stream-slow")
+
+
+def stream_alert_error(spark: SparkSession, sf: str) -> DataFrame:
+    return _alert(spark, sf, rules.error_calls, "stream-error")
 
 
 def stream_queries() -> dict[str, Query]:
-    names = ("course", "topic", "section", "tag", "question", "factor", "tag_daily")
-    out = {f"stream_archive_{n}": _archive(n) for n in names}
-    return out | {f.__name__: f for f in (stream_append, stream_pass_through, stream_alert_warn)}
+    out = {f"stream_archive_{n}": _archive(n) for n in (*archives.ARCHIVES, *archives.FACTORS)}
+    out["stream_alert_warn"] = _counted("stream-warn", alerts.warn_stream, 3, "12 hours")
+    out["stream_alert_traffic"] = _counted("stream-traffic", alerts.traffic_stream, "6 hours", 20, 2.0)
+    return out | {f.__name__: f for f in (stream_append, stream_pass_through, stream_alert_slow, stream_alert_error)}

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from studytrail.operators import alerts
-from studytrail.streaming.sinks import EVERY, append_files, each_batch
+from studytrail.streaming.archives import FOLD_EVERY, latest, write_added
+from studytrail.streaming.sinks import EVERY, each_batch, persisted
+from studytrail.streaming.versions import Pointer, Versions, query_id
 
 
 def call_alerts(calls: DataFrame, above_ms: int = 1000, every: str = "10 minutes") -> DataFrame:
@@ -19,22 +21,58 @@ def call_alerts(calls: DataFrame, above_ms: int = 1000, every: str = "10 minutes
     return alerts.limit_rate_stream(found, every)
 
 
-def warn_alerts(calls: DataFrame, times: int = 3, within: str = "1 minute", late: str = "1 minute") -> DataFrame:
-    """Windows with repeated warnings; rows more than ``late`` behind the latest are left out."""
-    return alerts.warn_bursts(instants(calls).withWatermark("ts", late), times, within)
-
-
 def instants(calls: DataFrame) -> DataFrame:
     """Watermarks need instants: local times are taken in the session's time zone."""
     return calls.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def to_table(found: DataFrame, path: str, checkpoint: str, every: str | None = EVERY) -> StreamingQuery:
-    return append_files(found, path, checkpoint, every)
+class CountedAlerts:
+    """A rule over counts: micro-batches add to the counts, the alerts are those of all counts so far.
+
+    Nothing is dropped for being late: a late call adds to its own moment, and the alert of its url and stretch is
+    replaced by the next ``read``. So an alert is there as soon as the batch that completes it, and the end of the
+    stream needs no further rows. ``send`` is handed the alerts that a batch added or changed.
+    """
+
+    def __init__(
+        self,
+        root: str,
+        count: Callable[[DataFrame], DataFrame],
+        keys: tuple[str, ...],
+        finish: Callable[[DataFrame], DataFrame],
+        send: Callable[[DataFrame, int], None] | None = None,
+        fold_every: int = FOLD_EVERY,
+    ):
+        self.root, self.count, self.keys, self.finish, self.send = root, count, keys, finish, send
+        self.counts = Versions(f"{root}/counts", fold_every)
+        self.pointer = Pointer(f"{root}/pointer")
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        added = self.count(batch)
+        if added.isEmpty():
+            return
+        spark = batch.sparkSession
+        step, last = self.pointer.step_of(spark, batch_id)
+        before = self.read(spark) if self.send and last and last["step"] == step - 1 else None
+        write_added(self.counts, added, self.keys, ("n",), step)
+        self.pointer.write(spark, query_id(spark), batch_id, step)
+        if self.send:
+            now = self.read(spark)
+            self.send(now if before is None else now.exceptAll(before), batch_id)
+
+    def start(self, calls: DataFrame, every: str | None = EVERY) -> StreamingQuery:
+        return each_batch(calls, persisted(self.write), f"{self.root}/checkpoint", every)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        rows = latest(spark, self.pointer, self.counts)
+        return self.finish(rows.groupBy(*self.keys).agg(F.sum("n").alias("n")))
+
+
+def warn_stream(root: str, times: int = 3, within: str = "1 minute", **options) -> CountedAlerts:
+    return CountedAlerts(root, alerts.warn_counts, ("url", "ts"), lambda c: alerts.bursts_of(c, times, within), **options)
 
 
-def deliver(
-    found: DataFrame, send: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = EVERY
-) -> StreamingQuery:
-    """Hand each batch of alerts to ``send``."""
-    return each_batch(found, send, checkpoint, every)
+def traffic_stream(root: str, within: str = "5 minutes", top: int = 20, factor: float = 2.0, **options) -> CountedAlerts:
+    return CountedAlerts(
+        root, lambda calls: alerts.call_counts(calls, within), ("url", "start"), lambda c: alerts.jumps_of(c, within, top, factor), **options
+    )

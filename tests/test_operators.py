@@ -136,20 +136,23 @@ def test_merges(spark):
     assert spark_rows(merge.pick(rows, ["k"], ["o"], last=False)) == [("a", 1, 5), ("b", 1, 1)]
 
 
-def test_documents_of_a_hot_user_come_in_parts(spark):
+def test_a_hot_user_has_documents_like_the_others(spark):
     rows = spark.range(300).select(
         F.when(F.col("id") < 100, "hot").otherwise(F.concat(F.lit("u"), F.col("id"))).alias("user_id"),
         F.col("id").alias("n"), F.lit("1").alias("dt"),
     )
-    docs = serving.user_docs(rows, "t", ["user_id", "n", "dt"], ["n"], rows_per_document=20)
-    parsed = docs.select("key", "part", F.from_json("value", "array<map<string,string>>").alias("v"))
-    hot = parsed.where("key = 'hot<=>t'").collect()
-    assert len(hot) > 3
-    assert sorted(int(m["n"]) for r in hot for m in r.v) == list(range(100))
-    assert all([int(m["n"]) for m in r.v] == sorted(int(m["n"]) for m in r.v) for r in hot)
-    assert docs.where("part = 0 and key <> 'hot<=>t'").count() == 200
-    scores = serving.user_week_scores(rows, "t", ["user_id", "n", "dt"], ["n"], rows_per_document=20)
-    assert scores.where("key = 'hot<=>t'").select("score").distinct().collect()[0].score == 1.0
+    columns = ["user_id", "n", "dt"]
+    docs = serving.user_docs(rows, "t", columns, ["n"])
+    assert docs.count() == 201 and docs.where("part <> 0").count() == 0
+    hot = docs.where("key = 'hot<=>t'").select(F.from_json("value", "array<map<string,string>>").alias("v")).first().v
+    assert [int(m["n"]) for m in hot] == list(range(100))
+    parts = serving.user_docs(rows, "t", columns, ["n"], F.expr("n div 20")).where("key = 'hot<=>t'").orderBy("part")
+    parsed = parts.select(F.from_json("value", "array<map<string,string>>").alias("v")).collect()
+    assert [int(m["n"]) for r in parsed for m in r.v] == list(range(100)) and len(parsed) == 5
+    scores = serving.user_week_scores(rows, "t", columns, ["n"], part=F.expr("n div 20")).where("key = 'hot<=>t'")
+    assert sorted((r.score, r.part) for r in scores.collect()) == [(1.0, i) for i in range(5)]
+    entries = serving.entry_rows(rows, ["user_id"], columns, ["n"]).where("user_id = 'hot'").orderBy("position").collect()
+    assert [r.position for r in entries] == list(range(1, 101)) and entries[7].entry == '{"user_id":"hot","n":"7","dt":"1"}'
 
 
 def test_null_values_in_documents(spark):
@@ -193,10 +196,11 @@ def test_alert_rules(spark):
         spark, (0, "warn", 10, "/a"), (20, "warn", 10, "/a"), (59, "warn", 10, "/a"), (61, "warn", 10, "/a"),
         (5, "warn", 1, "/b"), (7, "error", 1, "/b"), (8, "info", 1001, "/c"), (9, "info", 1000, "/c"),
     )
-    assert [(r.url, r.amount) for r in alerts.warn_bursts(df).collect()] == [("/a", 3)]
+    assert sorted((r.url, r.at.minute, r.at.second, r.amount) for r in alerts.warn_bursts(df).collect()) == [("/a", 0, 59, 3), ("/a", 1, 1, 3)]
     across = calls(spark, (50, "warn", 1, "/a"), (55, "warn", 1, "/a"), (65, "warn", 1, "/a"))
-    assert alerts.warn_bursts(across).count() == 0
-    assert alerts.warn_bursts(across, slide="30 seconds").count() == 1
+    assert [(r.at.minute, r.at.second, r.amount) for r in alerts.warn_bursts(across).collect()] == [(1, 5, 3)]
+    spread = calls(spark, (25, "warn", 1, "/a"), (50, "warn", 1, "/a"), (70, "warn", 1, "/a"), (131, "warn", 1, "/a"))
+    assert [(r.at.minute, r.at.second) for r in alerts.warn_bursts(spread).collect()] == [(1, 10)]
     assert [r.url for r in alerts.error_calls(df).collect()] == ["/b"]
     assert [(r.url, r.amount) for r in alerts.slow_calls(df).collect()] == [("/c", 1001)]
     many = [(s, "info", 1, "/a") for s in range(3)] + [(300 + s, "info", 1, "/a") for s in range(6)]
@@ -226,11 +230,24 @@ def test_alert_stream(spark, tmp_path):
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "calls"))
     stream = messages.table_stream(spark, str(tmp_path / "calls"), df.schema, 1)
     found = stream_alerts.call_alerts(stream)
-    stream_alerts.to_table(found, str(tmp_path / "out"), str(tmp_path / "cp"), every=None).awaitTermination()
+    sinks.append_files(found, str(tmp_path / "out"), str(tmp_path / "cp"), every=None).awaitTermination()
     urls = sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert urls == ["/a", "/a", "/b"]
 
 
+def test_bursts_on_a_stream(spark, tmp_path):
+    """Warnings of one burst come in two batches, one of them late; alerts are sent when complete, nothing is lost."""
+    sent = []
+    stream = stream_alerts.warn_stream(str(tmp_path / "w"), send=lambda found, n: sent.append((n, sorted((r.url, r.at.second, r.amount) for r in found.collect()))))
+    parts = [[(5, "warn", 1, "/a"), (20, "warn", 1, "/a")], [(4000, "info", 1, "/z")], [(30, "warn", 1, "/a"), (4000, "warn", 1, "/b")], [(40, "warn", 1, "/a")]]
+    for i, part in enumerate(parts):
+        stream.write(calls(spark, *part), i)
+    stream.write(calls(spark, *parts[-1]), 3)  # once more
+    assert [(n, f) for n, f in sent if f] == [(2, [("/a", 30, 3)]), (3, [("/a", 30, 4)]), (3, [("/a", 30, 4)])]
+    want = alerts.warn_bursts(calls(spark, *(r for part in parts for r in part)))
+    assert spark_rows(stream.read(spark)) == spark_rows(want)
+
+
 def test_message_stream_and_sinks(spark, tmp_path):
     rows = spark.range(5).select(F.col("id").alias("k"), F.lit("x").alias("v"))
     out = serving.to_messages(rows, "topic", F.col("k"))
