@@ -7,12 +7,12 @@ accounts up, so that no group of the final key is ever ordered.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studytrail.operators.timeline import ROWS_PER_PART, Timeline, cut, last_where, neighbours
+from studytrail.operators.timeline import SPAN, Carry, Timeline, neighbours
 from studytrail.schema import LO_STATUS, RIGHT, SECTION_END, SUBMIT, TOPIC_END, UNABLE, VIEWED, WRONG
 
 COUNTERS = ("answers", "right", "wrong", "unable", "viewed", "viewed_right", "viewed_wrong", "viewed_unable")
@@ -119,7 +119,7 @@ def mark_visits(events: DataFrame, spec: Archive, line: Timeline, asked: Column
 
     ``opens`` the row starts a visit, ``closes`` it (or the row after it) completes one,
     ``gap`` seconds that belong to the row's visit, ``asks`` it starts a run of one question
-    (``asked``: rows known to do so).
+    (``asked``: rows known to do so), ``_asked`` ability and state of the latest such row, where the row closes.
     """
     time, marker = line.time, {"_prev_seq": line.seq}
     first = F.col("_prev_seq").isNull()
@@ -137,26 +137,23 @@ def mark_visits(events: DataFrame, spec: Archive, line: Timeline, asked: Column
                 "gap": F.when(after_submit, F.col(time) - F.col("_prev_time")),
             }
         )
+    # NULL counts as a value of its own in every comparison
+    opens = first | ~F.col("_prev_tag").eqNullSafe(F.col("tag_code"))
+    closes = F.col("_next_seq").isNotNull() & ~F.col("_next_tag").eqNullSafe(F.col("tag_code"))
+    known = F.lit(False) if asked is None else F.coalesce(asked, F.lit(False))
+    asks = opens | ~F.col("_prev_question").eqNullSafe(F.col("question_id")) | known
     rows = neighbours(
         events.where(is_submit()),
         line,
         marker | {"_prev_tag": "tag_code", "_prev_question": "question_id", "_prev_time": time},
         {"_next_seq": line.seq, "_next_tag": "tag_code", "_next_time": time},
+        Carry("_asked", F.struct("ability", "lo_status"), asks, closes, known),
     )
-    opens = first | ~F.col("_prev_tag").eqNullSafe(F.col("tag_code"))
-    known = F.lit(False) if asked is None else F.coalesce(asked, F.lit(False))
     if spec.close_at == "last_submit":
         gap = F.when(~opens, F.col(time) - F.col("_prev_time"))
     else:
         gap = F.col("_next_time") - F.col(time)
-    return rows.withColumns(
-        {
-            "opens": opens,
-            "closes": F.col("_next_seq").isNotNull() & ~F.col("_next_tag").eqNullSafe(F.col("tag_code")),
-            "asks": opens | ~F.col("_prev_question").eqNullSafe(F.col("question_id")) | known,
-            "gap": gap,
-        }
-    )
+    return rows.withColumns({"opens": opens, "closes": closes, "asks": asks, "gap": gap})
 
 
 def _visit_totals(line: Timeline, fresh: Column, in_time: bool) -> dict[str, Column]:
@@ -188,7 +185,6 @@ def archive_marked(rows: DataFrame, spec: Archive, line: Timeline, fresh: Column
         return rows.groupBy(*spec.keys).agg(*_named({m: cols[m] for m in spec.measures}))
     cols = _measures(spec, is_submit() & new) | _visit_totals(line, new, fresh is None)
     if spec.visits == "runs":
-        rows = last_where(rows, line, F.col("asks"), ("ability", "lo_status"), "_asked")
         credit = F.when(F.col("closes"), F.col("_asked"))
         cols["ability_sum"] = F.coalesce(F.sum(credit["ability"].cast(ABILITY)), F.lit(0).cast(ABILITY))
         cols |= {f"lo_{s}": F.count_if(credit["lo_status"] == s) for s in LO_STATUS}
@@ -210,28 +206,15 @@ def finish(total: DataFrame, spec: Archive) -> DataFrame:
     return total
 
 
-def cut_accounts(events: DataFrame, rows_per_part: int = ROWS_PER_PART) -> tuple[DataFrame, Timeline]:
-    """Cut accounts with more than ``rows_per_part`` rows into parts (see ``timeline.cut``)."""
-    return cut(events, Timeline(("account_id",)), rows_per_part)
-
-
-def archive(
-    events: DataFrame,
-    spec: Archive | str,
-    rows_per_part: int = ROWS_PER_PART,
-    accounts: Timeline | None = None,
-) -> DataFrame:
+def archive(events: DataFrame, spec: Archive | str, span: int = SPAN) -> DataFrame:
     """Compute one archive over a frame of archive events.
 
-    Long accounts are cut first. Several archives of one frame can share that step: call
-    ``cut_accounts`` once and hand its frame and its ``accounts`` to each.
+    ``span``: seconds of a timeline that are put in order together (see ``timeline``).
     """
     spec = ARCHIVES[spec] if isinstance(spec, str) else spec
     if spec.visits is None:
         return counts(events, spec)
-    if accounts is None:
-        events, accounts = cut_accounts(events, rows_per_part)
-    line = accounts.within(*timeline_of(spec).keys)
+    line = replace(timeline_of(spec), span=span)
     return finish(archive_marked(mark_visits(events, spec, line), spec, line), spec)
 
 

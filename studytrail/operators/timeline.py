@@ -1,27 +1,22 @@
 """Rows of a timeline and their neighbours, for timelines of any length.
 
 A timeline is every row that shares ``keys``, in the order of ``(time, seq)``; ``seq`` is unique
-within the timeline. Where rows arrive in batches, ``batch`` orders before time. Where no timeline
-is long, neighbours are plain window functions. Where one key holds a large share of the log, ``cut``
-gives its rows a part number that rises along the timeline; windows then run per part, and what has
-to cross from one part to the next is taken from a summary that holds one row per part.
+within the timeline. Where rows arrive in batches, ``batch`` orders before time. Every timeline is cut into cells of
+``span`` seconds: rows shuffle on (keys, cell), so one key that holds a large share of the log is spread like the others,
+and nothing has to be counted first. Within a cell neighbours are plain window functions; the few rows at a cell's
+borders, or that lack a value from an earlier cell, are shuffled once more by the keys alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-ROWS_PER_PART = 4_000_000
-# A list of long keys up to this many rows is a few MB at most and may be broadcast.
-BROADCAST_KEYS = 100_000
-# Long timelines are counted per hour. An hour with too many rows is counted per second and run of
-# seq values; seq is unique, so such a run never holds more rows than this.
 SPAN = 3600
-SEQ_RUN = 1 << 20
+CELL = "_cell"
 
 
 @dataclass(frozen=True)
@@ -29,8 +24,8 @@ class Timeline:
     keys: tuple[str, ...]
     time: str = "epoch_s"
     seq: str = "seq"
-    part: str | None = None
     batch: str | None = None
+    span: int = SPAN
 
     @property
     def order(self) -> tuple[str, ...]:
@@ -40,16 +35,32 @@ class Timeline:
     def position(self) -> Column:
         return F.struct(*self.order)
 
-    @property
-    def groups(self) -> tuple[str, ...]:
-        return self.keys if self.part is None else (*self.keys, self.part)
+    def celled(self, df: DataFrame) -> DataFrame:
+        """With the number of each row's cell."""
+        return df.withColumn(CELL, F.floor(F.col(self.time) / F.lit(self.span)))
+
+    def inside(self) -> WindowSpec:
+        """The rows of a cell in order."""
+        return Window.partitionBy(*self.keys, *self.order[:-2], CELL).orderBy(*self.order)
 
-    def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.groups).orderBy(*self.order)
+    def across(self) -> WindowSpec:
+        """The rows of the whole timeline in order; for frames that hold a few rows of each cell."""
+        return Window.partitionBy(*self.keys).orderBy(*self.order)
 
-    def within(self, *keys: str) -> Timeline:
-        """The timelines of a finer key; parts of the coarser one stay valid."""
-        return replace(self, keys=tuple(dict.fromkeys((*self.keys, *keys))))
+
+@dataclass(frozen=True)
+class Carry:
+    """A column ``name`` with ``value`` of the latest row so far (this one included) that ``marks`` holds for.
+
+    ``marks`` may use the neighbours asked for; ``known`` holds for rows that are marked whatever stands before them.
+    The column is right where ``need`` (which may look at the next row), and unset or right elsewhere.
+    """
+
+    name: str
+    value: Column
+    marks: Column
+    need: Column
+    known: Column
 
 
 def join_same(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
@@ -61,122 +72,33 @@ def join_same(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str)
     return left.join(renamed, cond, how).drop(*(f"_r_{c}" for c in cols))
 
 
-def long_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame | None:
-    """(keys, count) of the keys with more than ``rows`` rows, or None if there is none.
-
-    There is at most one such key per ``rows`` rows of the input. A list of up to ``BROADCAST_KEYS`` is
-    fetched and broadcast, so that it is counted once; a longer one stays distributed and is joined
-    by shuffle, where adaptive execution splits the long keys.
-    """
-    long = df.groupBy(*keys).count().where(F.col("count") > rows)
-    n = long.count()
-    if n == 0:
-        return None
-    if n > BROADCAST_KEYS:
-        return long
-    return F.broadcast(df.sparkSession.createDataFrame(long.collect(), long.schema))
-
-
-def cut(
-    df: DataFrame,
-    timeline: Timeline,
-    rows_per_part: int = ROWS_PER_PART,
-    part: str = "part",
-    counted: DataFrame | None = None,
-) -> tuple[DataFrame, Timeline]:
-    """Cut long timelines into parts of about ``rows_per_part`` consecutive rows.
-
-    One job counts rows per key (of ``counted``, if that is a cheaper frame with most of the rows).
-    Usually no key is long and the frame is returned as it is. Otherwise rows of long keys are
-    counted per cell: an hour, or where an hour holds more than a part, a second and a run of ``seq``.
-    The running count of earlier cells gives the part, so parts are even whatever the distribution
-    over time. Rows of other keys are part 0.
-    """
-    keys = timeline.keys
-    long = long_keys(df if counted is None else counted, keys, rows_per_part)
-    if long is None:
-        return df, timeline
-    rest = join_same(df, long, keys, "left_anti").withColumn(part, F.lit(0).cast("bigint"))
-    spans = [*timeline.order[:-2], "_span"]
-    rows = join_same(df, long, keys, "left_semi").withColumn("_span", F.floor(F.col(timeline.time) / F.lit(SPAN)))
-    crowded = long_keys(rows, [*keys, *spans], rows_per_part)
-    if crowded is None:
-        rows = rows.withColumns({"_second": F.lit(0), "_run": F.lit(0)})
-    else:
-        fine = F.col("_fine").isNotNull()
-        crowded = crowded.select(*keys, *spans, F.lit(True).alias("_fine"))
-        rows = join_same(rows, crowded, [*keys, *spans], "left").withColumns(
-            {
-                "_second": F.when(fine, F.col(timeline.time)).otherwise(F.lit(0)),
-                "_run": F.when(fine, F.floor(F.col(timeline.seq) / F.lit(SEQ_RUN))).otherwise(F.lit(0)),
-            }
-        )
-    steps = [*spans, "_second", "_run"]
-    cell = [*keys, *steps]
-    earlier = Window.partitionBy(*keys).orderBy(*steps).rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
-        rows.groupBy(*cell)
-        .count()
-        .withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
-        .select(*cell, F.expr(f"_before div {int(rows_per_part)} + 1").alias(part))
-    )
-    numbered = join_same(rows, parts, cell, "inner").drop("_span", "_second", "_run", "_fine")
-    return rest.unionByName(numbered), replace(timeline, part=part)
-
-
 def neighbours(
     df: DataFrame,
-    timeline: Timeline,
+    line: Timeline,
     lag: Mapping[str, str] | None = None,
     lead: Mapping[str, str] | None = None,
+    carry: Carry | None = None,
 ) -> DataFrame:
-    """Add columns of the previous (``lag``) and next (``lead``) row: ``{new: source}``."""
+    """Add columns of the previous (``lag``) and next (``lead``) row: ``{new: source}``.
+
+    A cell's first row follows the last of the cell before it, so among border rows alone neighbours are the same.
+    """
     lag, lead = dict(lag or {}), dict(lead or {})
-    w = timeline.window()
-    out = {new: F.lag(c).over(w) for new, c in lag.items()}
-    out |= {new: F.lead(c).over(w) for new, c in lead.items()}
-    if timeline.part is None:
-        return df.withColumns(out)
+    w, first, last = line.inside(), F.col("_first"), F.col("_last")
+    out = {new: F.lag(c).over(w) for new, c in lag.items()} | {new: F.lead(c).over(w) for new, c in lead.items()}
     edge = {"_first": F.lag(F.lit(1)).over(w).isNull(), "_last": F.lead(F.lit(1)).over(w).isNull()}
-    across = Window.partitionBy(*timeline.keys).orderBy(timeline.part)
-    ends = (
-        df.where(F.col(timeline.part) > 0)
-        .groupBy(*timeline.groups)
-        .agg(
-            F.max_by(F.struct(F.lit(1), *lag.values()), timeline.position).alias("_tail"),
-            F.min_by(F.struct(F.lit(1), *lead.values()), timeline.position).alias("_head"),
-        )
-        .select(
-            *timeline.groups,
-            F.lag("_tail").over(across).alias("_before"),
-            F.lead("_head").over(across).alias("_after"),
-        )
-    )
-    stitched = {n: F.when(F.col("_first"), F.col("_before")[c]).otherwise(F.col(n)) for n, c in lag.items()}
-    stitched |= {n: F.when(F.col("_last"), F.col("_after")[c]).otherwise(F.col(n)) for n, c in lead.items()}
-    joined = join_same(df.withColumns(out | edge), ends, timeline.groups, "left")
-    return joined.withColumns(stitched).drop("_first", "_last", "_before", "_after")
-
-
-def last_where(
-    df: DataFrame, timeline: Timeline, cond: Column, cols: Sequence[str], name: str
-) -> DataFrame:
-    """Add struct ``name``: ``cols`` of the latest row so far (this one included) where ``cond``."""
-    value = F.when(cond, F.struct(*cols))
-    so_far = timeline.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = df.withColumn(name, F.last(value, ignorenulls=True).over(so_far))
-    if timeline.part is None:
-        return out
-    earlier = (
-        Window.partitionBy(*timeline.keys)
-        .orderBy(timeline.part)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    seen = (
-        df.where(F.col(timeline.part) > 0)
-        .groupBy(*timeline.groups)
-        .agg(F.max_by(value, F.when(cond, timeline.position)).alias("_seen"))
-        .select(*timeline.groups, F.last("_seen", ignorenulls=True).over(earlier).alias("_carried"))
-    )
-    joined = join_same(out, seen, timeline.groups, "left")
-    return joined.withColumn(name, F.coalesce(name, "_carried")).drop("_carried")
+    marked, border = line.celled(df).withColumns(out | edge), first | last
+    if carry:
+        # a first row's own mark may depend on the row before it, and is looked at across cells
+        sure = F.when(F.when(first, carry.known).otherwise(carry.marks), carry.value)
+        marked = marked.withColumn(carry.name, F.last(sure, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        border = border | (F.coalesce(carry.need, F.lit(False)) & F.col(carry.name).isNull())
+    w = line.across()
+    stitched = {n: F.when(first, F.lag(c).over(w)).otherwise(F.col(n)) for n, c in lag.items()}
+    stitched |= {n: F.when(last, F.lead(c).over(w)).otherwise(F.col(n)) for n, c in lead.items()}
+    few = marked.where(border).withColumns(stitched)
+    if carry:
+        own = F.coalesce(F.when(last, F.col(carry.name)), F.when(first & carry.marks, carry.value))
+        so_far = F.last(own, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        few = few.withColumn(carry.name, F.coalesce(carry.name, so_far))
+    return marked.where(~border).unionByName(few).drop("_first", "_last", CELL)

@@ -49,15 +49,11 @@ def read_rejected(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_archives(events: DataFrame, path: str, names: Sequence[str] | None = None) -> None:
-    """Write every archive under ``path``. Accounts are counted once; ``events`` is read once per archive,
-    so it should be a table rather than lines still to be parsed."""
+    """Write every archive under ``path``. ``events`` is read once per archive, so it should be a table rather than
+    lines still to be parsed."""
     names = [*archives.ARCHIVES, *archives.FACTORS] if names is None else names
-    ordered, accounts = archives.cut_accounts(events)
     for name in names:
-        if name in archives.FACTORS:
-            result = archives.archive_factors(events, name)
-        else:
-            result = archives.archive(ordered, name, accounts=accounts)
+        result = archives.archive_factors(events, name) if name in archives.FACTORS else archives.archive(events, name)
         result.write.mode("overwrite").parquet(f"{path}/{name}")
 
 

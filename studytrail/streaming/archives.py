@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from studytrail.operators import archives as ar
 from studytrail.operators.merge import merge_additive
-from studytrail.operators.timeline import ROWS_PER_PART, Timeline, cut, join_same
+from studytrail.operators.timeline import SPAN, Timeline, join_same
 from studytrail.schema import SUBMIT
 from studytrail.streaming.sinks import EVERY, each_batch, persisted
 from studytrail.streaming.versions import BATCH, BUCKET, Pointer, Versions, bucket_of, query_id
@@ -78,16 +78,15 @@ class ArchiveStream:
         self,
         root: str,
         spec: ar.Archive | str,
-        rows_per_part: int = ROWS_PER_PART,
+        span: int = SPAN,
         keep_days: int | None = None,
         fold_every: int = FOLD_EVERY,
     ):
         self.root = root
         self.spec = ar.ARCHIVES[spec] if isinstance(spec, str) else spec
-        self.rows_per_part = rows_per_part
         self.keep_days = keep_days
         line = ar.timeline_of(self.spec)
-        self.line = replace(line, batch=ARRIVAL)
+        self.line = replace(line, batch=ARRIVAL, span=span)
         self.cols = _event_columns(self.spec, line) if self.spec.visits else []
         self.archive = Versions(f"{root}/archive", fold_every)
         self.tails = Versions(f"{root}/tails", fold_every)
@@ -106,7 +105,7 @@ class ArchiveStream:
             write_added(self.archive, ar.counts(batch, spec), spec.keys, spec.measures, step)
         else:
             kept = self._kept_tails(batch, step, sorted({*touched, *self.tails.due(step)}))
-            marked, line = self._mark(batch, kept, rows > self.rows_per_part)
+            marked, line = self._mark(batch, kept), self.line
             # Read for the tails and for the archive; blocks that are lost are computed again.
             marked = marked.persist()
             try:
@@ -129,22 +128,14 @@ class ArchiveStream:
         schema = batch.select(*self.line.keys).schema.add("tail", rows)
         return self.tails.rows(batch.sparkSession, step - 1, schema, buckets)
 
-    def _mark(self, batch: DataFrame, kept: DataFrame, long: bool) -> tuple[DataFrame, Timeline]:
-        """The batch and the tails of the timelines it touches, marked as one log.
-
-        Only a batch of more rows than a part holds (``long``) can have an account to cut.
-        """
+    def _mark(self, batch: DataFrame, kept: DataFrame) -> DataFrame:
+        """The batch and the tails of the timelines it touches, marked as one log."""
         spec, keys = self.spec, self.line.keys
         relevant = ar.is_submit() if spec.visits != "closed" else ar.is_submit() | (F.col("src_type") == spec.end)
         new = batch.where(relevant).withColumns({ARRIVAL: F.lit(1), ASKED: F.lit(False)})
         touched = latest_tails(join_same(kept, new.select(*keys).distinct(), keys, "left_semi"), keys)
         carried = touched.select(F.inline("tail")).withColumn(ARRIVAL, F.lit(0))
-        accounts = replace(self.line, keys=("account_id",))
-        every = carried.unionByName(new, allowMissingColumns=True)
-        if long:
-            every, accounts = cut(every, accounts, self.rows_per_part, counted=new)
-        line = accounts.within(*keys)
-        return ar.mark_visits(every, spec, line, F.col(ASKED)), line
+        return ar.mark_visits(carried.unionByName(new, allowMissingColumns=True), spec, self.line, F.col(ASKED))
 
     def _write_tails(self, marked: DataFrame, kept: DataFrame, step: int, day: str | None) -> int:
         """Tails of the touched timelines, and all others of the buckets that are due; how many of those expired."""

@@ -75,7 +75,7 @@ def test_hot_account_in_a_stream(spark, files, tmp_path):
     parts = [spark.read.schema(log.schema).parquet(p).withColumn("account_id", F.expr("if(seq % 3 = 0, 1, account_id)")) for p in paths[:2]]
     whole = parts[0].unionByName(parts[1])
     for name in ("course", "topic", "tag"):
-        s = ArchiveStream(str(tmp_path / name), name, rows_per_part=20)
+        s = ArchiveStream(str(tmp_path / name), name, span=60)
         for i, part in enumerate(parts):
             s.write(part, i)
         want = ar.archive(whole, name)

@@ -1,4 +1,4 @@
-"""Neighbours and visits against a sequential replay, with and without cut timelines."""
+"""Neighbours and visits against a sequential replay, with cells of any length."""
 
 import random
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from compare import spark_rows
 from studytrail.operators import archives as ar
-from studytrail.operators.timeline import Timeline, cut, last_where, neighbours
+from studytrail.operators.timeline import Carry, Timeline, neighbours
 
 SCHEMA = (
     "account_id bigint, seq bigint, epoch_s bigint, src_type string, course_id string, lesson_id string, "
@@ -52,12 +52,12 @@ def as_dicts(rows):
     return sorted((dict(zip(NAMES, r)) for r in rows), key=lambda r: (r["epoch_s"], r["seq"]))
 
 
-@pytest.mark.parametrize("per_part", [10_000, 50, 7])
-def test_neighbours_and_last_where(log, rows, per_part):
-    df, line = cut(log, Timeline(("account_id",)), per_part)
-    assert (line.part is None) == (per_part == 10_000)
-    out = neighbours(df, line, {"p": "tag_code", "ps": "seq"}, {"n": "tag_code", "ns": "seq"})
-    out = last_where(out, line, F.col("is_right") == "1", ("seq", "ability"), "hit")
+@pytest.mark.parametrize("span", [10_000, 20, 1])
+def test_neighbours_and_carried_values(log, rows, span):
+    line = Timeline(("account_id",), span=span)
+    changed = F.col("ps").isNull() | ~F.col("p").eqNullSafe(F.col("tag_code"))
+    carry = Carry("hit", F.struct("seq", "ability"), changed, F.lit(True), F.lit(False))
+    out = neighbours(log, line, {"p": "tag_code", "ps": "seq"}, {"n": "tag_code", "ns": "seq"}, carry)
     got = {r.seq: (r.p, r.ps, r.n, r.ns, r.hit and (r.hit.seq, r.hit.ability)) for r in out.collect()}
     want, by = {}, {}
     for r in as_dicts(rows):
@@ -66,7 +66,7 @@ def test_neighbours_and_last_where(log, rows, per_part):
         hit = None
         for i, r in enumerate(seq):
             p, n = (seq[i - 1] if i else None), (seq[i + 1] if i + 1 < len(seq) else None)
-            if r["is_right"] == "1":
+            if p is None or p["tag_code"] != r["tag_code"]:
                 hit = (r["seq"], r["ability"])
             want[r["seq"]] = (
                 p and p["tag_code"], p["seq"] if p else None, n and n["tag_code"], n["seq"] if n else None, hit,
@@ -74,23 +74,20 @@ def test_neighbours_and_last_where(log, rows, per_part):
     assert got == want
 
 
-def test_cut_parts_are_even_and_in_order(log):
-    df, line = cut(log, Timeline(("account_id",)), 50)
-    hot = [r for r in df.where("account_id = 1").collect()]
-    hot.sort(key=lambda r: (r.epoch_s, r.seq))
-    parts = [r.part for r in hot]
-    assert parts == sorted(parts) and len(set(parts)) > 3
-    assert df.count() == log.count()
-
-
-def test_cut_splits_one_second(spark):
-    """All rows of one key in the same second are still cut, along seq."""
-    df = spark.range(5 << 20).select(
-        F.lit(1).alias("k"), F.lit(7).cast("bigint").alias("epoch_s"), F.col("id").alias("seq")
-    )
-    out, line = cut(df, Timeline(("k",)), 1 << 20)
-    sizes = out.groupBy(line.part).count().collect()
-    assert len(sizes) == 5 and max(r["count"] for r in sizes) == 1 << 20
+def test_plan_reads_and_shuffles_the_log_once(spark, tmp_path):
+    """Also with hot accounts: the log's shuffle is shared, borders take a second small one, no job runs while building."""
+    spark.createDataFrame(make_log(50), SCHEMA).write.parquet(str(tmp_path / "log"))
+    events = spark.read.parquet(str(tmp_path / "log"))
+    spark.sparkContext.setJobGroup("building", "no jobs")
+    built = {name: ar.archive(events, name) for name in ("course", "topic", "tag")}
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext._jsc.clearJobGroup()
+    for name, most in (("course", 3), ("topic", 5), ("tag", 5)):
+        built[name].collect()
+        plan = built[name]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+        reads = [x for x in plan.splitlines() if "FileScan" in x]
+        shuffles = [x for x in plan.splitlines() if " Exchange " in x and "ReusedExchange" not in x]
+        assert len(reads) <= 2 and len(shuffles) <= most, (name, len(reads), len(shuffles), plan)
 
 
 def replay(rows, spec):
@@ -136,14 +133,14 @@ def replay(rows, spec):
     return out
 
 
-@pytest.mark.parametrize("per_part", [10_000, 9])
+@pytest.mark.parametrize("span", [10_000, 7])
 @pytest.mark.parametrize(
     "name", ["course", "topic", "section", "tag", "course_daily", "topic_daily", "section_daily", "tag_daily"]
 )
-def test_archives_equal_replay(log, rows, name, per_part):
+def test_archives_equal_replay(log, rows, name, span):
     spec = ar.ARCHIVES[name]
     want = replay(rows, spec)
-    got = ar.archive(log, name, per_part).collect()
+    got = ar.archive(log, name, span).collect()
     submits = [r for r in as_dicts(rows) if r["src_type"] == "SUBMIT_QUESTION"]
     assert sum(r.answers for r in got) == len(submits)
     assert {tuple(r[c] for c in spec.keys) for r in got} == {tuple(r[c] for c in spec.keys) for r in submits}
