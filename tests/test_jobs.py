@@ -51,7 +51,7 @@ def test_reports_keep_values_and_move_update_time(spark, log):
 def test_user_documents(log):
     docs = jobs.user_documents({t: rendered.indicator(log, t) for t in INDICATORS}, "2024-01-03")
     assert set(docs) == set(INDICATORS)
-    assert docs["up_week"].columns == ["key", "score", "member"]
+    assert docs["up_week"].columns == ["key", "score", "part", "member"]
     total = docs["up_total"]
     assert total.count() == log.where("dt = '20240102'").select("account_id").distinct().count()
     assert total.where("key like '%<=>up_total'").count() == total.count()
