@@ -20,8 +20,6 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = both.groupBy("a").agg(F.min("b").alias("p")).select(F.col("a").alias("v"), F.least("a", "p").alias("p"))
         parent = tables.stored(parent, "parents")
-        up = parent.select(F.col("v").alias("p"), F.col("p").alias("g"))
-        parent = tables.stored(parent.join(up, "p").select("v", F.col("g").alias("p")), "parents")
         if found is None:
             found = parent.select(F.col("v").alias("key"), F.col("p").alias("comp"))
         else:

@@ -3,7 +3,7 @@
 A document is the set of its runs of five words; two are linked if their sets' Jaccard similarity is 0.8 or more. Texts
 with the same set are one class, worked on once. Signatures are cut into trees; a tree is the trie of its signatures'
 prefixes, and documents under one node share a prefix. The join starts at the longest prefixes: members of a node whose
-signatures agree well with the node's smallest or largest member form rough groups. Then prefixes are shortened until
+signatures agree well with the node's first or last member form rough groups. Then prefixes are shortened until
 the chance that a pair of similarity 0.8 shares a node of some tree reaches the target recall; there only members of
 different rough groups are compared, by signature inside the join.
 
@@ -124,21 +124,31 @@ def _agreement(a: str, b: str):
     return F.aggregate(same, F.lit(0), lambda total, x: total + x) / F.lit(TREES * DEPTH)
 
 
+def _only(classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Classes that may be among the wanted short keys; a Bloom filter spares the others the shuffle of their signatures."""
+    blocks = tables.blocks_for(wanted.count())
+    bits = tables.stored(tables.filter_of(wanted, "short", blocks), "bits")
+    return tables.maybe(classes, "short", bits, blocks).where("maybe").drop("maybe")
+
+
 def rough_groups(classes: DataFrame) -> DataFrame:
     """(key, comp) of classes that share a longest prefix and agree with the node's first or last member."""
-    nodes = _nodes(classes, DEPTH, "key")
-    shared = nodes.groupBy("node").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi")
-    members = nodes.join(shared, "node").select("key", F.explode(F.array("lo", "hi")).alias("star")).where("key <> star").distinct()
-    sig = classes.select("key", "sig")
-    pairs = members.join(sig, "key").join(sig.select(F.col("key").alias("star"), F.col("sig").alias("star_sig")), "star")
-    return components(pairs.where(_agreement("sig", "star_sig") >= ROUGH).select(F.col("key").alias("a"), F.col("star").alias("b")))
+    nodes = _nodes(classes, DEPTH, "short")
+    shared = nodes.groupBy("node").agg(F.min("short").alias("lo"), F.max("short").alias("hi")).where("lo <> hi")
+    members = nodes.join(shared, "node").select("short", F.explode(F.array("lo", "hi")).alias("other")).where("short <> other").distinct()
+    members = tables.stored(members, "members")
+    few = _only(classes, members.select("short").union(members.select("other"))).select("short", "key", "sig")
+    star = few.select(F.col("short").alias("other"), F.col("key").alias("star"), F.col("sig").alias("star_sig"))
+    pairs = members.join(few, "short").join(star, "other").where(_agreement("sig", "star_sig") >= ROUGH)
+    return components(pairs.select(F.col("key").alias("a"), F.col("star").alias("b")))
 
 
 def pairs_across(classes: DataFrame, prefix: int) -> DataFrame:
     """(a, b) of different rough groups that share a prefix in some tree and agree by size and signature."""
-    nodes = _nodes(classes, prefix, "key", "comp")
-    mixed = nodes.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("node")
-    members = nodes.join(mixed, "node").join(classes.select("key", "n", "sig"), "key")
+    nodes = _nodes(classes, prefix, "short", F.xxhash64("comp").alias("group"))
+    mixed = nodes.groupBy("node").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi").select("node")
+    members = tables.stored(nodes.select("node", "short").join(mixed, "node"), "mixed")
+    members = members.join(_only(classes, members).select("short", "key", "comp", "n", "sig"), "short")
     a, b = (members.select("node", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "comp", "n", "sig"))) for side in "ab")
     close = (F.col("n_a") >= SIMILAR * F.col("n_b")) & (F.col("n_b") >= SIMILAR * F.col("n_a"))
     found = a.join(b, (a["node"] == b["node"]) & (F.col("comp_a") < F.col("comp_b")) & close & (_agreement("sig_a", "sig_b") >= ROUGH))
@@ -192,8 +202,10 @@ def grouped_links(members: DataFrame) -> DataFrame:
 
     def blocks_of(batches):
         for b in batches:
-            columns = [b[c].to_pylist() for c in ("comp", "lo", "hi", "key", "size", "block", "shingles")]
-            yield from zip(*columns, strict=True)
+            for at in range(0, b.num_rows, 256):  # sets are large, so few at a time
+                part = b.slice(at, 256)
+                columns = [part[c].to_pylist() for c in ("comp", "lo", "hi", "key", "size", "block", "shingles")]
+                yield from zip(*columns, strict=True)
 
     def work(batches):
         out = []
@@ -230,7 +242,8 @@ def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = sketches.where("key IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("sig").alias("sig")
     )
-    classes = tables.stored(classes, "classes")
+    # nodes carry a short form of the key; two keys with the same one only add candidates
+    classes = tables.stored(classes.withColumn("short", F.xxhash64("key")), "classes")
     rough = rough_groups(classes)
     grouped = classes.join(rough, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     across = tables.stored(pairs_across(grouped, shortest_prefix()), "across")
@@ -265,8 +278,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def work(batches):
         for b in batches:
             keep = []
-            for x, y in zip(b["x"].to_pylist(), b["y"].to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(b["x"], b["y"], strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 inter = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(inter >= SIMILAR * (len(x) + len(y) - inter) - 1e-9)
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
