@@ -21,7 +21,7 @@ PATTERN = regex.compile(
 )
 LONG = 1 << 20  # code points of a text that is cut lazily
 PART = 1 << 16  # pre-tokens handled at once
-CACHE = 1 << 19  # pre-tokens whose result a worker keeps
+CACHE = 1 << 16  # pre-tokens of each of the two generations whose results a worker keeps
 NEVER = 1 << 60
 NONE = (NEVER, -1)
 SHORT = 64  # bytes
@@ -162,17 +162,25 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Kept(dict):
-    """Results by pre-token, worked out when first asked for; cleared back to the given ones when it is full."""
+    """Results by pre-token, worked out when first asked for.
+
+    Bounded by two generations: a full one becomes the old one, and what is asked for again moves to the new one.
+    """
 
     def __init__(self, work: Callable, given: dict | None = None):
-        super().__init__(given or {})
-        self.work, self.given = work, given or {}
+        super().__init__()
+        self.work, self.given, self.old = work, given or {}, {}
 
     def __missing__(self, word: str):
-        if len(self) >= CACHE + len(self.given):
+        found = self.old.get(word)
+        if found is None:
+            found = self.given.get(word)
+            if found is None:
+                found = self.work(word)
+            if len(word) >= 256:
+                return found
+        if len(self) >= CACHE:
+            self.old = dict(self)
             self.clear()
-            self.update(self.given)
-        found = self.work(word)
-        if len(word) < 256:
-            self[word] = found
+        self[word] = found
         return found

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from studytrail.llm.bpe import Kept, Vocabulary, vocabulary
 from studytrail.llm.words import slices
 
-PAIRS = 1 << 19  # pairs of tokens whose test a worker keeps
+PAIRS = 1 << 17  # pairs of tokens whose test a worker keeps
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 

@@ -124,7 +124,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return np.unique(mixed(h))
 
 
-def slices(column, size: int = 8 << 20) -> Iterator[tuple[int, list[str | None]]]:
+def slices(column, size: int = 4 << 20) -> Iterator[tuple[int, list[str | None]]]:
     """(first row, texts) of an Arrow string column, cut so that no list holds much more than ``size`` bytes."""
     at, held, values = 0, 0, []
     for i, value in enumerate(column):
