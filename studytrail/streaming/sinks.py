@@ -30,7 +30,11 @@ def append_table(rows: DataFrame, table: str, checkpoint: str, every: str | None
 def each_batch(
     rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = EVERY
 ) -> StreamingQuery:
-    """Hand every micro-batch and its number to ``write``, which must overwrite when a number comes again."""
+    """Hand every micro-batch and its number to ``write``.
+
+    A number may come again after a failure: a ``write`` that overwrites then is exactly once, one that appends
+    (``jdbc_writer``) at least once.
+    """
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return trigger(writer, every).start()
 
@@ -50,10 +54,15 @@ def persisted(*writes: Callable[[DataFrame, int], None]) -> Callable[[DataFrame,
 
 
 def jdbc_writer(url: str, table: str, **options: str) -> Callable[[DataFrame, int], None]:
-    """A ``write`` for ``each_batch`` that inserts rows through the JDBC data source."""
+    """A ``write`` for ``each_batch`` that inserts rows and their batch number (``batch_id``) through the JDBC data source.
+
+    At least once: an insert cannot overwrite, so a batch that is repeated after a failure is inserted again. Readers
+    keep one copy by ``batch_id`` and key, or the table's own unique key refuses the second one.
+    """
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
+    def write(batch: DataFrame, batch_id: int) -> None:
+        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        numbered.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
     return write
 
