@@ -10,13 +10,18 @@ A Bloom filter of the benchmark's seeds, 4 MB whatever the benchmark's size, let
 that stay go to the join by hash with WINDOW words to either side. Benchmark seeds that come very often are spread by the
 corpus side's salt.
 
-Null texts count as empty and are clean; items with fewer words than ``LEAST`` are left out, as they would match ordinary
-prose; an empty table on either side gives no overlaps. Repeated rows and ids are treated alike.
+Items with fewer words than ``LEAST`` are too short for the masks and must occur whole, word for word. So must items
+in scripts without blanks, where a run of letters is no word: each letter of such a script counts as a word, in the text
+too. The runs of a text with an item's length are hashed, filtered like seeds, joined on the hash and compared in full.
+
+Null texts count as empty and are clean, items without any letter or digit match nothing; an empty table on either side
+gives no overlaps. Repeated rows and ids are treated alike.
 """
 
 from __future__ import annotations
 
 import itertools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from studytrail.llm import tables
-from studytrail.llm.words import BASE, mixed, slices, words_of
+from studytrail.llm.words import BASE, PIECE, mixed, powers, slices, words_of
 
 WINDOW, SHARE, LEAST = 13, 0.8, 8
 MASKS = ("111011", "11010011", "11111")  # five words each
 BITS = 1 << 25
 SEEDS = "item_id bigint, hash bigint, item_at int, item_words binary"
 HITS = "doc_id bigint, hash bigint, at int, context binary"
+#: Letters of scripts without blanks: Thai, Lao, Burmese, Khmer, Tai, kana, Bopomofo, Chinese characters.
+UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u3005-\u3007\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
+RUNS = "doc_id bigint, hash bigint, run binary"
+WHOLE = "item_id bigint, hash bigint, run binary, n int, anchor bigint"
 
 
 def needed(length: int) -> int:
@@ -145,7 +154,7 @@ def _rows(rows):
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_words): the best agreeing window of each document and item that overlap."""
+    """(doc_id, item_id, n_words): the best agreeing window of each document and item of LEAST words or more."""
     items = tables.stored(item_seeds(benchmark), "seeds")
     found = hits(docs, seed_filter(items))
 
@@ -172,15 +181,128 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return checked.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"))
 
 
+def units_of(texts: list[str | None]):
+    """Word hashes of each text, where every letter of a script without blanks is a word."""
+    return words_of([UNSPACED.sub(r" \1 ", t) if t else t for t in texts])
+
+
+class Runs:
+    """Hashes of the runs of a text's words, of any length, from one pass over the text."""
+
+    def __init__(self, words: np.ndarray):
+        n = 1 << max(10, len(words).bit_length())
+        up, self.down = powers(n) if n <= 4 * PIECE else powers.__wrapped__(n)
+        self.total = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(words * up[: len(words)], out=self.total[1:])
+
+    def of(self, n: int, at: np.ndarray | None = None) -> np.ndarray:
+        """Hashes of the runs of n words, at all places or at the given ones."""
+        at = np.arange(max(0, len(self.total) - n)) if at is None else at
+        return mixed((self.total[at + n] - self.total[at]) * self.down[at] + np.uint64(n * BASE % (1 << 64)))
+
+
+def whole_items(benchmark: DataFrame) -> DataFrame:
+    """WHOLE rows: items that must occur whole, with the hashes of all their words and of the first LEAST ones."""
+
+    def work(batches):
+        for b in batches:
+            ids = b["item_id"].to_pylist()
+            for at, texts in slices(b["text"]):
+                rows = []
+                for item, text, words, units in zip(ids[at:], texts, words_of(texts), units_of(texts)):  # noqa: B905
+                    if len(units) and (len(words) < LEAST or UNSPACED.search(text)):
+                        runs, n = Runs(units), len(units)
+                        whole, first = (runs.of(k).view(np.int64)[0] for k in (n, min(n, LEAST)))
+                        rows.append((item, int(whole), units.tobytes(), n, int(first)))
+                if rows:
+                    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
+                    names = [c.split()[0] for c in WHOLE.split(", ")]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    return benchmark.select(F.col("item_id").cast("bigint"), "text").mapInArrow(work, WHOLE)
+
+
+def whole_runs(docs: DataFrame, bloom: np.ndarray, lengths: list[int]) -> DataFrame:
+    """RUNS rows: the corpus's runs of these lengths that the filter lets through, each once a document.
+
+    Longer runs than LEAST words are only looked at where their first LEAST words pass the filter.
+    """
+
+    def inside(h):
+        one, two = _bits(h)
+        return np.flatnonzero((bloom[one >> 3] >> (one & 7)) & (bloom[two >> 3] >> (two & 7)) & 1)
+
+    def rows_of(doc, words):
+        runs, anchored = Runs(words), None
+        for n in lengths:
+            if n > len(words):
+                break
+            if n > LEAST and anchored is None:
+                anchored = inside(runs.of(LEAST))
+            places = np.arange(len(words) - n + 1) if n <= LEAST else anchored[anchored <= len(words) - n]
+            h = runs.of(n, places)
+            passed = inside(h)
+            h, first = np.unique(h[passed], return_index=True)
+            for value, at in zip(h.view(np.int64), places[passed[first]], strict=True):
+                yield doc, int(value), words[at : at + n].tobytes()
+
+    def batch(rows):
+        kinds = (pa.int64(), pa.int64(), pa.binary())
+        names = [c.split()[0] for c in RUNS.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    def work(batches):
+        for b in batches:
+            ids = b["doc_id"].to_pylist()
+            for at, texts in slices(b["text"]):
+                rows, held = [], 0
+                for doc, words in zip(ids[at:], units_of(texts)):  # noqa: B905
+                    for row in rows_of(doc, words):
+                        rows.append(row)
+                        held += 64 + len(row[2])
+                        if held > 8 << 20:
+                            yield batch(rows)
+                            rows, held = [], 0
+                if rows:
+                    yield batch(rows)
+
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, RUNS)
+
+
+def all_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """As overlaps(), with the items that must occur whole; for these n_words is the number of all their words."""
+    found = overlaps(docs, benchmark)
+    items = tables.stored(whole_items(benchmark), "items")
+    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())  # few: N lengths take N**2 / 2 words
+    if not lengths:
+        return found
+    anchors = items.where(F.col("n") > LEAST).select(F.col("anchor").alias("hash"))
+    runs = whole_runs(docs, seed_filter(items.select("hash").unionByName(anchors)), lengths)
+    salts = 16  # as in overlaps(); an item of one word may be in most documents
+    runs = runs.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+    items = items.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    whole = runs.join(items, ["hash", "salt", "run"]).select("doc_id", "item_id", F.col("n").alias("n_words"))
+    return found.unionByName(whole).groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"))
+
+
 def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_items and most_words of every contaminated document."""
-    found = overlaps(docs, benchmark)
+    found = all_overlaps(docs, benchmark)
     return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_items"), F.max("n_words").alias("most_words"))
 
 
+def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows without any overlap, with all their columns; only rows that may be contaminated shuffle."""
+    return _without(docs, all_overlaps(docs, benchmark))
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows without overlaps, with all their columns; only rows that may be contaminated shuffle."""
-    bad = tables.stored(judged(docs, benchmark).select(F.col("doc_id").alias("_id")), "contaminated")
+    """As clean_rows(), by overlaps() alone: items that must occur whole are not looked for."""
+    return _without(docs, overlaps(docs, benchmark))
+
+
+def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    bad = tables.stored(found.select(F.col("doc_id").alias("_id")).distinct(), "contaminated")
     blocks = tables.blocks_for(bad.count())
     bits = tables.stored(tables.filter_of(bad, "_id", blocks), "bits")
     marked = tables.maybe(tables.packed(docs, "doc_id"), "doc_id", bits, blocks)
