@@ -5,9 +5,11 @@ insults come inflected. The products of factors learn what pairs of terms say to
 mention, which weights alone add up and miss.
 
 Labels are learnt from a bounded sample of labelled rows: up to ``rows`` of each class, those with the smallest hashes
-of their ids, weighted back to the classes' shares of all labelled rows. Terms are screened by their association with
-toxic rows of the sample (a G statistic); the machine is fitted to the screened ones by Adam on full batches, with fixed
-seeds. Null texts count as empty and get the score of the bias. Without labelled rows of both classes all scores are
+of their ids, weighted back to the classes' shares of all labelled rows. Terms of the same sampled rows, such as a word
+and its beginnings, are one column. Columns are screened by their association with either class (a G statistic), and by
+that of pairs: of any two columns, both that of the second among the rows of the first and the other way round must be
+high, so that terms count that say nothing alone. The machine is fitted to the screened columns by Adam on full batches,
+with fixed seeds. Null texts count as empty and get the score of the bias. Without labelled rows of both classes all scores are
 next to 1 (only toxic labels) or 0. Rows with a null or repeated doc_id are scored like any other; null labels
 are not learnt from, of a doc_id's repeated labels the largest counts.
 """
@@ -22,14 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from studytrail.llm import tables
-from studytrail.llm.words import slices, words_of
+from studytrail.llm.words import mixed, slices, words_of
 
 ROWS = 5_000  # sampled rows of each class
 PREFIXES = (3, 4, 5, 6, 7, 8)
-LEAST_ROWS = 4  # toxic rows of the sample that have a term
-CANDIDATES = 1 << 16  # terms that are counted in rows of the other class
-TERMS = 1024  # screened terms at most
-LEAST_G = 24.0  # twice the log-likelihood gained; chance alone gives about 2 * log(CANDIDATES) = 22
+TERMS = 1024  # screened columns at most
+LEAST_G = 24.0  # twice the log-likelihood gained; chance alone gives about 2 * log(65,536 terms) = 22
+PAIR_G = 48.0  # as LEAST_G, for pairs of 100,000 columns
+SIDE = 1024  # columns of a block of pairs
 FACTORS = 8
 FOLDS = 5
 
@@ -47,7 +49,7 @@ def terms_of(texts: list[str | None]):
 @dataclass(frozen=True)
 class Machine:
     bias: float
-    terms: np.ndarray  # screened, sorted
+    terms: np.ndarray  # those of the screened columns, sorted
     weight: np.ndarray
     factor: np.ndarray
 
@@ -101,15 +103,62 @@ def fit(x: np.ndarray, y: np.ndarray, row_weight: np.ndarray, steps: int = 150,
     return float(p[0][0]), p[1], p[2]
 
 
-def association(with_1: np.ndarray, with_0: np.ndarray, n1: float, n0: float) -> np.ndarray:
-    """G statistic of each bucket from the numbers of rows of the two classes that have it."""
-    total = np.zeros(len(with_1))
-    share = (with_1 + with_0) / (n1 + n0)
-    for has, n in ((with_1, n1), (with_0, n0)):
-        for seen, expected in ((has, n * share), (n - has, n * (1 - share))):
-            ok = (seen > 0) & (expected > 0)
-            total[ok] += 2 * seen[ok] * np.log(seen[ok] / expected[ok])
-    return total
+def _xlogx(n):
+    return F.when(n > 0, n * F.log(n)).otherwise(F.lit(0.0))
+
+
+def association(n1: int, n0: int):
+    """G statistic of columns with_1 and with_0, the rows of each class that have a term, of n1 and n0 rows."""
+    a, b, n = F.col("with_1"), F.col("with_0"), n1 + n0
+    cells = _xlogx(a) + _xlogx(b) + _xlogx(F.lit(n1) - a) + _xlogx(F.lit(n0) - b)
+    return 2 * (cells - _xlogx(a + b) - _xlogx(F.lit(n) - a - b) - _xlogx(F.lit(n1)) - _xlogx(F.lit(n0)) + _xlogx(F.lit(n)))
+
+
+def pair_scores(one: np.ndarray, two: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For 0/1 columns of two blocks: the lesser of the G statistics of either column among the rows of the other."""
+    t = np.arange(len(y) + 1, dtype=np.float64)
+    t[1:] *= np.log(t[1:])
+    one, two, toxic = one.astype(np.float32), two.astype(np.float32), y == 1
+    c1, c0 = ((one[rows].T @ two[rows]).astype(np.int32) for rows in (toxic, ~toxic))
+    shared = t[c1] + t[c0] - t[c1 + c0]
+
+    def among(w1, w0):
+        return 2 * (shared + t[w1 - c1] + t[w0 - c0] - t[w1 + w0 - c1 - c0] + t[w1 + w0] - t[w1] - t[w0])
+
+    w = [[x[rows].sum(0).astype(np.int32) for rows in (toxic, ~toxic)] for x in (one, two)]
+    return np.minimum(among(w[0][0][:, None], w[0][1][:, None]), among(w[1][0][None, :], w[1][1][None, :]))
+
+
+def pair_bests(spark, bits: np.ndarray, y: np.ndarray, columns: int) -> np.ndarray:
+    """Highest pair score of each column, by tasks over pairs of blocks; bits has the rows' columns as packed bits."""
+    blocks = -(-columns // SIDE)
+    pairs = [(i, j) for i in range(blocks) for j in range(i, blocks)]
+
+    def work(batches):
+        cut = lambda i: np.unpackbits(bits[:, i * SIDE // 8 : (i + 1) * SIDE // 8], axis=1)
+        for b in batches:
+            for i, j in (pairs[k] for k in b["id"].to_pylist()):
+                g = pair_scores(cut(i), cut(j), y)
+                best = np.concatenate([g.max(1), g.max(0)])
+                at = np.concatenate([i * SIDE + np.arange(g.shape[0]), j * SIDE + np.arange(g.shape[1])])
+                high = best > PAIR_G
+                yield pa.RecordBatch.from_arrays([pa.array(at[high], pa.int64()), pa.array(best[high], pa.float64())], names=["at", "g"])
+
+    found = spark.range(0, len(pairs), 1, max(1, len(pairs))).mapInArrow(work, "at bigint, g double")
+    found = found.groupBy("at").agg(F.max("g").alias("g")).toPandas()
+    out = np.zeros(columns)
+    out[found["at"].to_numpy(np.int64)] = found["g"].to_numpy()
+    return out
+
+
+def spread(columns: list[np.ndarray], bias: float, weight: np.ndarray, factor: np.ndarray) -> Machine:
+    """The machine by terms: those of a column share its weight and factors, and give the same score together."""
+    sizes = np.array([len(c) for c in columns], np.int64)
+    weight = (weight - 0.5 * (factor * factor).sum(1) * (1 - 1 / np.maximum(sizes, 1))) / np.maximum(sizes, 1)
+    terms = np.concatenate([*columns, np.zeros(0, np.uint32)]).astype(np.uint32)
+    order = np.argsort(terms)
+    of = np.repeat(np.arange(len(columns)), sizes)[order]
+    return Machine(bias, terms[order], weight[of], (factor / np.maximum(sizes, 1)[:, None])[of])
 
 
 def sampled(labels: DataFrame, rows: int, folds: int) -> tuple[DataFrame, dict[int, int]]:
@@ -121,16 +170,30 @@ def sampled(labels: DataFrame, rows: int, folds: int) -> tuple[DataFrame, dict[i
     return parts[0].unionByName(parts[1]), n
 
 
-def _counted(batches, known: np.ndarray | None = None):
-    """(term, n): in how many rows of the partition a term is, of the known ones if given."""
-    parts = []
+def _counted(batches):
+    """(term, with_1, with_0, rows): a term's rows of each class in a part of the sample, and a hash of all its rows."""
+
+    def batch(parts):
+        terms, tags, ys = zip(*parts, strict=True)
+        term, sizes = np.concatenate(terms), [len(t) for t in terms]
+        order = np.argsort(term, kind="stable")
+        term, at = np.unique(term[order], return_index=True)
+        tag, y = np.repeat(np.array(tags, np.uint64), sizes)[order], np.repeat(np.array(ys, np.int64), sizes)[order]
+        rows = np.bitwise_xor.reduceat(mixed(tag), at)
+        cols = (term.astype(np.int64), np.add.reduceat(y, at), np.add.reduceat(1 - y, at), rows.view(np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["term", "with_1", "with_0", "rows"])
+
+    parts, held = [], 0
     for b in batches:
-        for found in b["terms"].to_pylist():
-            found = np.frombuffer(found, np.uint32)
-            parts.append(found if known is None else known[places(known, found)])
+        for y, tag, found in zip(*(b[c].to_pylist() for c in ("y", "tag", "terms")), strict=True):
+            if found:
+                parts.append((np.frombuffer(found, np.uint32), tag + 1, y))
+                held += len(parts[-1][0])
+            if held > 1 << 20:
+                yield batch(parts)
+                parts, held = [], 0
     if parts:
-        term, n = np.unique(np.concatenate(parts), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(term.astype(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
+        yield batch(parts)
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, folds: int = FOLDS) -> Machine:
@@ -146,38 +209,44 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, folds: int = FOL
 
     # the sample has 2 * rows rows of two numbers at most, so it may be broadcast
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("y", "text")
-    chosen = tables.stored(chosen.mapInArrow(featured, "y int, terms binary"), "sample")
+    chosen = chosen.mapInArrow(featured, "y int, terms binary").withColumn("tag", F.monotonically_increasing_id())
+    chosen = tables.stored(chosen, "sample")
     found = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(found) < 2:
         return constant(n[1] / (n[0] + n[1]))
-    count = lambda y, known=None: (
-        chosen.where(F.col("y") == y).select("terms").mapInArrow(lambda b: _counted(b, known), "term bigint, n bigint")
-        .groupBy("term").agg(F.sum("n").alias("n"))
-    )
-    toxic = count(1).where(F.col("n") >= LEAST_ROWS).orderBy(F.desc("n"), "term").limit(CANDIDATES).toPandas().sort_values("term")
-    known, with_1 = toxic["term"].to_numpy().astype(np.uint32), toxic["n"].to_numpy(np.float64)
-    clean = count(0, known).toPandas()  # CANDIDATES rows at most
-    with_0 = np.zeros(len(known))
-    with_0[np.searchsorted(known, clean["term"].to_numpy().astype(np.uint32))] = clean["n"].to_numpy()
-    g = association(with_1, with_0, found[1], found[0])
-    g[with_1 / found[1] <= with_0 / found[0]] = 0
-    best = np.argsort(-g, kind="stable")[:TERMS]
-    best = known[np.sort(best[g[best] > LEAST_G])]
+    counts = chosen.mapInArrow(_counted, "term bigint, with_1 bigint, with_0 bigint, rows bigint").groupBy("term")
+    counts = counts.agg(F.sum("with_1").alias("with_1"), F.sum("with_0").alias("with_0"), F.bit_xor("rows").alias("rows"))
+    total, split = F.col("with_1") + F.col("with_0"), _xlogx(F.col("with_1")) + _xlogx(F.col("with_0"))
+    # no pair can gain more than its members' rows leave open
+    counts = counts.select("*", association(found[1], found[0]).alias("g"), (2 * (_xlogx(total) - split)).alias("open"))
+    columns = counts.where((F.col("g") > LEAST_G) | (F.col("open") > PAIR_G)).groupBy("with_1", "with_0", "rows")
+    columns = columns.agg(F.max("g").alias("g"), F.sort_array(F.collect_list("term")).alias("terms")).toPandas()
+    members = [np.array(t, np.uint32) for t in columns["terms"]]
+    order = np.argsort([m[0] for m in members]) if members else []
+    members, single = [members[k] for k in order], columns["g"].to_numpy(np.float64)[order]
+    known = np.array([m[0] for m in members], np.uint32)
 
     def screened(batches):
         for b in batches:
-            at = [places(best, np.frombuffer(t, np.uint32)).astype(np.int16).tobytes() for t in b["terms"].to_pylist()]
+            at = [places(known, np.frombuffer(t, np.uint32)).astype(np.int32).tobytes() for t in b["terms"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["y"], pa.array(at, pa.binary())], names=["y", "at"])
 
-    data = chosen.mapInArrow(screened, "y int, at binary").toPandas()  # 2 * rows rows of TERMS numbers at most
+    data = chosen.mapInArrow(screened, "y int, at binary").toPandas()  # 2 * rows rows of known columns
     data = data.sort_values(["y", "at"], ignore_index=True)
-    x = np.zeros((len(data), len(best)), np.uint8)
-    for i, at in enumerate(data["at"]):
-        x[i, np.frombuffer(at, np.int16)] = 1
     y = data["y"].to_numpy(np.float64)
+    bits = np.zeros((len(data), -(-len(known) // SIDE) * SIDE // 8), np.uint8)
+    for i, at in enumerate(data["at"]):
+        row = np.zeros(8 * bits.shape[1], np.uint8)
+        row[np.frombuffer(at, np.int32)] = 1
+        bits[i] = np.packbits(row)
+    del data
+    g = np.maximum(single, pair_bests(chosen.sparkSession, bits, y, len(known))) if len(known) else single
+    g[(single <= LEAST_G) & (g <= PAIR_G)] = 0
+    best = np.argsort(-g, kind="stable")[:TERMS]
+    best = np.sort(best[g[best] > 0])
+    x = (bits[:, best // 8] >> (7 - best % 8).astype(np.uint8)) & 1
     weight = np.where(y == 1, n[1] / found[1], n[0] / found[0])
-    bias, w, v = fit(x, y, weight)
-    return Machine(bias, best, w, v)
+    return spread([members[k] for k in best], *fit(x, y, weight))
 
 
 def scored(docs: DataFrame, machine: Machine, folds: int = FOLDS) -> DataFrame:
