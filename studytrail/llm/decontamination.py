@@ -124,8 +124,14 @@ def seed_filter(items: DataFrame) -> np.ndarray:
     return out
 
 
+def _id_kind(docs: DataFrame) -> tuple[str, pa.DataType]:
+    """The type of doc_id: binary (a hash of the text) stays, all others are numbers."""
+    return ("binary", pa.binary()) if dict(docs.dtypes)["doc_id"] == "binary" else ("bigint", pa.int64())
+
+
 def hits(docs: DataFrame, bloom: np.ndarray) -> DataFrame:
     """HITS rows: the corpus's seeds that the filter lets through, with the words around them."""
+    name, kind = _id_kind(docs)
 
     def work(batches):
         for b in batches:
@@ -140,27 +146,28 @@ def hits(docs: DataFrame, bloom: np.ndarray) -> DataFrame:
                         lo = max(0, int(p[k]) - WINDOW)
                         rows.append((doc, int(h[k].view(np.int64)), int(p[k]) - lo, words[lo : int(p[k]) + 2 * WINDOW].tobytes()))
                     if len(rows) > 50_000:
-                        yield from _rows(rows)
+                        yield from _rows(rows, kind)
                         rows = []
-                yield from _rows(rows)
+                yield from _rows(rows, kind)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, HITS)
+    return docs.select(F.col("doc_id").cast(name), "text").mapInArrow(work, HITS.replace("bigint", name, 1))
 
 
-def _rows(rows):
+def _rows(rows, kind):
     if rows:
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        kinds = (kind, pa.int64(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "hash", "at", "context"])
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_words): the best agreeing window of each document and item of LEAST words or more."""
+    name, kind = _id_kind(docs)
     items = tables.stored(item_seeds(benchmark), "seeds")
     found = hits(docs, seed_filter(items))
 
     def verify(batches):
         for b in batches:
-            out: dict[tuple[int, int], int] = {}
+            out: dict[tuple, int] = {}
             columns = [b[c].to_pylist() for c in ("doc_id", "item_id", "item_at", "item_words", "at", "context")]
             for doc, item, item_at, item_words, at, context in zip(*columns, strict=True):
                 n = overlap(np.frombuffer(item_words, np.uint64), item_at, np.frombuffer(context, np.uint64), at)
@@ -168,7 +175,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     out[doc, item] = max(n, out.get((doc, item), 0))
             keys = list(out)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(list(out.values()), pa.int32())],
+                [pa.array([k[0] for k in keys], kind), pa.array([k[1] for k in keys], pa.int64()), pa.array(list(out.values()), pa.int32())],
                 names=["doc_id", "item_id", "n_words"],
             )
 
@@ -177,7 +184,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "at"), F.lit(salts)).cast("int"))
     items = items.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     pairs = found.join(items, ["hash", "salt"]).drop("hash", "salt")
-    checked = pairs.mapInArrow(verify, "doc_id bigint, item_id bigint, n_words int")
+    checked = pairs.mapInArrow(verify, f"doc_id {name}, item_id bigint, n_words int")
     return checked.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"))
 
 
@@ -227,6 +234,7 @@ def whole_runs(docs: DataFrame, bloom: np.ndarray, lengths: list[int]) -> DataFr
 
     Longer runs than LEAST words are only looked at where their first LEAST words pass the filter.
     """
+    name, kind = _id_kind(docs)
 
     def inside(h):
         one, two = _bits(h)
@@ -247,7 +255,7 @@ def whole_runs(docs: DataFrame, bloom: np.ndarray, lengths: list[int]) -> DataFr
                 yield doc, int(value), words[at : at + n].tobytes()
 
     def batch(rows):
-        kinds = (pa.int64(), pa.int64(), pa.binary())
+        kinds = (kind, pa.int64(), pa.binary())
         names = [c.split()[0] for c in RUNS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
@@ -266,7 +274,7 @@ def whole_runs(docs: DataFrame, bloom: np.ndarray, lengths: list[int]) -> DataFr
                 if rows:
                     yield batch(rows)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, RUNS)
+    return docs.select(F.col("doc_id").cast(name), "text").mapInArrow(work, RUNS.replace("bigint", name, 1))
 
 
 def all_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -292,21 +300,28 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows without any overlap, with all their columns; only rows that may be contaminated shuffle."""
-    return _without(docs, all_overlaps(docs, benchmark))
+    """The rows without any overlap, with all their columns, whatever their ids: rows are judged by their text's hash."""
+    sha = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    found = all_overlaps(docs.select(sha.alias("doc_id"), "text"), benchmark)
+    return _without(docs, found, sha)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """As clean_rows(), by overlaps() alone: items that must occur whole are not looked for."""
-    return _without(docs, overlaps(docs, benchmark))
+    """Drops by doc_id and by overlaps() alone: not items that must occur whole, nor rows without an id."""
+    return _without(docs, overlaps(docs, benchmark), F.col("doc_id"))
 
 
-def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, found: DataFrame, key) -> DataFrame:
+    """The rows whose key is not found; only those that may be found shuffle, copies of a text spread by their ids."""
     bad = tables.stored(found.select(F.col("doc_id").alias("_id")).distinct(), "contaminated")
     blocks = tables.blocks_for(bad.count())
     bits = tables.stored(tables.filter_of(bad, "_id", blocks), "bits")
-    marked = tables.maybe(tables.packed(docs, "doc_id"), "doc_id", bits, blocks)
-    kept = marked.where("maybe").join(bad, F.col("doc_id") == F.col("_id"), "left_anti").select("row")
+    salts = 16
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")
+    marked = tables.maybe(tables.packed(docs, key.alias("_key"), salt.alias("_salt")), "_key", bits, blocks)
+    bad = bad.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    same = (F.col("_key") == F.col("_id")) & (F.col("_salt") == F.col("_part"))
+    kept = marked.where("maybe").join(bad, same, "left_anti").select("row")
     return tables.unpacked(marked.where(~F.col("maybe")).select("row").unionByName(kept))
 
 

@@ -60,3 +60,14 @@ def test_pipeline_drops_them(spark, benchmark, tmp_path):
     assert kept.schema == docs.schema
     clean = [d for d, t in rows if not any(held(t, i) for i in ITEMS) and not brute.contaminated(t, ITEMS)]
     assert sorted(r.doc_id for r in kept.collect()) == clean and 20 <= len(clean) < len(rows) - 12
+
+
+def test_rows_are_judged_by_their_text(spark, benchmark, tmp_path):
+    """Contaminated rows without an id go; clean ones stay that share an id with a contaminated row or have none."""
+    long = ITEMS[8]
+    rows = [(None, long + " here"), (None, "so yes"), (None, "a clean row"), (1, long), (1, "another clean row"), (2, "yes"), (2, None), (3, long)]
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = documents(spark, [(d, t, "en", None, 0) for d, t in rows])
+    kept = corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path))
+    assert kept.schema == docs.schema
+    assert rows_of(kept, "doc_id", "text") == sorted([rows[2], rows[4], rows[6]], key=repr)
