@@ -5,11 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from studytrail.llm import bpe_codec, decontamination, exact_dedup, language, main_text, near_dups, token_counts, toxicity, url_filter, warc
+from studytrail.llm import (
+    alignment, bpe_codec, decontamination, exact_dedup, language, main_text, mixing, near_dups, search, token_counts, toxicity, url_filter, warc,
+)
 from studytrail.llm.tables import table
 
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,13 +57,31 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_roundtrip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = (op1_language, op2_exact_dedup, op3_main_text, op4_url_filter, op5_bpe_codec, op6_toxicity, op7_token_counts, op8_decontamination, op9_jaccard_join, op10_warc)
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), VOCABULARY, PIECES)
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = (
+    op1_language, op2_exact_dedup, op3_main_text, op4_url_filter, op5_bpe_codec, op6_toxicity, op7_token_counts,
+    op8_decontamination, op9_jaccard_join, op10_warc, op11_mixing, op12_alignment, op13_search,
+)
 
 
 def all_queries() -> dict:
     return {f.__name__: f for f in QUERIES}
 
 
+#: a term of the search (fixed value)
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 OP2 = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
        sha256(coalesce(text, '')) AS text_sha256
@@ -105,6 +126,31 @@ SELECT page_id, octet_length(encode(payload)) AS payload_bytes, digest AS payloa
 FROM firsts
 """
 
+OP13 = r"""
+WITH words AS (
+  SELECT rowid AS r, doc_id, unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'), '{term}')) AS term
+  FROM (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents)
+), tfs AS (
+  SELECT r, doc_id, term, count(*) AS tf FROM words GROUP BY r, doc_id, term
+), lengths AS (
+  SELECT r, sum(tf) AS n FROM tfs GROUP BY r
+), totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM lengths
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'), '{term}')) AS term FROM benchmark
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, totals GROUP BY term, n_docs
+), impacts AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + CAST((50 * n * n_docs) // n_terms AS BIGINT)))) AS impact
+  FROM tfs JOIN lengths USING (r) JOIN weights USING (term), totals WHERE term IN (SELECT term FROM asked)
+), scores AS (
+  SELECT item_id, r, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM asked JOIN impacts USING (term) GROUP BY item_id, r, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
+
 
 def all_statements() -> dict[str, str]:
     def counted(terms) -> str:
@@ -114,4 +160,5 @@ def all_statements() -> dict[str, str]:
     op4 = OP4.format(
         upper=url_filter.UPPER, lower=url_filter.LOWER, strict=counted(url_filter.STRICT), soft=counted(url_filter.SOFT)
     )
-    return {"op2_exact_dedup": OP2, "op4_url_filter": op4, "op10_warc": OP10}
+    op13 = OP13.format(upper=url_filter.UPPER, lower=url_filter.LOWER, term=TERM)
+    return {"op2_exact_dedup": OP2, "op4_url_filter": op4, "op10_warc": OP10, "op13_search": op13}
