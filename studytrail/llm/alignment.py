@@ -45,7 +45,7 @@ MARK = "▁"  # a blank in B's pieces
 BLOCK = 6 << 20  # bytes of texts that are aligned together
 LONG = 1 << 20  # code points of a text that is cut lazily
 BATCH = 1 << 12  # chunks encoded at once
-KEPT = 200_000  # distinct chunks after which a worker starts anew
+KEPT = 300_000  # distinct chunks after which a worker lets go of those that came once
 INTS = "array<int>"
 BLOCKS = (
     f"block bigint, doc_ids array<bigint>, n_a {INTS}, n_b {INTS}, n_groups {INTS}, n_links {INTS}, shas array<string>, "
@@ -93,6 +93,7 @@ class Pair:
         if b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw:
             return None
         pieces = self.b.encode(text[1:], return_type="proto").pieces
+        pieces = list(pieces)
         ids_b = [p.id for p in pieces]
         if b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
             return None
@@ -157,6 +158,7 @@ class Chunks(dict):
         super().__init__()
         self.pair, self.new = pair, []
         self.figures, self.groups, self.codes = array("q"), [], []
+        self.uses = np.zeros(0, np.int64)
 
     def __missing__(self, chunk: str) -> int:
         number = self[chunk] = len(self)
@@ -184,6 +186,26 @@ class Chunks(dict):
         self.new = []
 
 
+    def used(self, times: np.ndarray) -> None:
+        """Add how often each chunk came in a block."""
+        times[: len(self.uses)] += self.uses
+        self.uses = times
+
+    def again(self) -> Chunks:
+        """Of the chunks those that came more than once; none, if that is most of them."""
+        out = Chunks(self.pair)
+        if 2 * np.count_nonzero(self.uses > 1) > KEPT:
+            return out
+        for number, chunk in enumerate(self):
+            if self.uses[number] > 1:
+                out[chunk] = len(out)
+                out.figures.extend(self.figures[4 * number : 4 * number + 4])
+                out.groups.append(self.groups[number])
+                out.codes.append(self.codes[number].copy())
+        out.uses = np.ones(len(out), np.int64)
+        return out
+
+
 NO_CODES = np.zeros(0, np.int64)
 
 
@@ -200,6 +222,7 @@ def _block(known: Chunks, number: int, ids: list, texts: list[str | None]) -> pa
     rows = [known.numbers(t) if t else NO_CODES for t in texts]
     known.align()
     figures = np.frombuffer(known.figures, np.int64).reshape(-1, 4).copy()
+    known.used(np.bincount(np.concatenate([NO_CODES, *rows]), minlength=len(known)))
     shas, kept = [], []
     for row in rows:
         if not len(row) or not figures[row, 0].all():  # a chunk without tokens: the text has none
@@ -234,7 +257,7 @@ def blocks(docs: DataFrame, a: str, b: str) -> DataFrame:
         for batch in batches:
             for at, texts in slices(batch["text"], BLOCK):
                 if len(known) > KEPT:
-                    known = Chunks(known.pair)
+                    known = known.again()
                 yield _block(known, number, batch["doc_id"][at : at + len(texts)].to_pylist(), texts)
                 number += 1
 
