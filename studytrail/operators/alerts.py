@@ -91,7 +91,8 @@ def limit_rate(alerts: DataFrame, every: str = "10 minutes", by: Sequence[str] =
 def limit_rate_stream(alerts: DataFrame, every: str = "10 minutes", by: Sequence[str] = ("rule", "url")) -> DataFrame:
     """Streaming form of ``limit_rate``: the first alert to arrive in each interval passes at once.
 
-    What has passed is remembered until the watermark, ``every`` behind, leaves its interval.
+    What has passed is remembered until the watermark, ``every`` behind, leaves its interval. Alerts behind it are dropped; the
+    query's progress counts them (``streaming.sinks.LateRows``).
     """
     return (
         alerts.withWatermark("at", every)

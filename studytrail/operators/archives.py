@@ -234,11 +234,12 @@ def factor_accounts(events: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 
 def factor_totals(per_account: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    return (
-        per_account.groupBy(*keys)
-        .agg(F.count("account_id").alias("triggers"), *(F.sum(c).alias(c) for c in COUNTERS))
-        .withColumn("ability", F.col("right").cast("double") / F.col("answers").cast("double"))
-    )
+    sums = (F.sum(c).alias(c) for c in COUNTERS)
+    return factor_ability(per_account.groupBy(*keys).agg(F.count("account_id").alias("triggers"), *sums))
+
+
+def factor_ability(totals: DataFrame) -> DataFrame:
+    return totals.withColumn("ability", F.col("right").cast("double") / F.col("answers").cast("double"))
 
 
 def roll_up(daily: DataFrame, keys: tuple[str, ...]) -> DataFrame:

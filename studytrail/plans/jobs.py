@@ -13,8 +13,8 @@ from studytrail.operators.merge import merge_insert_if_absent
 from studytrail.schema import API_GO, API_SUBMIT, INDICATORS, WEEKLY_INDICATORS
 from studytrail.sources import logs
 from studytrail.sources.tables import of_previous_day
-from studytrail.streaming.archives import ArchiveStream, FactorStream
-from studytrail.streaming.sinks import EVERY, each_batch, persisted
+from studytrail.streaming.archives import ArchiveStream, keys_of
+from studytrail.streaming.sinks import EVERY
 
 ACCEPTED = "accepted"
 
@@ -121,8 +121,13 @@ def write_answers(lines: DataFrame, path: str, rejected_path: str) -> None:
 
 def start_archives(
     events: DataFrame, root: str, names: Sequence[str], every: str | None = EVERY
-) -> tuple[StreamingQuery, dict[str, ArchiveStream | FactorStream]]:
-    """One stream that keeps several archives, so that lines are read and parsed once per micro-batch."""
-    streams = {n: (FactorStream if n in archives.FACTORS else ArchiveStream)(f"{root}/{n}", n) for n in names}
-    write = persisted(*(stream.write for stream in streams.values()))
-    return each_batch(events, write, f"{root}/checkpoint", every), streams
+) -> tuple[list[StreamingQuery], dict[str, ArchiveStream]]:
+    """Streams that keep several archives: one for all lifetime archives, one for all daily ones, each a single pass."""
+    queries, streams = [], {}
+    for kind in ("lifetime", "daily"):
+        own = [n for n in names if ("dt" in keys_of(n)) == (kind == "daily")]
+        if own:
+            stream = ArchiveStream(f"{root}/{kind}", own)
+            queries.append(stream.start(events, every))
+            streams |= {n: stream for n in own}
+    return queries, streams

@@ -1,6 +1,6 @@
 """Registered streaming queries: the events table read as a stream until it is exhausted.
 
-Archives and counted alerts get it as several deliveries, so that state is carried and folded between micro-batches.
+Archives and counted alerts get it as several deliveries, so that state is carried between micro-batches.
 """
 
 from __future__ import annotations
@@ -19,13 +19,12 @@ from studytrail.session import shared_folder
 from studytrail.sources import logs
 from studytrail.sources.messages import table_stream
 from studytrail.streaming import alerts, sinks
-from studytrail.streaming.archives import ArchiveStream, FactorStream
+from studytrail.streaming.archives import ArchiveStream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 PARTS = 4
-FOLD_EVERY = 2  # so that four micro-batches fold every bucket twice
 
 
 def _arriving(spark: SparkSession, sf: str, root: str, run: Callable[[DataFrame], None]) -> None:
@@ -48,8 +47,7 @@ def _log_stream(spark: SparkSession, sf: str) -> DataFrame:
 def _archive(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         root = shared_folder(spark, f"stream-{name}")
-        kind = FactorStream if name in archives.FACTORS else ArchiveStream
-        stream = kind(f"{root}/state", name, fold_every=FOLD_EVERY)
+        stream = ArchiveStream(f"{root}/state", name)
         _arriving(spark, sf, root, lambda log: stream.start(log, every=None).awaitTermination())
         return stream.read(spark)
 
@@ -59,7 +57,7 @@ def _archive(name: str) -> Query:
 def _counted(name: str, make: Callable[..., alerts.CountedAlerts], *args) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         root = shared_folder(spark, name)
-        stream = make(f"{root}/state", *args, fold_every=FOLD_EVERY)
+        stream = make(f"{root}/state", *args)
         calls = lambda log: logs.alert_calls(rendered.call_lines(log))
         _arriving(spark, sf, root, lambda log: stream.start(calls(log), every=None).awaitTermination())
         return stream.read(spark).withColumn("at", F.date_format("at", dates.TIME))

@@ -1,206 +1,86 @@
-"""Archives kept up to date from a stream, one micro-batch at a time.
-
-Next to the archive itself a *tail* is kept: the few rows of each timeline that a later row still
-has to be compared with. A micro-batch is marked together with the tails of the timelines it
-touches; what it adds to the archive and the new tails of those timelines are written down. Both tables are kept in
-buckets, tails by account, so a micro-batch reads the buckets of its own accounts and rewrites a few that are due
-(see ``versions``). Empty micro-batches change nothing.
-Rows count in order of arrival: tails come first, a micro-batch is ordered by (time, seq).
+"""Archives kept up to date from a stream; the state is Spark's own.
+
+``transformWithState`` keeps the open visits of every account in the RocksDB state store (see ``visits``), checkpointed with
+the stream. A micro-batch's additions, summed by archive and key, are the only thing that is written: one folder for each
+batch, overwritten when a batch is repeated. The archive is the sum of all additions. Rows count in order of arrival, inside
+a micro-batch in order of (time, seq).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from studytrail.operators import archives as ar
-from studytrail.operators.merge import merge_additive
-from studytrail.operators.timeline import SPAN, Timeline, join_same
-from studytrail.schema import SUBMIT
-from studytrail.streaming.sinks import EVERY, each_batch, persisted
-from studytrail.streaming.versions import BATCH, BUCKET, Pointer, Versions, bucket_of, query_id
-
-ARRIVAL = "_arrival"
-ASKED = "_asks_kept"
-FOLD_EVERY = 20
-
+from studytrail.streaming.sinks import EVERY, each_batch, query_id, rocks_state
+from studytrail.streaming.visits import ABILITY, EXPIRED, LONGS, Visits, added_schema, open_schema
 
-def _event_columns(spec: ar.Archive, line: Timeline) -> list[str]:
-    cols = [*line.keys, *spec.keys, line.time, line.seq, "src_type"]
-    if spec.visits == "runs":
-        cols += ["question_id", "ability", "lo_status"]
-    return list(dict.fromkeys(cols))
+FILES = 4
+DAY_MS = 86_400_000
 
 
-def next_tails(marked: DataFrame, spec: ar.Archive, line: Timeline, cols: Sequence[str]) -> DataFrame:
-    """(timeline, tail): the rows that later rows of each timeline are compared with.
-
-    ``change``: the last row. ``closed``: the submit that opened a visit still open, or none.
-    ``runs``: of the latest visit the first row, the first row of its last question and the last row.
-    """
-
-    def last(cond: Column, asked: bool) -> Column:
-        row = F.struct(*cols, F.lit(asked).alias(ASKED))
-        return F.max_by(F.when(cond, row), F.when(cond, line.position))
-
-    every = F.lit(True)
-    if spec.visits == "change":
-        tail = F.array(last(every, False))
-    elif spec.visits == "closed":
-        is_open = F.max_by("src_type", line.position) == SUBMIT
-        tail = F.array_compact(F.array(F.when(is_open, last(F.col("opens"), False))))
-    else:
-        first, ask, end = last(F.col("opens"), True), last(F.col("asks"), True), last(every, False)
-        ask = F.when(ask[line.seq] != first[line.seq], ask)
-        end = F.when(~end[line.seq].isin(first[line.seq], F.coalesce(ask[line.seq], first[line.seq])), end)
-        tail = F.array_compact(F.array(first, ask, end))
-    return marked.groupBy(*line.keys).agg(tail.alias("tail"))
-
-
-def latest_tails(tails: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return tails.groupBy(*keys).agg(F.max_by("tail", BATCH).alias("tail"))
+def keys_of(name: str) -> tuple[str, ...]:
+    return ar.FACTORS[name] if name in ar.FACTORS else ar.ARCHIVES[name].keys
 
 
 class ArchiveStream:
-    """Keeps one archive and its tails under ``root``.
+    """Keeps archives of one cadence (lifetime or daily) under ``root``, from one pass over the log.
 
-    ``keep_days``: tails of daily archives may be forgotten this many days before the latest day seen. Days after
-    the day of the run do not count as seen, and a tail is only ever dropped when its bucket is due, never hidden
-    from a batch; ``expired`` counts them. A row that comes later still opens a visit of its own.
+    ``keep_days`` (daily archives): a day's timelines are forgotten when the latest event seen is so many days after the end of the
+    day; ``expired`` counts them. Events after the time of the run do not move that clock. Rows that are more than so many
+    days behind it are late and are dropped by Spark, which counts them in the query's progress. Without
+    ``keep_days`` nothing is forgotten or dropped. The state belongs to the checkpoint under ``root``.
     """
 
-    def __init__(
-        self,
-        root: str,
-        spec: ar.Archive | str,
-        span: int = SPAN,
-        keep_days: int | None = None,
-        fold_every: int = FOLD_EVERY,
-    ):
-        self.root = root
-        self.spec = ar.ARCHIVES[spec] if isinstance(spec, str) else spec
-        self.keep_days = keep_days
-        line = ar.timeline_of(self.spec)
-        self.line = replace(line, batch=ARRIVAL, span=span)
-        self.cols = _event_columns(self.spec, line) if self.spec.visits else []
-        self.archive = Versions(f"{root}/archive", fold_every)
-        self.tails = Versions(f"{root}/tails", fold_every)
-        self.pointer = Pointer(f"{root}/pointer")
-
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        """Add a micro-batch; it is read several times, so the caller should persist it."""
-        spec, spark = self.spec, batch.sparkSession
-        rows, touched, day = self._look(batch)
-        if not rows:
-            return
-        step, last = self.pointer.step_of(spark, batch_id)
-        day = max(filter(None, (day, last and last["day"])), default=None)
-        expired = last["expired"] if last else 0
-        if spec.visits is None:
-            write_added(self.archive, ar.counts(batch, spec), spec.keys, spec.measures, step)
-        else:
-            kept = self._kept_tails(batch, step, sorted({*touched, *self.tails.due(step)}))
-            marked, line = self._mark(batch, kept), self.line
-            # Read for the tails and for the archive; blocks that are lost are computed again.
-            marked = marked.persist()
-            try:
-                expired += self._write_tails(marked, kept, step, day)
-                delta = ar.archive_marked(marked, spec, line, F.col(ARRIVAL) == 1)
-                write_added(self.archive, delta, spec.keys, spec.measures, step)
-            finally:
-                marked.unpersist()
-        self.pointer.write(spark, query_id(spark), batch_id, step, day, expired)
-
-    def _look(self, batch: DataFrame) -> tuple[int, list[int], str | None]:
-        """One pass: number of rows, buckets of their accounts (BUCKETS at most), latest day up to the day of the run."""
-        today = F.date_format(F.current_date(), "yyyyMMdd")
-        day = F.max(F.when(F.col("dt") <= today, F.col("dt"))) if "dt" in batch.columns else F.lit(None).cast("string")
-        found = batch.agg(F.count(F.lit(1)).alias("n"), F.collect_set(bucket_of(["account_id"])).alias("b"), day.alias("d")).first()
-        return found["n"], found["b"], found["d"]
-
-    def _kept_tails(self, batch: DataFrame, step: int, buckets: Sequence[int]) -> DataFrame:
-        rows = T.ArrayType(batch.select(*self.cols, F.lit(False).alias(ASKED)).schema)
-        schema = batch.select(*self.line.keys).schema.add("tail", rows)
-        return self.tails.rows(batch.sparkSession, step - 1, schema, buckets)
-
-    def _mark(self, batch: DataFrame, kept: DataFrame) -> DataFrame:
-        """The batch and the tails of the timelines it touches, marked as one log."""
-        spec, keys = self.spec, self.line.keys
-        relevant = ar.is_submit() if spec.visits != "closed" else ar.is_submit() | (F.col("src_type") == spec.end)
-        new = batch.where(relevant).withColumns({ARRIVAL: F.lit(1), ASKED: F.lit(False)})
-        touched = latest_tails(join_same(kept, new.select(*keys).distinct(), keys, "left_semi"), keys)
-        carried = touched.select(F.inline("tail")).withColumn(ARRIVAL, F.lit(0))
-        return ar.mark_visits(carried.unionByName(new, allowMissingColumns=True), spec, self.line, F.col(ASKED))
-
-    def _write_tails(self, marked: DataFrame, kept: DataFrame, step: int, day: str | None) -> int:
-        """Tails of the touched timelines, and all others of the buckets that are due; how many of those expired."""
-        keys, due = self.line.keys, self.tails.due(step)
-        tails = next_tails(marked, self.spec, self.line, self.cols).withColumn(BUCKET, bucket_of(["account_id"]))
-        others = latest_tails(join_same(kept.where(F.col(BUCKET).isin(due)), tails, keys, "left_anti"), keys)
-        others = others.where(F.size("tail") > 0).withColumn(BUCKET, bucket_of(["account_id"]))
-        expired = 0
-        if self.keep_days is not None and "dt" in keys and day is not None:
-            oldest = F.date_format(F.date_sub(F.to_date(F.lit(day), "yyyyMMdd"), self.keep_days), "yyyyMMdd")
-            old = F.coalesce(F.col("dt") < oldest, F.lit(False))
-            expired = others.where(old).count()
-            others = others.where(~old)
-        self.tails.write(others.unionByName(tails), step)
-        return expired
+    def __init__(self, root: str, names: Sequence[str] | str, keep_days: int | None = None):
+        self.root, self.names, self.keep_days = root, (names,) if isinstance(names, str) else tuple(names), keep_days
+        self.daily = "dt" in keys_of(self.names[0])
+        if any(("dt" in keys_of(n)) != self.daily for n in self.names):
+            raise ValueError("daily and lifetime archives need a stream each")
+        self.keys = tuple(dict.fromkeys(k for n in self.names for k in keys_of(n)))
+        self.added = f"{root}/added"
+
+    def additions(self, events: DataFrame) -> DataFrame:
+        """The stream of what each account adds: archive, keys, measures."""
+        ends = [ar.ARCHIVES[n].end for n in self.names if n in ar.ARCHIVES and ar.ARCHIVES[n].end]
+        rows = events.where(F.col("src_type").isin([ar.SUBMIT, *ends]))
+        schema, expire = events.schema, self.daily and self.keep_days is not None
+        by = ["account_id", *(["dt"] if self.daily else [])]
+        if expire:
+            at = F.least(F.timestamp_seconds("epoch_s"), F.current_timestamp())
+            day_end = (F.unix_date(F.to_date("dt", "yyyyMMdd")).cast("bigint") + 1) * F.lit(DAY_MS)
+            rows = rows.withColumns({"_at": at, "_day_end": day_end}).withWatermark("_at", f"{self.keep_days} days")
+        processor = Visits(self.names, self.keys, open_schema(schema), expire)
+        return rows.groupBy(*by).transformWithState(
+            processor, added_schema(schema, self.keys), "Append", "EventTime" if expire else "None"
+        )
+
+    def write(self, added: DataFrame, batch_id: int) -> None:
+        """Sum up what a micro-batch adds and write it in the batch's own place."""
+        sums = [F.sum(m).alias(m) for m in (*LONGS, EXPIRED, ABILITY)]
+        total = added.groupBy("archive", *self.keys).agg(*sums)
+        place = f"{self.added}/query={query_id(added.sparkSession)}/batch={batch_id}"
+        total.coalesce(FILES).write.mode("overwrite").parquet(place)
 
     def start(self, events: DataFrame, every: str | None = EVERY) -> StreamingQuery:
-        return each_batch(events, persisted(self.write), f"{self.root}/checkpoint", every)
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The archive as of the last completed batch; before the first, there is none to read."""
-        return ar.finish(ar.add_up(latest(spark, self.pointer, self.archive), self.spec), self.spec)
+        with rocks_state(events.sparkSession):
+            return each_batch(self.additions(events), self.write, f"{self.root}/checkpoint", every)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """All additions so far."""
+        return spark.read.option("basePath", self.added).parquet(f"{self.added}/query=*/batch=*").drop("query", "batch")
+
+    def read(self, spark: SparkSession, name: str | None = None) -> DataFrame:
+        """One archive as of the last completed batch; before the first, there is none to read."""
+        name = name or self.names[0]
+        rows = self.rows(spark).where(F.col("archive") == name)
+        if name in ar.FACTORS:
+            return ar.factor_ability(rows.groupBy(*ar.FACTORS[name]).agg(*(F.sum(m).alias(m) for m in ("triggers", *ar.COUNTERS))))
+        spec = ar.ARCHIVES[name]
+        return ar.finish(ar.add_up(rows, spec), spec)
 
     def expired(self, spark: SparkSession) -> int:
-        last = self.pointer.read(spark)
-        return last["expired"] if last else 0
-
-
-def latest(spark: SparkSession, pointer: Pointer, table: Versions) -> DataFrame:
-    """Rows that make up the table as of the last completed step."""
-    last = pointer.read(spark)
-    if last is None:
-        raise ValueError(f"no batch has been written under {pointer.root}")
-    schema = spark.read.option("basePath", table.root).parquet(f"{table.root}/place=*").drop("place").schema
-    return table.rows(spark, last["step"], schema).drop(BATCH, BUCKET)
-
-
-def write_added(table: Versions, delta: DataFrame, keys: Sequence[str], measures: Sequence[str], step: int) -> None:
-    """Write what a batch adds, and of the buckets that are due the sum of everything so far."""
-    delta = delta.withColumn(BUCKET, bucket_of(keys))
-    before = table.rows(delta.sparkSession, step - 1, delta.schema, table.due(step)).drop(BATCH)
-    table.write(merge_additive(before, delta, (*keys, BUCKET), measures), step)
-
-
-class FactorStream:
-    """Keeps the ability archive: counters per account are the state, so triggers stay exact."""
-
-    def __init__(self, root: str, keys: Sequence[str] | str, fold_every: int = FOLD_EVERY):
-        self.root = root
-        self.keys = ar.FACTORS[keys] if isinstance(keys, str) else tuple(keys)
-        self.accounts = Versions(f"{root}/accounts", fold_every)
-        self.pointer = Pointer(f"{root}/pointer")
-
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
-        step, _ = self.pointer.step_of(spark, batch_id)
-        write_added(self.accounts, ar.factor_accounts(batch, self.keys), (*self.keys, "account_id"), ar.COUNTERS, step)
-        self.pointer.write(spark, query_id(spark), batch_id, step)
-
-    def start(self, events: DataFrame, every: str | None = EVERY) -> StreamingQuery:
-        return each_batch(events, persisted(self.write), f"{self.root}/checkpoint", every)
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        rows, by = latest(spark, self.pointer, self.accounts), (*self.keys, "account_id")
-        per_account = rows.groupBy(*by).agg(*(F.sum(c).alias(c) for c in ar.COUNTERS))
-        return ar.factor_totals(per_account, self.keys)
+        return self.rows(spark).agg(F.sum(EXPIRED)).first()[0] or 0

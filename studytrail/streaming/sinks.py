@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 # Fixed value: length of a micro-batch.
 EVERY = "10 seconds"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocks_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, on local disk and in the checkpoint, not on the heap."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+
+
+def query_id(spark: SparkSession) -> str | None:
+    """Inside ``each_batch``: the id that the stream's checkpoint keeps."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 def trigger(writer: DataStreamWriter, every: str | None = EVERY) -> DataStreamWriter:
@@ -28,14 +48,14 @@ def append_table(rows: DataFrame, table: str, checkpoint: str, every: str | None
 
 
 def each_batch(
-    rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = EVERY
+    rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = EVERY, mode: str = "append"
 ) -> StreamingQuery:
     """Hand every micro-batch and its number to ``write``.
 
     A number may come again after a failure: a ``write`` that overwrites then is exactly once, one that appends
     (``jdbc_writer``) at least once.
     """
-    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     return trigger(writer, every).start()
 
 
@@ -79,5 +99,30 @@ def to_kafka(messages: DataFrame, servers: str, checkpoint: str, every: str | No
     return trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 
+def late_rows(progress: StreamingQueryProgress) -> int:
+    """Rows of a micro-batch that came behind the watermark and were dropped, over all stateful operators."""
+    return sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
+
+
+class LateRows(StreamingQueryListener):
+    """Counts the dropped rows of every query by its id; add it with ``spark.streams.addListener``."""
+
+    def __init__(self) -> None:
+        self.counts: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.counts.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        key = str(event.progress.id)
+        self.counts[key] = self.counts.get(key, 0) + late_rows(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def to_console(rows: DataFrame, every: str | None = EVERY) -> StreamingQuery:
     return trigger(rows.writeStream.outputMode("update").format("console"), every).start()

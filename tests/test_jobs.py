@@ -69,9 +69,11 @@ def test_one_stream_for_several_archives(spark, sf_dir, tmp_path):
     for i in range(2):
         small.where(f"event_id div 400 = {i}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = as_study_log(table_stream(spark, str(tmp_path / "in"), small.schema, 1))
-    query, streams = jobs.start_archives(stream, str(tmp_path / "out"), ["course", "question", "factor"], every=None)
-    query.awaitTermination()
+    queries, streams = jobs.start_archives(stream, str(tmp_path / "out"), ["course", "question", "factor", "topic_daily"], every=None)
+    assert len(queries) == 2
+    for query in queries:
+        query.awaitTermination()
     whole = as_study_log(small)
     for name, s in streams.items():
         want = ar.archive_factors(whole, name) if name in ar.FACTORS else ar.archive(whole, name)
-        assert spark_rows(s.read(spark).select(*want.columns)) == spark_rows(want)
+        assert spark_rows(s.read(spark, name).select(*want.columns)) == spark_rows(want)
