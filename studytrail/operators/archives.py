@@ -221,7 +221,7 @@ def archive(events: DataFrame, spec: Archive | str, span: int = SPAN) -> DataFra
 def archive_factors(events: DataFrame, keys: tuple[str, ...] | str) -> DataFrame:
     """Archive per ability factor: ``triggers`` distinct accounts, ``ability`` share of right answers.
 
-    ``triggers`` is a distinct count and cannot be added up over days or batches.
+    ``triggers`` is a distinct count and cannot be added up over days or batches; ``factor_days`` keeps what can.
     """
     keys = FACTORS[keys] if isinstance(keys, str) else keys
     return factor_totals(factor_accounts(events, keys), keys)
@@ -242,10 +242,31 @@ def factor_ability(totals: DataFrame) -> DataFrame:
     return totals.withColumn("ability", F.col("right").cast("double") / F.col("answers").cast("double"))
 
 
+def factor_days(events: DataFrame, keys: tuple[str, ...] | str = "factor", day: str = "dt") -> DataFrame:
+    """Daily parts of an ability archive that add up exactly, distinct accounts too: answer counters, and accounts as bitmaps.
+
+    A row holds the accounts of one bucket of 32,768 ids (4 KB of bits), so no row and no aggregation buffer grows with the number of accounts.
+    Accounts are whole numbers; text ids have to be numbered first.
+    """
+    keys = FACTORS[keys] if isinstance(keys, str) else keys
+    account = F.col("account_id").cast("bigint")
+    rows = events.where(is_submit()).withColumn("factor", F.explode("factor_codes"))
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(account)).alias("accounts")
+    return rows.groupBy(*keys, day, F.bitmap_bucket_number(account).alias("bucket")).agg(*_named(answer_counters()), bits)
+
+
+def roll_up_factors(days: DataFrame, keys: tuple[str, ...] | str = "factor") -> DataFrame:
+    """The ability archive over the given days: bitmaps are united by bucket, then counted."""
+    keys = FACTORS[keys] if isinstance(keys, str) else keys
+    buckets = days.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("accounts").alias("accounts"), *(F.sum(c).alias(c) for c in COUNTERS))
+    triggers = F.sum(F.when(F.col("bucket").isNotNull(), F.bitmap_count("accounts")).otherwise(F.lit(0))).alias("triggers")
+    return factor_ability(buckets.groupBy(*keys).agg(triggers, *(F.sum(c).alias(c) for c in COUNTERS)))
+
+
 def roll_up(daily: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Lifetime totals from a daily archive: answer counters and times add up over days.
 
-    Entries and completions do not, since daily visits end at midnight; nor do triggers.
+    Entries and completions do not, since daily visits end at midnight; triggers do by ``roll_up_factors``.
     """
     additive = [c for c in (*COUNTERS, "answer_time") if c in daily.columns]
     return daily.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in additive))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from studytrail.functions.text import join_key
+from studytrail.operators.timeline import join_same
+from studytrail.session import shared_folder
 
 
 def _part(part: Column | None) -> Column:
@@ -25,7 +27,7 @@ def json_documents(
 
     A document is one value, so what a key holds must be bounded by what the key is: a user's subjects of a day, say.
     Where it isn't, name a ``part`` that comes from the row, such as its day; parts follow each other if ``part`` rises
-    with ``order``. The rule is the same whatever a key's size. ``entry_rows`` has no bound at all.
+    with ``order``. The rule is the same whatever a key's size. ``document_parts`` and ``entry_rows`` need no bound.
     """
     entry = F.struct(*(F.col(c).alias(f"_o{i}") for i, c in enumerate(order)), _as_text(columns).alias("_row"))
     entries = F.array_sort(F.collect_list(entry))
@@ -34,9 +36,42 @@ def json_documents(
 
 
 def entry_rows(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """(keys, position, entry): the entries of a document as rows, numbered from 1 in ``order``; nothing is collected."""
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *columns))
-    return rows.select(*keys, position.cast("bigint").alias("position"), F.to_json(_as_text(columns)).alias("entry"))
+    """(keys, position, entry): the entries of a document as rows, numbered from 1 in ``order``.
+
+    Rows are dealt by ranges of (key, order), so a key that holds most of them is spread over many tasks. Each range numbers its own
+    rows, and the counts of the ranges before it are added. The dealt rows are written once, so that both see the same ranges.
+    """
+    numbered, starts = _ranges(rows, keys, columns, order)
+    position = (F.col("_number") + F.col("_start")).alias("position")
+    return join_same(numbered, starts, [*keys, "_range"], "inner").select(*keys, position, "entry")
+
+
+def _ranges(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Entries with their ``_range`` and ``_number`` inside it, and where each range of a key starts."""
+    entry = F.to_json(_as_text(columns)).alias("entry")
+    marks = [F.col(c).alias(f"_o{i}") for i, c in enumerate(dict.fromkeys((*order, *columns)))]
+    names = [f"_o{i}" for i in range(len(marks))]
+    dealt = rows.select(*keys, *marks, entry).repartitionByRange(*keys, *names).withColumn("_range", F.spark_partition_id())
+    path = shared_folder(rows.sparkSession, "entries")
+    dealt.write.parquet(path)
+    dealt = rows.sparkSession.read.schema(dealt.schema).parquet(path)
+    own = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*names)).cast("bigint")
+    counts = dealt.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return dealt.select(*keys, "_range", own.alias("_number"), "entry"), starts
+
+
+def document_parts(
+    rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str], entries: int = 1000
+) -> DataFrame:
+    """(keys, part, value): documents as JSON arrays of at most ``entries`` entries, whatever a key holds; parts follow each
+    other in ``order``, and all but the last are full."""
+    numbered = entry_rows(rows, keys, columns, order)
+    part = F.expr(f"(position - 1) div {entries}").alias("part")
+    held = F.array_sort(F.collect_list(F.struct("position", "entry")))
+    value = F.concat(F.lit("["), F.array_join(held["entry"], ","), F.lit("]")).alias("value")
+    return numbered.groupBy(*keys, part).agg(value)
 
 
 def user_docs(rows: DataFrame, table: str, columns: Sequence[str], order: Sequence[str], part: Column | None = None) -> DataFrame:

@@ -14,6 +14,17 @@ def uv_by(log: DataFrame, *by: str) -> DataFrame:
     return log.groupBy(*by).agg(F.countDistinct("user_id").alias("uv"))
 
 
+def uv_levels(log: DataFrame, *by: str) -> DataFrame:
+    """Distinct users per group, per first column, and in all: grouping sets over distinct (group, user) rows.
+
+    ``level`` is the number of columns that were left out, which hold NULL; a group may be NULL itself.
+    """
+    users = log.select(*by, "user_id").distinct()
+    sets = [list(by[: len(by) - i]) for i in range(len(by) + 1)]
+    left_out = F.bit_count(F.grouping_id(*by)).cast("int").alias("level")
+    return users.groupingSets(sets, *by).agg(left_out, F.countDistinct("user_id").alias("uv"))
+
+
 def question_duration(
     log: DataFrame, go: str = API_GO, submit: str = API_SUBMIT, seconds: Column | None = None
 ) -> DataFrame:

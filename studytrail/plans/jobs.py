@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,12 +50,27 @@ def read_rejected(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_archives(events: DataFrame, path: str, names: Sequence[str] | None = None) -> None:
-    """Write every archive under ``path``. ``events`` is read once per archive, so it should be a table rather than
-    lines still to be parsed."""
+    """Write every archive under ``path``. ``events`` is read once: what the archives need of it is kept in memory, and on
+    disk beyond; lost blocks are read again."""
     names = [*archives.ARCHIVES, *archives.FACTORS] if names is None else names
+    held = events.select(*_archived(names)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for name in names:
+            result = archives.archive_factors(held, name) if name in archives.FACTORS else archives.archive(held, name)
+            result.write.mode("overwrite").parquet(f"{path}/{name}")
+    finally:
+        held.unpersist()
+
+
+def _archived(names: Sequence[str]) -> list[str]:
+    """Columns of the log that these archives are made of."""
+    columns = ["account_id", "epoch_s", "seq", "src_type", "is_right", "is_view_analyze"]
     for name in names:
-        result = archives.archive_factors(events, name) if name in archives.FACTORS else archives.archive(events, name)
-        result.write.mode("overwrite").parquet(f"{path}/{name}")
+        spec = archives.ARCHIVES.get(name)
+        columns += [k for k in keys_of(name) if k != "factor"]
+        columns += ["factor_codes"] if spec is None else ["cost_time"] if spec.answer_time else []
+        columns += ["question_id", "ability", "lo_status"] if spec and spec.visits == "runs" else []
+    return list(dict.fromkeys(columns))
 
 
 def usage_reports(

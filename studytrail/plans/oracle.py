@@ -100,6 +100,8 @@ def archives() -> dict[str, str]:
         "archive_tag": archive_tag(),
         "archive_question": archive_question(),
         "archive_factor": archive_factor("course_id, lesson_id, topic_id, section_id, factor"),
+        "archive_factor_rollup": archive_factor("course_id, lesson_id, topic_id, section_id, factor"),
+        "scan_database_table": archive_closed(section, "SECTION_END"),
         "archive_course_daily": archive_course(", dt"),
         "archive_topic_daily": archive_closed("course_id, topic_id, dt", "TOPIC_END"),
         "archive_section_daily": archive_closed(f"{section}, dt", "SECTION_END"),
@@ -126,6 +128,9 @@ def usage() -> dict[str, str]:
     return {
         "uv_by_subject_onoff": f"""{head} SELECT subject, onoff, count(DISTINCT user_id) AS uv
 FROM u GROUP BY subject, onoff""",
+        "uv_levels": f"""{head} SELECT subject, onoff,
+  cast(CASE grouping(subject, onoff) WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS INTEGER) AS level, count(DISTINCT user_id) AS uv
+FROM u GROUP BY GROUPING SETS ((subject, onoff), (subject), ())""",
         "question_duration": f"{head}, {DURATIONS} SELECT * FROM d",
         "user_duration_total": f"""{head}, {DURATIONS}
 SELECT user_id, cast(sum(duration) AS BIGINT) AS total FROM d GROUP BY user_id""",
@@ -257,10 +262,14 @@ def serving() -> dict[str, str]:
         ("up_subject_total", SUBJECT, "subject_id"), ("up_total", TOTAL, "question_time"),
         ("up_rank_day", RANK, "question_time"),
     )
+    entries = f"SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY dt) AS position, {_object(TOTAL)} AS entry FROM up_total"
     union = " UNION ALL ".join(f"SELECT *, '{t}' AS \"table\" FROM ({_docs(t, c, o)})" for t, c, o in tables)
     return {
         "user_docs": f"{head} {_docs('up_subject_total', SUBJECT, 'subject_id')}",
         "multi_table_docs": f"{head} {union}",
+        "user_entries": f"{head} {entries}",
+        "user_doc_parts": f"""{head} SELECT user_id, (position - 1) // 7 AS part,
+  '[' || string_agg(entry, ',' ORDER BY position) || ']' AS value FROM ({entries}) GROUP BY 1, 2""",
         "user_week_docs": f"""{head} SELECT user_id || '<=>' || dt AS key, cast(0 AS BIGINT) AS part,
   {week} AS value FROM up_week""",
         "user_week_scores": f"{head} {scores}",
@@ -343,7 +352,7 @@ FROM b GROUP BY rule, url, w""",
 
 def streams() -> dict[str, str]:
     batch = archives() | usage() | ingest() | alerts()
-    out = {f"stream_{n}": sql for n, sql in batch.items() if n.startswith("archive_") and n != "archive_rollup"}
+    out = {f"stream_{n}": sql for n, sql in batch.items() if n.startswith("archive_") and not n.endswith("_rollup")}
     out |= {f"stream_{n}": batch[n] for n in ("alert_slow", "alert_error", "alert_warn", "alert_traffic")}
     return out | {"stream_append": batch["ingest_log"], "stream_pass_through": batch["scan_text"]}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_DATE = "2024-01-11"
 LATER = "2024-01-08"
 RUN_TIME = "2024-02-01 00:00:00"
+BUCKETS = 16
 
 
 def _over_log(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -66,6 +68,11 @@ def ingest_log(log: DataFrame) -> DataFrame:
     return records.select("env", "time", "user_id", "api", "folw_id")
 
 
+def archive_factor_rollup(log: DataFrame) -> DataFrame:
+    """Daily parts of the ability archive, rolled up to the lifetime one."""
+    return archives.roll_up_factors(archives.factor_days(log))
+
+
 def event_routes(log: DataFrame) -> DataFrame:
     return log.groupBy("src_type").agg(F.count("*").alias("n"))
 
@@ -84,6 +91,17 @@ def scan_layout(spark: SparkSession, sf: str) -> DataFrame:
     return tables.of_date(spark.read.parquet(path), "20240110").select("source", "account_id", "seq")
 
 
+def scan_database_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The log as a catalog table clustered by account, and the section archive from it without a shuffle of the log."""
+    root = shared_folder(spark, "database")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS studytrail LOCATION '{root}'")
+    name = f"events_{uuid.uuid4().hex}"
+    columns = ["account_id", "epoch_s", "seq", "src_type", "is_right", "is_view_analyze", "cost_time"]
+    rows = study_log(spark, sf).select(*columns, *archives.ARCHIVES["section"].keys)
+    tables.write_clustered(rows, "studytrail", name, f"{root}/{name}", buckets=BUCKETS)
+    return archives.archive(tables.read_database_table(spark, "studytrail", name), "section")
+
+
 def scan_text(spark: SparkSession, sf: str) -> DataFrame:
     """Log lines written as text and read back line by line."""
     path = shared_folder(spark, "lines")
@@ -154,6 +172,18 @@ def _week(log: DataFrame) -> DataFrame:
     return rendered.indicator(log, "up_week")
 
 
+def user_entries(log: DataFrame) -> DataFrame:
+    """All days of a user as numbered rows."""
+    columns = INDICATORS["up_total"]
+    return serving.entry_rows(rendered.indicator(log, "up_total"), ["user_id"], columns, ["dt"])
+
+
+def user_doc_parts(log: DataFrame) -> DataFrame:
+    """All days of a user as documents of seven days each."""
+    columns = INDICATORS["up_total"]
+    return serving.document_parts(rendered.indicator(log, "up_total"), ["user_id"], columns, ["dt"], 7)
+
+
 def user_week_docs(log: DataFrame) -> DataFrame:
     return serving.user_week_docs(_week(log), INDICATORS["up_week"], ["question_time"])
 
@@ -284,18 +314,19 @@ def all_queries() -> dict[str, Query]:
     out = {f"archive_{n}": _archive(n) for n in archives.ARCHIVES}
     out |= {f"archive_{n}": _factors(n) for n in archives.FACTORS}
     over_log = (
-        archive_rollup, parse_log, quarantine, normalize_study, ingest_log, event_routes,
+        archive_rollup, archive_factor_rollup, parse_log, quarantine, normalize_study, ingest_log, event_routes,
         explode_answers, rejected_answers, question_duration, user_avg_duration,
-        user_docs, multi_table_docs, user_week_docs, user_week_scores, user_week_range,
+        user_docs, multi_table_docs, user_entries, user_doc_parts, user_week_docs, user_week_scores, user_week_range,
         columns_to_cells, cells_to_map, to_message_frame,
         merge_additive, merge_replace, merge_insert_if_absent,
         md5_key, date_keys, earliest_time,
         alert_slow, alert_error, alert_warn, alert_traffic, alert_limited,
     )
     out |= {f.__name__: _over_log(f) for f in over_log}
-    out |= {f.__name__: f for f in (scan_previous_day, scan_layout, scan_text, delimited_answers)}
+    out |= {f.__name__: f for f in (scan_previous_day, scan_layout, scan_database_table, scan_text, delimited_answers)}
     out |= {
         "uv_by_subject_onoff": _over_log(lambda log: usage.uv_by(rendered.usage_log(log), "subject", "onoff")),
+        "uv_levels": _over_log(lambda log: usage.uv_levels(rendered.usage_log(log), "subject", "onoff")),
         "user_duration_total": _over_log(lambda log: usage.user_duration_total(question_duration(log))),
         "user_question_count": _over_log(lambda log: usage.user_question_count(rendered.usage_log(log))),
         "hourly_logins": _over_log(lambda log: usage.hourly_logins(rendered.usage_log(log))),
