@@ -21,7 +21,8 @@ PATTERN = regex.compile(
 )
 LONG = 1 << 20  # code points of a text that is cut lazily
 PART = 1 << 16  # pre-tokens handled at once
-CACHE = 1 << 16  # pre-tokens of each of the two generations whose results a worker keeps
+CACHE = 1 << 16  # pre-tokens of each of the two generations whose results a worker keeps, unless the caller has more room
+LARGE = 1 << 18  # the same for a worker that does nothing else
 NEVER = 1 << 60
 NONE = (NEVER, -1)
 SHORT = 64  # bytes
@@ -167,9 +168,9 @@ class Kept(dict):
     Bounded by two generations: a full one becomes the old one, and what is asked for again moves to the new one.
     """
 
-    def __init__(self, work: Callable, given: dict | None = None):
+    def __init__(self, work: Callable, given: dict | None = None, size: int = CACHE):
         super().__init__()
-        self.work, self.given, self.old = work, given or {}, {}
+        self.work, self.given, self.old, self.size = work, given or {}, {}, size
 
     def __missing__(self, word: str):
         found = self.old.get(word)
@@ -179,7 +180,7 @@ class Kept(dict):
                 found = self.work(word)
             if len(word) >= 256:
                 return found
-        if len(self) >= CACHE:
+        if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[word] = found

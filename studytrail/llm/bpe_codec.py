@@ -19,25 +19,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from studytrail.llm.bpe import Kept, Vocabulary, vocabulary
+from studytrail.llm.bpe import CACHE, Kept, Vocabulary, vocabulary
 from studytrail.llm.words import slices
 
-PAIRS = 1 << 17  # pairs of tokens whose test a worker keeps
+PAIRS = 2  # pairs of tokens whose test a worker keeps, for each pre-token that it keeps
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
 class Codec:
-    def __init__(self, words: Vocabulary):
-        self.words = words
+    def __init__(self, words: Vocabulary, kept: int = CACHE):
+        self.words, self.pairs = words, PAIRS * kept
         self.suffixes = ahocorasick.Automaton()
         for i in words.whole:
             self.suffixes.add_word(words.text[i].decode("latin-1"), (i, len(words.text[i])))
         self.suffixes.make_automaton()
         self._apart: dict[int, bool] = {}
-        self.known = Kept(self._packed)
+        self.known = Kept(self._packed, size=kept)
 
     def apart(self, a: int, b: int) -> bool:
-        if len(self._apart) >= PAIRS:
+        if len(self._apart) >= self.pairs:
             self._apart.clear()
         found = self._apart[a << 32 | b] = self.words.apart(a, b)
         return found
@@ -80,8 +80,8 @@ class Codec:
 
 
 @functools.lru_cache(2)
-def codec(path: str) -> Codec:
-    return Codec(vocabulary(path))
+def codec(path: str, kept: int = CACHE) -> Codec:
+    return Codec(vocabulary(path), kept)
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
@@ -109,11 +109,14 @@ def decoded(coded: DataFrame, path: str) -> DataFrame:
     return coded.select(F.col("doc_id").cast("bigint"), "ids").mapInArrow(work, "doc_id bigint, text string")
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """Number of tokens, and digests of the ids and of the text decoded from them; ids never leave the worker."""
+def digests(docs: DataFrame, path: str, kept: int = CACHE) -> DataFrame:
+    """Number of tokens, and digests of the ids and of the text decoded from them; ids never leave the worker.
+
+    ``kept``: pre-tokens whose ids a worker keeps (twice at most, some 200 bytes each); more of them cost less time.
+    """
 
     def work(batches):
-        of = codec(path)
+        of = codec(path, kept)
         for b in batches:
             for at, texts in slices(b["text"]):
                 out = []

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from studytrail.llm import (
     alignment, bpe_codec, decontamination, exact_dedup, language, main_text, mixing, near_dups, search, token_counts, toxicity, url_filter, warc,
 )
+from studytrail.llm.bpe import LARGE
 from studytrail.llm.tables import table
 
 
@@ -33,7 +34,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_codec.digests(table(spark, sf_dir, "documents"), VOCABULARY)
+    return bpe_codec.digests(table(spark, sf_dir, "documents"), VOCABULARY, LARGE)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +43,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), VOCABULARY, kept=LARGE)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,12 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from studytrail.llm.bpe import Kept, Vocabulary, vocabulary
+from studytrail.llm.bpe import CACHE, Kept, Vocabulary, vocabulary
 from studytrail.llm.words import slices
 
 
 class Counter:
-    def __init__(self, words: Vocabulary):
+    def __init__(self, words: Vocabulary, kept: int = CACHE):
         self.words = words
         strings = {}
         for i in words.whole:
@@ -27,7 +27,7 @@ class Counter:
                 strings[words.text[i].decode("utf-8")] = 1
             except UnicodeDecodeError:
                 pass  # part of a letter, never a pre-token
-        self.known = Kept(lambda word: len(words.merged(word.encode())), strings)
+        self.known = Kept(lambda word: len(words.merged(word.encode())), strings, kept)
 
     def count(self, text: str) -> int:
         known = self.known.__getitem__
@@ -35,15 +35,15 @@ class Counter:
 
 
 @functools.lru_cache(2)
-def counter(path: str) -> Counter:
-    return Counter(vocabulary(path))
+def counter(path: str, kept: int = CACHE) -> Counter:
+    return Counter(vocabulary(path), kept)
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
-    """doc_id, n_bytes, n_tokens and over_limit of every text."""
+def token_counts(docs: DataFrame, path: str, limit: int = 1024, kept: int = CACHE) -> DataFrame:
+    """doc_id, n_bytes, n_tokens and over_limit of every text; ``kept`` as in ``bpe_codec.digests``."""
 
     def work(batches):
-        of = counter(path)
+        of = counter(path, kept)
         for b in batches:
             for at, texts in slices(b["text"]):
                 n = [of.count(t or "") for t in texts]
