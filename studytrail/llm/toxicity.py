@@ -31,7 +31,8 @@ PREFIXES = (3, 4, 5, 6, 7, 8)
 TERMS = 1024  # screened columns at most
 LEAST_G = 24.0  # twice the log-likelihood gained; chance alone gives about 2 * log(65,536 terms) = 22
 PAIR_G = 48.0  # as LEAST_G, for pairs of 100,000 columns
-SIDE = 1024  # columns of a block of pairs
+SIDE = 1024  # columns of a block of pairs, one task
+STEP = 256  # columns of a block that are unpacked at once
 FACTORS = 8
 FOLDS = 5
 
@@ -118,8 +119,8 @@ def pair_scores(one: np.ndarray, two: np.ndarray, y: np.ndarray) -> np.ndarray:
     """For 0/1 columns of two blocks: the lesser of the G statistics of either column among the rows of the other."""
     t = np.arange(len(y) + 1, dtype=np.float64)
     t[1:] *= np.log(t[1:])
-    one, two, toxic = one.astype(np.float32), two.astype(np.float32), y == 1
-    c1, c0 = ((one[rows].T @ two[rows]).astype(np.int32) for rows in (toxic, ~toxic))
+    toxic = y == 1
+    c1, c0 = ((one[rows].astype(np.float32).T @ two[rows].astype(np.float32)).astype(np.int32) for rows in (toxic, ~toxic))
     shared = t[c1] + t[c0] - t[c1 + c0]
 
     def among(w1, w0):
@@ -135,12 +136,17 @@ def pair_bests(spark, bits: np.ndarray, y: np.ndarray, columns: int) -> np.ndarr
     pairs = [(i, j) for i in range(blocks) for j in range(i, blocks)]
 
     def work(batches):
-        cut = lambda i: np.unpackbits(bits[:, i * SIDE // 8 : (i + 1) * SIDE // 8], axis=1)
+        cut = lambda at: np.unpackbits(bits[:, at // 8 : (at + STEP) // 8], axis=1)
         for b in batches:
             for i, j in (pairs[k] for k in b["id"].to_pylist()):
-                g = pair_scores(cut(i), cut(j), y)
-                best = np.concatenate([g.max(1), g.max(0)])
-                at = np.concatenate([i * SIDE + np.arange(g.shape[0]), j * SIDE + np.arange(g.shape[1])])
+                best = np.zeros((2, SIDE))
+                for k in range(0, SIDE, STEP):
+                    one = cut(i * SIDE + k)
+                    for m in range(0, SIDE, STEP):
+                        g = pair_scores(one, cut(j * SIDE + m), y)
+                        best[0, k : k + STEP] = np.maximum(best[0, k : k + STEP], g.max(1))
+                        best[1, m : m + STEP] = np.maximum(best[1, m : m + STEP], g.max(0))
+                best, at = best.ravel(), np.concatenate([i * SIDE + np.arange(SIDE), j * SIDE + np.arange(SIDE)])
                 high = best > PAIR_G
                 yield pa.RecordBatch.from_arrays([pa.array(at[high], pa.int64()), pa.array(best[high], pa.float64())], names=["at", "g"])
 
