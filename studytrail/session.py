@@ -34,7 +34,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):  # not local-cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = os.path.join(tempfile.gettempdir(), "studytrail")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
