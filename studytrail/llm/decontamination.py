@@ -6,16 +6,20 @@ diagonal. A text is contaminated where a window of ``WINDOW`` words (the whole i
 an item in ``SHARE`` of its words, in place: substitutions are tolerated, up to two in 13. The masks hit every such
 window (tests/llm checks all patterns).
 
-A Bloom filter of the benchmark's seeds, 4 MB whatever the benchmark's size, lets most corpus positions go at once; those
-that stay go to the join by hash with WINDOW words to either side. Benchmark seeds that come very often are spread by the
-corpus side's salt.
+A Bloom filter of the benchmark's seeds, 4 to 32 MB by their number, lets most corpus positions go at once; those that
+stay go to the join by hash with WINDOW words to either side. Benchmark seeds that come very often are spread by the
+corpus side's salt. Beyond the filter's size more positions go to the join, with the same result.
 
-Items with fewer words than ``LEAST`` are too short for the masks and must occur whole, word for word. So must items
-in scripts without blanks, where a run of letters is no word: each letter of such a script counts as a word, in the text
-too. The runs of a text with an item's length are hashed, filtered like seeds, joined on the hash and compared in full.
+In scripts without blanks a run of letters is no word. Texts and items with such letters are read in two ways: by words,
+and by units, where each such letter is a word. Each reading of an item is compared with each reading of a text.
+
+Items with fewer units than ``LEAST`` are too short for the masks and must occur whole, unit for unit. The runs of a
+text with an item's length are hashed, filtered like seeds, joined on the hash and compared in full.
 
 Null texts count as empty and are clean, items without any letter or digit match nothing; an empty table on either side
-gives no overlaps. Repeated rows and ids are treated alike.
+gives no overlaps. Repeated rows and ids are treated alike; rows without an id count as one document in judged(),
+as rows of one id do, and by their text in clean_rows(). Very long texts are read in parts and handed on in bounded
+batches. Other columns are not read, so their names don't matter; clean_rows() returns them.
 """
 
 from __future__ import annotations
@@ -33,13 +37,14 @@ from studytrail.llm.words import BASE, PIECE, mixed, powers, slices, words_of
 
 WINDOW, SHARE, LEAST = 13, 0.8, 8
 MASKS = ("111011", "11010011", "11111")  # five words each
-BITS = 1 << 25
+LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 25, 1 << 28, 1 << 10
+ROWS = 20_000  # of a batch
 SEEDS = "item_id bigint, hash bigint, item_at int, item_words binary"
 HITS = "doc_id bigint, hash bigint, at int, context binary"
 #: Letters of scripts without blanks: Thai, Lao, Burmese, Khmer, Tai, kana, Bopomofo, Chinese characters.
 UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u3005-\u3007\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
 RUNS = "doc_id bigint, hash bigint, run binary"
-WHOLE = "item_id bigint, hash bigint, run binary, n int, anchor bigint"
+WHOLE = "item_id bigint, hash bigint, run binary, n int"
 
 
 def needed(length: int) -> int:
@@ -64,8 +69,39 @@ def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(places)
 
 
-def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (h & np.uint64(BITS - 1)).astype(np.int64), ((h >> np.uint64(32)) & np.uint64(BITS - 1)).astype(np.int64)
+def _bits(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    return (h & np.uint64(size - 1)).astype(np.int64), ((h >> np.uint64(32)) & np.uint64(size - 1)).astype(np.int64)
+
+
+def passed(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Places of the hashes that the filter lets through."""
+    one, two = _bits(h, 8 * len(bloom))
+    return np.flatnonzero((bloom[one >> 3] >> (one & 7)) & (bloom[two >> 3] >> (two & 7)) & 1)
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    names, types = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, k in zip(zip(*rows, strict=True), types, strict=True)], names=list(names))
+
+
+def _batches(rows, schema: str):
+    """Record batches of at most ROWS of the rows of an iterator."""
+    while part := list(itertools.islice(rows, ROWS)):
+        yield _batch(part, schema)
+
+
+def units_of(texts: list[str | None]):
+    """Word hashes of each text, where every letter of a script without blanks is a word."""
+    return words_of([UNSPACED.sub(r" \1 ", t) if t else t for t in texts])
+
+
+def readings(texts: list[str | None]):
+    """Of each text its word hashes and, where it has letters of scripts without blanks, its units."""
+    unspaced = [bool(t) and not t.isascii() and UNSPACED.search(t) is not None for t in texts]
+    units = units_of([t for t, u in zip(texts, unspaced, strict=True) if u])
+    for words, also in zip(words_of(texts), unspaced, strict=True):
+        yield [words, next(units)] if also else [words]
 
 
 def overlap(item: np.ndarray, item_at: int, context: np.ndarray, at: int) -> int:
@@ -85,43 +121,48 @@ def overlap(item: np.ndarray, item_at: int, context: np.ndarray, at: int) -> int
 def item_seeds(benchmark: DataFrame) -> DataFrame:
     """SEEDS rows: each seed with WINDOW words of its item to either side, or all of a shorter item."""
 
+    def rows_of(ids, texts):
+        for item, forms in zip(ids, readings(texts)):  # noqa: B905
+            for words in forms:
+                if len(words) < LEAST:
+                    continue
+                for h, p in zip(*seeds(words), strict=True):
+                    # whether the item is shorter than a window shows in the context's length
+                    lo, hi = (0, len(words)) if len(words) <= WINDOW else (max(0, p - WINDOW), p + 2 * WINDOW)
+                    yield item, int(h.view(np.int64)), int(p - lo), words[lo:hi].tobytes()
+
     def work(batches):
         for b in batches:
             ids = b["item_id"].to_pylist()
             for at, texts in slices(b["text"]):
-                rows = []
-                for item, words in zip(ids[at:], words_of(texts)):  # noqa: B905
-                    if len(words) < LEAST:
-                        continue
-                    for h, p in zip(*seeds(words), strict=True):
-                        # whether the item is shorter than a window shows in the context's length
-                        lo, hi = (0, len(words)) if len(words) <= WINDOW else (max(0, p - WINDOW), p + 2 * WINDOW)
-                        rows.append((item, int(h.view(np.int64)), int(p - lo), words[lo:hi].tobytes()))
-                if rows:
-                    cols = zip(*rows, strict=True)
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["item_id", "hash", "item_at", "item_words"])
+                yield from _batches(rows_of(ids[at:], texts), SEEDS)
 
     return benchmark.select(F.col("item_id").cast("bigint"), "text").mapInArrow(work, SEEDS)
 
 
 def seed_filter(items: DataFrame) -> np.ndarray:
-    """The Bloom filter as BITS / 8 bytes: partitions send bytes that are set, added up by byte before the driver sees them."""
+    """The Bloom filter as bytes, sized by the number of items: partitions send words of 64 bits that are not empty, added up
+    before the driver sees them (MOST_BITS / 64 rows at most)."""
+    size = LEAST_BITS
+    wanted = BITS_EACH * items.count()
+    while size < min(wanted, MOST_BITS):
+        size *= 2
 
     def work(batches):
-        filled = np.zeros(BITS // 8, np.uint8)
+        filled = np.zeros(size // 8, np.uint8)
         for b in batches:
             h = b["hash"].to_numpy(zero_copy_only=False).view(np.uint64)
-            for place in _bits(h):
+            for place in _bits(h, size):
                 np.bitwise_or.at(filled, place >> 3, np.left_shift(1, place & 7).astype(np.uint8))
-        at = np.flatnonzero(filled)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(filled[at].astype(np.int32))], names=["byte", "bits"])
+        words = filled.view(np.int64)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], names=["word", "bits"])
 
-    found = items.select("hash").mapInArrow(work, "byte bigint, bits int").groupBy("byte").agg(F.bit_or("bits").alias("bits"))
-    found = found.toPandas()  # BITS / 8 rows at most
-    out = np.zeros(BITS // 8, np.uint8)
-    out[found["byte"].to_numpy(np.int64)] = found["bits"].to_numpy(np.uint8)
-    return out
+    found = items.select("hash").mapInArrow(work, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    found = found.toPandas()
+    out = np.zeros(size // 64, np.int64)
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return out.view(np.uint8)
 
 
 def _id_kind(docs: DataFrame) -> tuple[str, pa.DataType]:
@@ -131,36 +172,28 @@ def _id_kind(docs: DataFrame) -> tuple[str, pa.DataType]:
 
 def hits(docs: DataFrame, bloom: np.ndarray) -> DataFrame:
     """HITS rows: the corpus's seeds that the filter lets through, with the words around them."""
-    name, kind = _id_kind(docs)
+    name, _ = _id_kind(docs)
+    schema = HITS.replace("bigint", name, 1)
+
+    def rows_of(ids, texts):
+        for doc, forms in zip(ids, readings(texts)):  # noqa: B905
+            for words in forms:
+                h, p = seeds(words)
+                for k in passed(bloom, h):
+                    lo = max(0, int(p[k]) - WINDOW)
+                    yield doc, int(h[k].view(np.int64)), int(p[k]) - lo, words[lo : int(p[k]) + 2 * WINDOW].tobytes()
 
     def work(batches):
         for b in batches:
             ids = b["doc_id"].to_pylist()
             for at, texts in slices(b["text"]):
-                rows = []
-                for doc, words in zip(ids[at:], words_of(texts)):  # noqa: B905
-                    h, p = seeds(words)
-                    one, two = _bits(h)
-                    inside = (bloom[one >> 3] >> (one & 7)) & (bloom[two >> 3] >> (two & 7)) & 1
-                    for k in np.flatnonzero(inside):
-                        lo = max(0, int(p[k]) - WINDOW)
-                        rows.append((doc, int(h[k].view(np.int64)), int(p[k]) - lo, words[lo : int(p[k]) + 2 * WINDOW].tobytes()))
-                    if len(rows) > 50_000:
-                        yield from _rows(rows, kind)
-                        rows = []
-                yield from _rows(rows, kind)
-
-    return docs.select(F.col("doc_id").cast(name), "text").mapInArrow(work, HITS.replace("bigint", name, 1))
+                yield from _batches(rows_of(ids[at:], texts), schema)
 
-
-def _rows(rows, kind):
-    if rows:
-        kinds = (kind, pa.int64(), pa.int32(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "hash", "at", "context"])
+    return docs.select(F.col("doc_id").cast(name), "text").mapInArrow(work, schema)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_words): the best agreeing window of each document and item of LEAST words or more."""
+    """(doc_id, item_id, n_words): the best agreeing window of each document and item of LEAST units or more."""
     name, kind = _id_kind(docs)
     items = tables.stored(item_seeds(benchmark), "seeds")
     found = hits(docs, seed_filter(items))
@@ -188,11 +221,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return checked.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"))
 
 
-def units_of(texts: list[str | None]):
-    """Word hashes of each text, where every letter of a script without blanks is a word."""
-    return words_of([UNSPACED.sub(r" \1 ", t) if t else t for t in texts])
-
-
 class Runs:
     """Hashes of the runs of a text's words, of any length, from one pass over the text."""
 
@@ -209,83 +237,54 @@ class Runs:
 
 
 def whole_items(benchmark: DataFrame) -> DataFrame:
-    """WHOLE rows: items that must occur whole, with the hashes of all their words and of the first LEAST ones."""
+    """WHOLE rows: items that must occur whole, with the hash of all their units."""
+
+    def rows_of(ids, texts):
+        for item, units in zip(ids, units_of(texts)):  # noqa: B905
+            if 0 < len(units) < LEAST:
+                yield item, int(Runs(units).of(len(units)).view(np.int64)[0]), units.tobytes(), len(units)
 
     def work(batches):
         for b in batches:
             ids = b["item_id"].to_pylist()
             for at, texts in slices(b["text"]):
-                rows = []
-                for item, text, words, units in zip(ids[at:], texts, words_of(texts), units_of(texts)):  # noqa: B905
-                    if len(units) and (len(words) < LEAST or UNSPACED.search(text)):
-                        runs, n = Runs(units), len(units)
-                        whole, first = (runs.of(k).view(np.int64)[0] for k in (n, min(n, LEAST)))
-                        rows.append((item, int(whole), units.tobytes(), n, int(first)))
-                if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
-                    names = [c.split()[0] for c in WHOLE.split(", ")]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                yield from _batches(rows_of(ids[at:], texts), WHOLE)
 
     return benchmark.select(F.col("item_id").cast("bigint"), "text").mapInArrow(work, WHOLE)
 
 
 def whole_runs(docs: DataFrame, bloom: np.ndarray, lengths: list[int]) -> DataFrame:
-    """RUNS rows: the corpus's runs of these lengths that the filter lets through, each once a document.
-
-    Longer runs than LEAST words are only looked at where their first LEAST words pass the filter.
-    """
-    name, kind = _id_kind(docs)
-
-    def inside(h):
-        one, two = _bits(h)
-        return np.flatnonzero((bloom[one >> 3] >> (one & 7)) & (bloom[two >> 3] >> (two & 7)) & 1)
-
-    def rows_of(doc, words):
-        runs, anchored = Runs(words), None
-        for n in lengths:
-            if n > len(words):
-                break
-            if n > LEAST and anchored is None:
-                anchored = inside(runs.of(LEAST))
-            places = np.arange(len(words) - n + 1) if n <= LEAST else anchored[anchored <= len(words) - n]
-            h = runs.of(n, places)
-            passed = inside(h)
-            h, first = np.unique(h[passed], return_index=True)
-            for value, at in zip(h.view(np.int64), places[passed[first]], strict=True):
-                yield doc, int(value), words[at : at + n].tobytes()
-
-    def batch(rows):
-        kinds = (kind, pa.int64(), pa.binary())
-        names = [c.split()[0] for c in RUNS.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    """RUNS rows: the corpus's runs of these lengths that the filter lets through, each once a document."""
+    name, _ = _id_kind(docs)
+    schema = RUNS.replace("bigint", name, 1)
+
+    def rows_of(ids, texts):
+        for doc, units in zip(ids, units_of(texts)):  # noqa: B905
+            runs = Runs(units)
+            for n in lengths:
+                h = runs.of(n)
+                places = passed(bloom, h)
+                values, first = np.unique(h[places], return_index=True)
+                for value, at in zip(values.view(np.int64), places[first], strict=True):
+                    yield doc, int(value), units[at : at + n].tobytes()
 
     def work(batches):
         for b in batches:
             ids = b["doc_id"].to_pylist()
             for at, texts in slices(b["text"]):
-                rows, held = [], 0
-                for doc, words in zip(ids[at:], units_of(texts)):  # noqa: B905
-                    for row in rows_of(doc, words):
-                        rows.append(row)
-                        held += 64 + len(row[2])
-                        if held > 8 << 20:
-                            yield batch(rows)
-                            rows, held = [], 0
-                if rows:
-                    yield batch(rows)
+                yield from _batches(rows_of(ids[at:], texts), schema)
 
-    return docs.select(F.col("doc_id").cast(name), "text").mapInArrow(work, RUNS.replace("bigint", name, 1))
+    return docs.select(F.col("doc_id").cast(name), "text").mapInArrow(work, schema)
 
 
 def all_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """As overlaps(), with the items that must occur whole; for these n_words is the number of all their words."""
+    """As overlaps(), with the items that must occur whole; for these n_words is the number of all their units."""
     found = overlaps(docs, benchmark)
     items = tables.stored(whole_items(benchmark), "items")
-    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())  # few: N lengths take N**2 / 2 words
+    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())  # below LEAST
     if not lengths:
         return found
-    anchors = items.where(F.col("n") > LEAST).select(F.col("anchor").alias("hash"))
-    runs = whole_runs(docs, seed_filter(items.select("hash").unionByName(anchors)), lengths)
+    runs = whole_runs(docs, seed_filter(items), lengths)
     salts = 16  # as in overlaps(); an item of one word may be in most documents
     runs = runs.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
     items = items.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

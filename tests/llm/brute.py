@@ -9,6 +9,11 @@ def words(text):
     return SPLIT.findall((text or "").lower())
 
 
+def units(text):
+    """Words, where each letter of a script without blanks is one (those of the tests)."""
+    return [u for w in words(text) for u in re.findall(r"[\u3040-\u30ff\u4e00-\u9fff]|[^\u3040-\u30ff\u4e00-\u9fff]+", w)]
+
+
 def runs(text, n=5):
     w = words(text)
     return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
@@ -37,18 +42,19 @@ def near(rows):
 
 
 def contaminated(text, items, window=13, share=0.8, least=8):
-    """Numbers of the items that agree with the text in a window, in place."""
-    w, out = words(text), []
-    for number, item in enumerate(items):
-        v = words(item)
-        if len(v) < least:
-            continue
-        n = min(window, len(v))
-        need = -(-int(share * n * 1000) // 1000)
-        for shift in range(n - len(v) - n, len(w)):
-            same = [0 <= i + shift < len(w) and w[i + shift] == x for i, x in enumerate(v)]
-            inside = [0 <= i + shift < len(w) for i in range(len(v))]
-            if any(sum(same[i : i + n]) >= need and all(inside[i : i + n]) for i in range(len(v) - n + 1)):
-                out.append(number)
-                break
-    return out
+    """Numbers of the items that agree with the text in a window, in place, by words or by units."""
+    forms = [words(text), units(text)]
+    return [k for k, item in enumerate(items) if any(_agree(w, v, window, share, least) for w in forms for v in (words(item), units(item)))]
+
+
+def _agree(w, v, window, share, least):
+    if len(v) < least:
+        return False
+    n = min(window, len(v))
+    need = -(-int(share * n * 1000) // 1000)
+    for shift in range(-len(v), len(w)):
+        same = [0 <= i + shift < len(w) and w[i + shift] == x for i, x in enumerate(v)]
+        inside = [0 <= i + shift < len(w) for i in range(len(v))]
+        if any(sum(same[i : i + n]) >= need and all(inside[i : i + n]) for i in range(len(v) - n + 1)):
+            return True
+    return False

@@ -1,9 +1,10 @@
-"""Benchmark items that are too short for windows, or in scripts without blanks, must be found word for word."""
+"""Benchmark items that are too short for windows must be found word for word; those in scripts without blanks by windows of letters."""
 
 import random
-import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("studytrail.llm")
 
@@ -17,13 +18,9 @@ ITEMS = ["Blue whale", "name the capital of France", "yes", "one two three four
          "今日,は,晴,れ,で,す,ね,と,言った", "GPT是什么", "eight words are long enough for a window", None, "", "!?"]
 
 
-def units(text):
-    return [u for w in brute.words(text) for u in re.findall(r"[぀-ヿ一-鿿]|[^぀-ヿ一-鿿]+", w)]
-
-
 def held(text, item):
     """All words of the item in a row, each letter of an unspaced script a word."""
-    w, v = units(text), units(item)
+    w, v = brute.units(text), brute.units(item)
     return bool(v) and any(w[i : i + len(v)] == v for i in range(len(w) - len(v) + 1))
 
 
@@ -52,6 +49,31 @@ def test_short_and_unspaced_items_are_found(spark, benchmark):
     assert {r.doc_id: r.n_items for r in decontamination.judged(docs, benchmark).collect()} == {d: sum(d == e for e, _ in want) for d, _ in want}
 
 
+def test_passages_of_unspaced_scripts(spark, benchmark):
+    """One letter replaced, long and short passages word for word, beside spaced words and within them."""
+    item, at = CHINESE, ITEMS.index(CHINESE)
+    found = [item[:150] + "错" + item[151:], "前" + item[20:170] + "后", item[100:230], "so " + item[40:52] + " it is", f"a{item[7:20]}b", "\n".join(item[:40])]
+    clean = [item[:9], item[100:110] + "错错错错", "前" + item[::-1], "".join(f"{c}错" for c in item)]
+    rows = list(enumerate(found + clean))
+    assert [at in brute.contaminated(t, ITEMS) for _, t in rows] == [True] * len(found) + [False] * len(clean)
+    docs = documents(spark, [(d, t, "zh", None, 0) for d, t in rows])
+    got = rows_of(decontamination.all_overlaps(docs, benchmark), "doc_id", "item_id")
+    assert got == [(d, at) for d in range(len(found))]
+    assert sorted(r.doc_id for r in decontamination.clean_rows(docs, benchmark).collect()) == list(range(len(found), len(rows)))
+
+
+def test_filter_grows_with_the_benchmark(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "LEAST_BITS", 1 << 10)
+    sizes = []
+    for n in (1, 40):
+        items = spark.range(n).select("id", (F.col("id") * 2654435761).alias("hash"))
+        bloom = decontamination.seed_filter(items)
+        sizes.append(len(bloom))
+        hashes = np.array([r["hash"] for r in items.collect()], np.int64).view(np.uint64)
+        assert len(decontamination.passed(bloom, hashes)) == n
+    assert sizes == [128, 8192]
+
+
 def test_pipeline_drops_them(spark, benchmark, tmp_path):
     rows = list(enumerate(texts()))
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
