@@ -55,7 +55,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_roundtrip(table(spark, sf_dir, "pages"))
+    return warc.archive_roundtrip(table(spark, sf_dir, "pages")).drop("intact")
 
 
 def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ Archives are written by Spark's text writer, one record a row with the record en
 Spark writes to will do. They are read back record by record by their Content-Length.
 
 A null html is an empty payload. Of equal payloads of ``min_bytes`` or more the smallest page_id (null last) is the
-response; rows that repeat that page_id are responses as well. Null or odd urls are written as ``urn:page:<id>`` and with
+response; rows that repeat that page_id are responses as well. Lengths and digests of the result are those of the payloads
+read back, ``intact`` tells whether the headers name the same digest. Very long payloads are read whole, one at a time;
+other columns are not read, so their names don't matter. Null or odd urls are written as ``urn:page:<id>`` and with
 control characters escaped. An empty table gives no records.
 """
 
@@ -26,7 +28,7 @@ from studytrail.session import shared_folder
 
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-READ = "record_id string, page_id bigint, type string, digest string, n bigint, refers string, intact boolean"
+READ = "record_id string, page_id bigint, type string, digest string, actual string, n bigint, refers string, intact boolean"
 RECORDS = 20_000  # of one archive
 
 
@@ -100,7 +102,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, date: str
 
 
 def parse(stream) -> list:
-    """(record_id, page_id, type, digest, n, refers, intact) of each record of an archive; n is null for revisits."""
+    """READ rows of an archive's records: ``digest`` is the header's, ``actual`` that of the payload read, intact whether they agree.
+
+    Revisits have no payload: their actual and n are null and intact is true."""
     while line := stream.readline():
         if line.strip() == b"":
             continue
@@ -112,15 +116,15 @@ def parse(stream) -> list:
         payload = block[block.index(b"\r\n\r\n") + 4 :]
         kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
         whole = kind == "response"
-        intact = not whole or b32encode(hashlib.sha1(payload).digest()).decode() == digest
+        actual = b32encode(hashlib.sha1(payload).digest()).decode() if whole else None
         page = fields.get("Page-Id")
-        yield (fields["WARC-Record-ID"], int(page) if page else None, kind, digest, len(payload) if whole else None,
-               fields.get("WARC-Refers-To"), intact)
+        yield (fields["WARC-Record-ID"], int(page) if page else None, kind, digest, actual, len(payload) if whole else None,
+               fields.get("WARC-Refers-To"), not whole or actual == digest)
 
 
 def _parsed(batches):
     names = [c.split()[0] for c in READ.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_()]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_()]
 
     def batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
@@ -144,19 +148,25 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def resolved(found: DataFrame) -> DataFrame:
-    """Records with payload length and page of the response that a revisit refers to."""
+    """Records with length and digest of the payload that was read, for revisits that of the response they refer to.
+
+    ``intact`` is whether that digest is the one that the record's header names. A revisit without its response has nulls
+    and is not intact.
+    """
     found = tables.stored(found, "records")
     responses = found.where("type = 'response'")
-    asked = found.where("type = 'revisit'").withColumnRenamed("n", "_n")
+    asked = found.where("type = 'revisit'").drop("n", "actual", "intact")
     targets = asked.groupBy("refers").agg(F.count(F.lit(1)).alias("n"))
-    known = responses.groupBy("record_id").agg(F.min("page_id").alias("first"), F.min("n").alias("bytes"))
+    same = F.struct("page_id", F.col("n").alias("bytes"), "actual")
+    known = responses.groupBy("record_id").agg(F.min(same).alias("_first"))
+    known = known.select("record_id", F.col("_first.page_id").alias("first"), "_first.bytes", "_first.actual")
     targets = targets.join(known, targets["refers"] == known["record_id"]).drop("record_id")
     out = tables.with_group(asked, tables.stored(targets, "targets"), "refers", "record_id", found.count())
-    plain = responses.select("page_id", F.col("n").alias("bytes"), "digest", "type", F.lit(None).cast("bigint").alias("first"))
-    both = plain.unionByName(out.select("page_id", "bytes", "digest", "type", "first"))
+    plain = responses.select("page_id", F.col("n").alias("bytes"), "actual", "digest", "type", F.lit(None).cast("bigint").alias("first"))
+    both = plain.unionByName(out.select("page_id", "bytes", "actual", "digest", "type", "first"))
     return both.select(
-        "page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
-        F.col("type").alias("record_type"), F.col("first").alias("refers_to"),
+        "page_id", F.col("bytes").alias("payload_bytes"), F.col("actual").alias("payload_digest"),
+        F.col("type").alias("record_type"), F.col("first").alias("refers_to"), F.col("actual").eqNullSafe(F.col("digest")).alias("intact"),
     )
 
 
