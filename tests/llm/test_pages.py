@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import io
 import re
 from html import unescape
 
@@ -80,6 +81,21 @@ def test_archive_is_a_valid_file(spark, hostile):
     assert n == len(PAGES)
 
 
+def test_digests_are_those_of_the_payloads_read(spark):
+    """A damaged payload shows in the response and in its revisits; a revisit without a response has none."""
+    sha = lambda data: base64.b32encode(hashlib.sha1(data).digest()).decode()
+    record = lambda name, kind, payload, *more: "\r\n".join([
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{name}>", f"WARC-Payload-Digest: sha1:{sha(b'good')}", f"Page-Id: {name}", *more,
+        f"Content-Length: {19 + len(payload)}", "", "HTTP/1.1 200 OK\r\n\r\n" + payload, "", "",
+    ]).encode()
+    data = record(1, "response", "good") + record(2, "response", "gone") + record(3, "revisit", "", "WARC-Refers-To: <2>")
+    data += record(4, "revisit", "", "WARC-Refers-To: <1>") + record(5, "revisit", "", "WARC-Refers-To: <9>")
+    read = spark.createDataFrame(list(warc.parse(io.BytesIO(data))), warc.READ)
+    got = rows_of(warc.resolved(read), "page_id", "payload_bytes", "payload_digest", "refers_to", "intact")
+    good, bad = sha(b"good"), sha(b"gone")
+    assert got == [(1, 4, good, None, True), (2, 4, bad, None, False), (3, 4, bad, 2, False), (4, 4, good, 1, True), (5, None, None, None, False)]
+
+
 def test_main_text_of_hostile_rows(hostile):
     got = {(r.page_id, r.text, r.n_chars) for r in main_text.main_text(hostile).collect()}
     long = "\n".join(["long text"] * 60_000)
@@ -105,6 +121,8 @@ def test_main_text_of_whole_table(spark, sf_dir):
     ("<main><p>a<b>b</b><br>c<p>d<ul><li>e<li>f</ul><form>g</form><div class='post comments'><p>h</div>i</main>", ["ab c", "d", "e", "f", "i"]),
     ("<article>a &lt;b&gt; &eacute;&#233;&nbsp;c<script>if (a<b) x('</p>')</script><style>y</style><!-- <p>z --></article>", ["a <b> éé c"]),
     ("<article><div id=cookie-notice>n</div><div role='navigation'>m</div><div class=ad>o</div><div class=adapt>p</div></article>", ["p"]),
+    ("<article><section class='related-work'>r</section><p id='widget-theory'>w</p><div class='story share-of-market'>s</div></article>", ["r", "w", "s"]),
+    ("<main><div class='related-posts'>r</div><div id='comment-list-2'>c</div><div class='x social-share'>s</div><div class=ad-slot>a</div>t</main>", ["t"]),
     ("<article>x < y <p title='a>b' class=\"c\">z</article", ["x < y", "z"]),
 ])
 def test_structure(html, want):
