@@ -11,7 +11,9 @@ that of pairs: of any two columns, both that of the second among the rows of the
 high, so that terms count that say nothing alone. The machine is fitted to the screened columns by Adam on full batches,
 with fixed seeds. Null texts count as empty and get the score of the bias. Without labelled rows of both classes all scores are
 next to 1 (only toxic labels) or 0. Rows with a null or repeated doc_id are scored like any other; null labels
-are not learnt from, of a doc_id's repeated labels the largest counts.
+are not learnt from, of a doc_id's repeated labels the largest counts, of its repeated rows one is learnt from (that of
+the smallest list of hashed terms). A score of 0.5 counts as toxic. Very long texts are scored whole; an empty table gives
+an empty one. Other columns are not read, so their names don't matter; drop_toxic() returns them.
 """
 
 from __future__ import annotations
@@ -211,11 +213,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, folds: int = FOL
         for b in batches:
             for at, texts in slices(b["text"]):
                 found = [t.tobytes() for t in terms_of(texts)]
-                yield pa.RecordBatch.from_arrays([b["y"][at : at + len(texts)], pa.array(found, pa.binary())], names=["y", "terms"])
+                rows = slice(at, at + len(texts))
+                yield pa.RecordBatch.from_arrays([b["doc_id"][rows], b["y"][rows], pa.array(found, pa.binary())], names=["doc_id", "y", "terms"])
 
     # the sample has 2 * rows rows of two numbers at most, so it may be broadcast
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("y", "text")
-    chosen = chosen.mapInArrow(featured, "y int, terms binary").withColumn("tag", F.monotonically_increasing_id())
+    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.col("doc_id").cast("bigint"), "y", "text")
+    # one row an id, so that repeated ids don't outgrow the sample's bound
+    chosen = chosen.mapInArrow(featured, "doc_id bigint, y int, terms binary").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("terms").alias("terms"))
+    chosen = chosen.select("y", "terms").withColumn("tag", F.monotonically_increasing_id())
     chosen = tables.stored(chosen, "sample")
     found = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(found) < 2:

@@ -42,6 +42,17 @@ def test_terms_of_clean_texts(spark):
     assert len(machine.terms) and np.mean([r.toxic == r.predicted for r in got]) > 0.98
 
 
+def test_of_repeated_ids_one_row_is_learnt_from(spark):
+    rng = np.random.default_rng(10)
+    rows = [(i, " ".join([*rng.choice(PROSE.split(), 20), *(["lomur"] if i % 2 else [])]), i % 2) for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    labels = table.select("doc_id", "toxic")
+    many = table.unionByName(table.where("doc_id % 7 = 0").crossJoin(spark.range(20)).drop("id"))
+    once, often = toxicity.train(table, labels), toxicity.train(many, labels)
+    assert len(once.terms) and (once.terms == often.terms).all()
+    assert often.bias == pytest.approx(once.bias) and often.weight == pytest.approx(once.weight)
+
+
 def test_equal_terms_are_one_column():
     rng = np.random.default_rng(4)
     weight, factor = rng.normal(size=3), rng.normal(size=(3, toxicity.FACTORS))
