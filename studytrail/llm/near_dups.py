@@ -124,35 +124,47 @@ def _agreement(a: str, b: str):
     return F.aggregate(same, F.lit(0), lambda total, x: total + x) / F.lit(TREES * DEPTH)
 
 
-def _only(classes: DataFrame, wanted: DataFrame) -> DataFrame:
+def _shared(nodes: DataFrame, member: str, store) -> DataFrame:
+    """(node, other columns, lo, hi) of the nodes with several members; a Bloom filter spares the others a second shuffle."""
+    shared = nodes.groupBy("node").agg(F.min(member).alias("lo"), F.max(member).alias("hi")).where("lo <> hi")
+    shared = store(shared, "nodes")
+    return tables.among(nodes, "node", shared, store).where("maybe").drop("maybe").join(shared, "node")
+
+
+def _only(classes: DataFrame, wanted: DataFrame, store) -> DataFrame:
     """Classes that may be among the wanted short keys; a Bloom filter spares the others the shuffle of their signatures."""
-    blocks = tables.blocks_for(wanted.count())
-    bits = tables.stored(tables.filter_of(wanted, "short", blocks), "bits")
-    return tables.maybe(classes, "short", bits, blocks).where("maybe").drop("maybe")
+    return tables.among(classes, "short", wanted, store).where("maybe").drop("maybe")
 
 
-def rough_groups(classes: DataFrame) -> DataFrame:
+def rough_groups(classes: DataFrame, store=tables.stored) -> DataFrame:
     """(key, comp) of classes that share a longest prefix and agree with the node's first or last member."""
-    nodes = _nodes(classes, DEPTH, "short")
-    shared = nodes.groupBy("node").agg(F.min("short").alias("lo"), F.max("short").alias("hi")).where("lo <> hi")
-    members = nodes.join(shared, "node").select("short", F.explode(F.array("lo", "hi")).alias("other")).where("short <> other").distinct()
-    members = tables.stored(members, "members")
-    few = _only(classes, members.select("short").union(members.select("other"))).select("short", "key", "sig")
-    star = few.select(F.col("short").alias("other"), F.col("key").alias("star"), F.col("sig").alias("star_sig"))
-    pairs = members.join(few, "short").join(star, "other").where(_agreement("sig", "star_sig") >= ROUGH)
-    return components(pairs.select(F.col("key").alias("a"), F.col("star").alias("b")))
+    with tables.Scratch(classes.sparkSession) as scratch:
+        members = _shared(_nodes(classes, DEPTH, "short"), "short", scratch.stored)
+        members = members.select("short", F.explode(F.array("lo", "hi")).alias("other")).where("short <> other").distinct()
+        members = scratch.stored(members, "members")
+        few = _only(classes, members.select("short").union(members.select("other")), scratch.stored).select("short", "key", "sig")
+        star = few.select(F.col("short").alias("other"), F.col("key").alias("star"), F.col("sig").alias("star_sig"))
+        pairs = members.join(few, "short").join(star, "other").where(_agreement("sig", "star_sig") >= ROUGH)
+        return components(pairs.select(F.col("key").alias("a"), F.col("star").alias("b")), store)
+
+
+def grouped_classes(classes: DataFrame, rough: DataFrame, store=tables.stored) -> DataFrame:
+    """Classes with the comp of their rough group, else their own key; only those in the rough groups' filter shuffle."""
+    marked = tables.among(classes, "key", rough, store)
+    inside = marked.where("maybe").join(rough, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    return inside.unionByName(marked.where("NOT maybe").withColumn("comp", F.col("key"))).drop("maybe")
 
 
-def pairs_across(classes: DataFrame, prefix: int) -> DataFrame:
+def pairs_across(classes: DataFrame, prefix: int, store=tables.stored) -> DataFrame:
     """(a, b) of different rough groups that share a prefix in some tree and agree by size and signature."""
-    nodes = _nodes(classes, prefix, "short", F.xxhash64("comp").alias("group"))
-    mixed = nodes.groupBy("node").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi").select("node")
-    members = tables.stored(nodes.select("node", "short").join(mixed, "node"), "mixed")
-    members = members.join(_only(classes, members).select("short", "key", "comp", "n", "sig"), "short")
-    a, b = (members.select("node", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "comp", "n", "sig"))) for side in "ab")
-    close = (F.col("n_a") >= SIMILAR * F.col("n_b")) & (F.col("n_b") >= SIMILAR * F.col("n_a"))
-    found = a.join(b, (a["node"] == b["node"]) & (F.col("comp_a") < F.col("comp_b")) & close & (_agreement("sig_a", "sig_b") >= ROUGH))
-    return found.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+    with tables.Scratch(classes.sparkSession) as scratch:
+        nodes = _nodes(classes, prefix, "short", F.xxhash64("comp").alias("group"))
+        members = scratch.stored(_shared(nodes, "group", scratch.stored).select("node", "short"), "mixed")
+        members = members.join(_only(classes, members, scratch.stored).select("short", "key", "comp", "n", "sig"), "short")
+        a, b = (members.select("node", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "comp", "n", "sig"))) for side in "ab")
+        close = (F.col("n_a") >= SIMILAR * F.col("n_b")) & (F.col("n_b") >= SIMILAR * F.col("n_a"))
+        found = a.join(b, (a["node"] == b["node"]) & (F.col("comp_a") < F.col("comp_b")) & close & (_agreement("sig_a", "sig_b") >= ROUGH))
+        return store(found.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct(), "across")
 
 
 def similar(inter: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:
@@ -238,40 +250,43 @@ def grouped_links(members: DataFrame) -> DataFrame:
 
 def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sketches, classes): doc_id and key of every row; key, rep_id, size, links and class_id of every set."""
-    sketches = tables.stored(sketched(docs), "sketches")
-    classes = sketches.where("key IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("sig").alias("sig")
-    )
-    # nodes carry a short form of the key; two keys with the same one only add candidates
-    classes = tables.stored(classes.withColumn("short", F.xxhash64("key")), "classes")
-    rough = rough_groups(classes)
-    grouped = classes.join(rough, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    across = tables.stored(pairs_across(grouped, shortest_prefix()), "across")
-
-    # whole sets of the classes that have anything to be compared with; a Bloom filter lets the other texts go
+    with tables.Scratch(docs.sparkSession) as scratch:
+        found = scratch.stored(sketched(docs), "sketches")
+        classes = found.where("key IS NOT NULL").groupBy("key").agg(
+            F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("sig").alias("sig")
+        )
+        # nodes carry a short form of the key; two keys with the same one only add candidates
+        classes = scratch.stored(classes.withColumn("short", F.xxhash64("key")), "classes")
+        sketches = tables.stored(found.select("doc_id", "key"), "sketches")
+        return sketches, _named(docs, classes, scratch.stored)
+
+
+def _named(docs: DataFrame, classes: DataFrame, store) -> DataFrame:
+    rough = rough_groups(classes, store)
+    across = pairs_across(grouped_classes(classes, rough, store), shortest_prefix(), store)
+
+    # whole sets of the classes that have anything to be compared with; Bloom filters let the other texts go
     sizes = rough.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    wanted = tables.stored(rough.select("key").union(across.select("a")).union(across.select("b")).distinct(), "wanted")
-    ids = tables.stored(classes.select("key", "rep_id").join(wanted, "key").select("rep_id"), "ids")
-    blocks = tables.blocks_for(ids.count())
-    bits = tables.stored(tables.filter_of(ids.withColumnRenamed("rep_id", "doc_id"), "doc_id", blocks), "bits")
-    chosen = tables.maybe(docs.select(F.col("doc_id").cast("bigint"), "text"), "doc_id", bits, blocks).where("maybe")
-    sets = tables.stored(_sets(chosen).join(wanted, "key", "left_semi"), "sets")
+    wanted = store(rough.select("key").union(across.select("a")).union(across.select("b")).distinct(), "wanted")
+    ids = store(classes.select("key", F.col("rep_id").alias("doc_id")).join(wanted, "key").select("doc_id"), "ids")
+    chosen = tables.among(docs.select(F.col("doc_id").cast("bigint"), "text"), "doc_id", ids, store).where("maybe")
+    sets = store(tables.among(_sets(chosen), "key", wanted, store).where("maybe").drop("maybe"), "sets")
 
     members = rough.join(sizes, "comp").join(classes.select("key", "size"), "key")
     members = members.withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
-    inside = tables.stored(grouped_links(members.join(sets, "key")), "inside")
-    across = tables.stored(_verified(across, sets), "links")
+    inside = store(grouped_links(members.join(sets, "key")), "inside")
+    across = store(_verified(across, sets), "links")
 
     weight = classes.select(F.col("key").alias("b"), F.col("size").alias("links"))
     both = across.unionByName(across.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = inside.select("key", "links").unionByName(both.join(weight, "b").select(F.col("a").alias("key"), "links"))
     links = links.groupBy("key").agg(F.sum("links").alias("links"))
     edges = inside.select(F.col("key").alias("a"), F.col("label").alias("b")).unionByName(across)
-    final = classes.join(components(edges), "key", "left").join(links, "key", "left")
+    final = classes.join(components(edges, store), "key", "left").join(links, "key", "left")
     final = final.select("key", "rep_id", "size", F.coalesce("comp", "key").alias("comp"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"))
-    final = tables.stored(final, "final")
+    final = store(final, "final")
     names = final.groupBy("comp").agg(F.min("rep_id").alias("class_id"), F.sum("size").alias("class_size"))
-    return sketches, tables.stored(final.join(names, "comp"), "named")
+    return tables.stored(final.join(names, "comp"), "named")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:

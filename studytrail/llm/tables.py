@@ -19,6 +19,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """A folder for the tables of one run in the shared folder; leaving the ``with`` block removes it.
+
+    What is read after the block must have been stored elsewhere.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.n = spark, shared_folder(spark, "scratch"), 0
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        self.n += 1
+        path = f"{self.folder}/{self.n}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -69,6 +92,12 @@ def maybe(df: DataFrame, key: str, bits: DataFrame, blocks: int, name: str = "ma
     return out.withColumn(name, F.coalesce(is_set(one) & is_set(two), F.lit(False))).drop("_block", "_bits")
 
 
+def among(df: DataFrame, key: str, wanted: DataFrame, store=stored) -> DataFrame:
+    """Adds ``maybe`` by a stored filter of the wanted rows' keys."""
+    blocks = blocks_for(wanted.count())
+    return maybe(df, key, store(filter_of(wanted, key, blocks), "bits"), blocks)
+
+
 def with_group(rows: DataFrame, groups: DataFrame, key: str, row_id: str, total: int) -> DataFrame:
     """Left join of rows with their groups (key, n, other columns), also where one group holds much of the rows.
 
