@@ -1,7 +1,7 @@
 """Archives kept up to date from a stream; the state is Spark's own.
 
-``transformWithState`` keeps the open visits of every account in the RocksDB state store (see ``visits``), checkpointed with
-the stream. A micro-batch's additions, summed by archive and key, are the only thing that is written: one folder for each
+``transformWithState`` keeps the open visits of every account in the RocksDB state store, by groups of accounts (see ``visits``),
+checkpointed with the stream. A micro-batch's additions, summed by archive and key, are the only thing that is written: one folder for each
 batch, overwritten when a batch is repeated. The archive is the sum of all additions. Rows count in order of arrival, inside
 a micro-batch in order of (time, seq).
 """
@@ -16,10 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from studytrail.operators import archives as ar
 from studytrail.streaming.sinks import EVERY, each_batch, query_id, rocks_state
-from studytrail.streaming.visits import ABILITY, EXPIRED, LONGS, Visits, added_schema, open_schema
+from studytrail.streaming.visits import (
+    ABILITY, DAY_MS, DAY_PARTS, EXPIRED, GROUP, GROUPS, LONGS, PART, PARTS, Visits, added_schema, columns_of, open_schema,
+)
 
 FILES = 4
-DAY_MS = 86_400_000
 
 
 def keys_of(name: str) -> tuple[str, ...]:
@@ -44,17 +45,19 @@ class ArchiveStream:
         self.added = f"{root}/added"
 
     def additions(self, events: DataFrame) -> DataFrame:
-        """The stream of what each account adds: archive, keys, measures."""
+        """The stream of what each group of accounts adds: archive, keys, measures."""
         ends = [ar.ARCHIVES[n].end for n in self.names if n in ar.ARCHIVES and ar.ARCHIVES[n].end]
         rows = events.where(F.col("src_type").isin([ar.SUBMIT, *ends]))
         schema, expire = events.schema, self.daily and self.keep_days is not None
-        by = ["account_id", *(["dt"] if self.daily else [])]
+        account = F.xxhash64("account_id")
+        parts = F.pmod(F.shiftright(account, 32), F.lit(DAY_PARTS if self.daily else PARTS))
+        rows = rows.select(F.pmod(account, F.lit(GROUPS)).cast("int").alias(GROUP), parts.cast("int").alias(PART), *columns_of(self.names, self.keys))
         if expire:
             at = F.least(F.timestamp_seconds("epoch_s"), F.current_timestamp())
             day_end = (F.unix_date(F.to_date("dt", "yyyyMMdd")).cast("bigint") + 1) * F.lit(DAY_MS)
             rows = rows.withColumns({"_at": at, "_day_end": day_end}).withWatermark("_at", f"{self.keep_days} days")
         processor = Visits(self.names, self.keys, open_schema(schema), expire)
-        return rows.groupBy(*by).transformWithState(
+        return rows.groupBy(GROUP).transformWithState(
             processor, added_schema(schema, self.keys), "Append", "EventTime" if expire else "None"
         )
 

@@ -1,14 +1,19 @@
-"""What one account's rows of a micro-batch add to the archives, given the visits it has open.
+"""What a group of accounts' rows of a micro-batch add to the archives, given the visits that are open.
 
-``Visits`` is the processor of a ``transformWithState`` keyed by account (and day, for daily archives). Its state is
-a map with one small entry per timeline: the last course, the submit that opened a visit, or the run of one tag with the first row of
-its last question. What is emitted adds up: a row for each archive and key that the account touched.
+``Visits`` is the processor of a ``transformWithState`` keyed by group of accounts, since each key and each access to state is a call
+between Python and the JVM. Its state is a map from parts of the group (and days, for daily archives) to their accounts' timelines, one
+small entry each: the last course, the submit that opened a visit, or the run of one tag with the first row of its last question.
+A part's entries are read and written together, and only by batches that have rows of the part. What is emitted adds up: a row for
+each archive and key that the group touched.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from datetime import date, timedelta
 from decimal import ROUND_HALF_UP, Decimal
+from itertools import chain
+from operator import itemgetter
 
 from pyspark.sql import Row
 from pyspark.sql import types as T
@@ -20,9 +25,25 @@ from studytrail.schema import LO_STATUS, RIGHT, SUBMIT, UNABLE, VIEWED, WRONG
 LONGS = (*ar.COUNTERS, "answer_time", "entries", "completions", "completion_time", *ar.LO_COUNTERS, "triggers")
 ABILITY, EXPIRED = "ability_sum", "expired"
 AT = {name: i for i, name in enumerate(LONGS)}
-FLAGS = {RIGHT: "right", WRONG: "wrong", UNABLE: "unable"}
+FLAGS = {flag: (AT[name], AT[f"viewed_{name}"]) for flag, name in {RIGHT: "right", WRONG: "wrong", UNABLE: "unable"}.items()}
+ANSWERS, IS_VIEWED, ANSWER_TIME, ENTRIES = AT["answers"], AT["viewed"], AT["answer_time"], AT["entries"]
+COMPLETIONS, COMPLETION_TIME, TRIGGERS = AT["completions"], AT["completion_time"], AT["triggers"]
 NINTH = Decimal("0.000000001")
-TIMELINE = "archive string, place string"
+GROUP, PART = "_group", "_part"  # of an account
+GROUPS = 512
+PARTS, DAY_PARTS = 64, 1  # of a group, and of a group's day
+DAY_MS = 86_400_000
+
+
+def columns_of(names: Sequence[str], keys: Sequence[str]) -> tuple[str, ...]:
+    """The columns of an event that these archives look at."""
+    specs = [ar.ARCHIVES[n] for n in names if n in ar.ARCHIVES]
+    wanted = ["account_id", *(k for k in keys if k != "factor"), "epoch_s", "seq", "src_type", "is_right", "is_view_analyze", "cost_time"]
+    if any(s.visits == "runs" for s in specs):
+        wanted += ["question_id", "ability", "lo_status"]
+    if len(specs) < len(names):
+        wanted.append("factor_codes")
+    return tuple(dict.fromkeys(wanted))
 
 
 def added_schema(events: T.StructType, keys: Sequence[str]) -> T.StructType:
@@ -32,42 +53,66 @@ def added_schema(events: T.StructType, keys: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField("archive", T.StringType()), *typed, *longs, T.StructField(ABILITY, T.DecimalType(28, 9))])
 
 
+def day_of(end_ms: int) -> str:
+    """The day (dt) that ends then."""
+    return (date(1970, 1, 1) + timedelta(days=end_ms // DAY_MS - 1)).strftime("%Y%m%d")
+
+
 def open_schema(events: T.StructType) -> T.StructType:
-    """State of one timeline."""
+    """State of one part: its timelines, by archive and place."""
+    where = [T.StructField(c, T.StringType()) for c in ("archive", "place")]
     named = [T.StructField(c, events[c].dataType) for c in ("course_id", "tag_code", "question_id", "ability", "lo_status")]
-    return T.StructType([*named, T.StructField("first_s", T.LongType()), T.StructField("last_s", T.LongType())])
+    times = [T.StructField(c, T.LongType()) for c in ("first_s", "last_s")]
+    return T.StructType([T.StructField("timelines", T.ArrayType(T.StructType([*where, *named, *times])))])
 
 
 class Visits(StatefulProcessor):
-    """``names``: archives that share a cadence. ``expire``: whether a day's timelines are forgotten when its timer fires."""
+    """``names``: archives that share a cadence. ``expire``: whether a day's timelines are forgotten when the group's timer for it fires."""
 
     def __init__(self, names: Sequence[str], keys: Sequence[str], opened: T.StructType, expire: bool):
         self.names, self.keys, self.opened, self.expire = tuple(names), tuple(keys), opened, expire
+        self.daily = "dt" in self.keys
+        self.stateful = any(n in ar.FACTORS or ar.ARCHIVES[n].visits for n in names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.timelines = handle.getMapState("timelines", TIMELINE, self.opened)
+        self.parts = handle.getMapState("parts", "dt string, part int", self.opened)
 
     def close(self) -> None:
         pass
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        account, day = key[0], key[1] if len(key) > 1 else None
-        batch = sorted(rows, key=lambda r: (r["epoch_s"] is not None, r["epoch_s"] or 0, r["seq"]))
-        added = Added(self.timelines)
-        for name in self.names:
-            if name in ar.FACTORS:
-                added.factors(name, batch, account)
-            else:
-                added.archive(name, ar.ARCHIVES[name], batch)
-        added.store()
-        if self.expire and day is not None:
-            self.handle.registerTimer(batch[0]["_day_end"])
+        first = next(rows)
+        at = {c: i for i, c in enumerate(first.__fields__)}
+        part_at, day_at, time, seq = at[PART], at.get("dt"), at["epoch_s"], at["seq"]
+        by_part: dict[tuple, list[tuple]] = {}
+        for row in map(tuple, chain((first,), rows)):
+            by_part.setdefault((row[day_at] if self.daily else None, row[part_at]), []).append(row)
+        added = Added(at)
+        for part, batch in by_part.items():
+            batch.sort(key=lambda r: (r[time] is not None, r[time] or 0, r[seq] is not None, r[seq]))
+            found = self.parts.getValue(part) if self.stateful else None
+            before = {(t[0], t[1]): tuple(t)[2:] for t in found[0]} if found else {}
+            added.lines = dict(before)
+            for name in self.names:
+                if name in ar.FACTORS:
+                    added.factors(name, batch)
+                else:
+                    added.archive(name, ar.ARCHIVES[name], batch)
+            if added.lines and added.lines != before:
+                self.parts.updateValue(part, ([(*where, *line) for where, line in added.lines.items()],))
+            elif before and not added.lines:
+                self.parts.removeKey(part)
+        if self.expire:
+            for end in {batch[0][at["_day_end"]] for (day, _), batch in by_part.items() if day is not None}:
+                self.handle.registerTimer(end)
         return added.rows(self.keys)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        gone = sum(1 for _ in self.timelines.keys())
-        self.timelines.clear()
+        day, gone = day_of(expiredTimerInfo.getExpiryTimeInMs()), 0
+        for part in [tuple(k) for k in self.parts.keys() if k[0] == day]:
+            gone += len(self.parts.getValue(part)[0])
+            self.parts.removeKey(part)
         yield added_row(None, {}, self.keys, [0] * len(LONGS), Decimal(0), gone)
 
 
@@ -76,106 +121,113 @@ def added_row(archive: str | None, values: Mapping, keys: Sequence[str], longs:
     return named(archive, *(values.get(k) for k in keys), *longs, expired, ability)
 
 
+def picker(places: Sequence[int]) -> Callable[[tuple], tuple]:
+    """These places of a row, as a tuple."""
+    if len(places) == 1:
+        only = places[0]
+        return lambda row: (row[only],)
+    return itemgetter(*places)
+
+
 class Added:
-    """Sums of one account and micro-batch, and the timelines it looked at."""
+    """Sums of one group of accounts and micro-batch; ``lines`` are the timelines of the part at hand.
+
+    ``at``: places of the columns in a row.
+    """
 
-    def __init__(self, timelines):
-        self.timelines, self.seen, self.before = timelines, {}, {}
-        self.sums: dict[tuple, list] = {}
+    def __init__(self, at: Mapping[str, int]):
+        self.at, self.lines = at, {}
+        self.sums: dict[tuple[str, tuple], list] = {}
+        self.is_right, self.viewed, self.cost = at["is_right"], at["is_view_analyze"], at["cost_time"]
 
-    def of(self, name: str, keys: Sequence[str], values: Sequence) -> list:
+    def of(self, name: str, values: tuple) -> list:
         """Sums of one archive and key; the last is the ability."""
-        return self.sums.setdefault((name, tuple(keys), tuple(values)), [*([0] * len(LONGS)), Decimal(0)])
-
-    def timeline(self, name: str, place: Sequence) -> tuple:
-        where = (name, repr(tuple(place)))
-        if where not in self.seen:
-            found = self.timelines.getValue(where)
-            self.seen[where] = self.before[where] = None if found is None else tuple(found)
-        return where
-
-    def store(self) -> None:
-        for where, now in self.seen.items():
-            if now is None and self.before[where] is not None:
-                self.timelines.removeKey(where)
-            elif now is not None and now != self.before[where]:
-                self.timelines.updateValue(where, now)
+        found = self.sums.get((name, values))
+        if found is None:
+            found = self.sums[name, values] = [*([0] * len(LONGS)), Decimal(0)]
+        return found
 
     def rows(self, keys: Sequence[str]) -> Iterator[Row]:
-        for (name, own, values), sums in self.sums.items():
+        for (name, values), sums in self.sums.items():
+            own = ar.FACTORS[name] if name in ar.FACTORS else ar.ARCHIVES[name].keys
             yield added_row(name, dict(zip(own, values, strict=True)), keys, sums[:-1], sums[-1])
 
-    @staticmethod
-    def count(sums: list, row: Row) -> None:
-        flag, viewed = FLAGS.get(row["is_right"]), row["is_view_analyze"] == VIEWED
-        sums[AT["answers"]] += 1
+    def count(self, sums: list, row: tuple) -> None:
+        flag, viewed = FLAGS.get(row[self.is_right]), row[self.viewed] == VIEWED
+        sums[ANSWERS] += 1
         if flag:
-            sums[AT[flag]] += 1
+            sums[flag[0]] += 1
         if viewed:
-            sums[AT["viewed"]] += 1
+            sums[IS_VIEWED] += 1
             if flag:
-                sums[AT[f"viewed_{flag}"]] += 1
-        sums[AT["answer_time"]] += row["cost_time"] or 0
+                sums[flag[1]] += 1
+        sums[ANSWER_TIME] += row[self.cost] or 0
 
-    def archive(self, name: str, spec: ar.Archive, rows: Sequence[Row]) -> None:
+    def archive(self, name: str, spec: ar.Archive, rows: Sequence[tuple]) -> None:
+        """Counters of a key's answers, and its visits; a place is an account and what its timeline goes by."""
+        src_type, values_of = self.at["src_type"], picker([self.at[k] for k in spec.keys])
         place_keys = [k for k in ar.timeline_of(spec).keys if k not in ("account_id", "dt")] if spec.visits else ()
-        step = {"change": self.change, "closed": self.closed, "runs": self.runs, None: lambda *_: None}[spec.visits]
+        place_of = picker([self.at[k] for k in ("account_id", *place_keys)])
+        step = {"change": self.change, "closed": self.closed, "runs": self.runs, None: None}[spec.visits]
         for row in rows:
-            submit = row["src_type"] == SUBMIT
-            if not submit and row["src_type"] != spec.end:
+            submit = row[src_type] == SUBMIT
+            if not submit and row[src_type] != spec.end:
                 continue
-            sums = self.of(name, spec.keys, [row[k] for k in spec.keys])
+            sums = self.of(name, values_of(row))
             if submit:
                 self.count(sums, row)
-            if spec.visits:
-                step(spec, name, sums, row, self.timeline(name, [row[k] for k in place_keys]))
+            if step:
+                step(spec, name, sums, row, (name, repr(place_of(row))))
 
     def change(self, spec, name, sums, row, where) -> None:
-        state = self.seen[where]
-        if state is None or state[0] != row["course_id"]:
-            sums[AT["entries"]] += 1
-            self.seen[where] = (row["course_id"], None, None, None, None, None, None)
+        state, course = self.lines.get(where), row[self.at["course_id"]]
+        if state is None or state[0] != course:
+            sums[ENTRIES] += 1
+            self.lines[where] = (course, None, None, None, None, None, None)
 
     def closed(self, spec, name, sums, row, where) -> None:
-        state, at = self.seen[where], row["epoch_s"]
-        if row["src_type"] == SUBMIT:
+        state, at = self.lines.get(where), row[self.at["epoch_s"]]
+        if row[self.at["src_type"]] == SUBMIT:
             if state is None:
-                sums[AT["entries"]] += 1
-                self.seen[where] = (None, None, None, None, None, at, None)
+                sums[ENTRIES] += 1
+                self.lines[where] = (None, None, None, None, None, at, None)
         elif state is not None:
-            sums[AT["completions"]] += 1
-            sums[AT["completion_time"]] += at - state[5]
-            self.seen[where] = None
+            sums[COMPLETIONS] += 1
+            sums[COMPLETION_TIME] += at - state[5]
+            del self.lines[where]
 
     def runs(self, spec, name, sums, row, where) -> None:
-        state, at = self.seen[where], row["epoch_s"]
-        asked = (row["question_id"], row["ability"], row["lo_status"])
-        if state is not None and state[1] == row["tag_code"]:
-            question, ability, status = asked if state[2] != row["question_id"] else state[2:5]
-            self.seen[where] = (None, row["tag_code"], question, ability, status, state[5], at)
+        state, at, tag = self.lines.get(where), row[self.at["epoch_s"]], row[self.at["tag_code"]]
+        asked = (row[self.at["question_id"]], row[self.at["ability"]], row[self.at["lo_status"]])
+        if state is not None and state[1] == tag:
+            question, ability, status = asked if state[2] != asked[0] else state[2:5]
+            self.lines[where] = (None, tag, question, ability, status, state[5], at)
             return
         if state is not None:
-            credited = self.of(name, spec.keys, [state[1] if k == "tag_code" else row[k] for k in spec.keys])
-            credited[AT["completions"]] += 1
-            credited[AT["completion_time"]] += (state[6] if spec.close_at == "last_submit" else at) - state[5]
+            credited = self.of(name, tuple(state[1] if k == "tag_code" else row[self.at[k]] for k in spec.keys))
+            credited[COMPLETIONS] += 1
+            credited[COMPLETION_TIME] += (state[6] if spec.close_at == "last_submit" else at) - state[5]
             if state[3] is not None:
                 credited[-1] += Decimal(repr(state[3])).quantize(NINTH, ROUND_HALF_UP)
             if state[4] in LO_STATUS:
                 credited[AT[f"lo_{state[4]}"]] += 1
-        sums[AT["entries"]] += 1
-        self.seen[where] = (None, row["tag_code"], *asked, at, at)
+        sums[ENTRIES] += 1
+        self.lines[where] = (None, tag, *asked, at, at)
 
-    def factors(self, name: str, rows: Sequence[Row], account) -> None:
+    def factors(self, name: str, rows: Sequence[tuple]) -> None:
         """Counters by ability; an account triggers it once."""
-        keys = ar.FACTORS[name]
+        keys, account, src_type, codes = ar.FACTORS[name], self.at["account_id"], self.at["src_type"], self.at["factor_codes"]
+        day = keys.index("dt") if "dt" in keys else len(keys)
+        by, split = picker([self.at[k] for k in keys if k != "factor"]), keys.index("factor")
         for row in rows:
-            if row["src_type"] != SUBMIT:
+            if row[src_type] != SUBMIT:
                 continue
-            for factor in row["factor_codes"] or ():
-                values = [factor if k == "factor" else row[k] for k in keys]
-                sums = self.of(name, keys, values)
+            others = by(row)
+            for factor in row[codes] or ():
+                values = (*others[:split], factor, *others[split:])
+                sums = self.of(name, values)
                 self.count(sums, row)
-                where = self.timeline(name, [v for k, v in zip(keys, values, strict=True) if k != "dt"])
-                if self.seen[where] is None:
-                    sums[AT["triggers"]] += account is not None
-                    self.seen[where] = (None, None, None, None, None, 0, None)
+                where = (name, repr((row[account], *values[:day], *values[day + 1 :])))
+                if where not in self.lines:
+                    sums[TRIGGERS] += row[account] is not None
+                    self.lines[where] = (None, None, None, None, None, 0, None)

@@ -16,6 +16,7 @@ from studytrail.operators import alerts as rules
 from studytrail.streaming import alerts
 from studytrail.streaming.archives import ArchiveStream
 from studytrail.streaming.sinks import LateRows, each_batch, late_rows
+from studytrail.streaming.visits import DAY_PARTS, GROUPS
 
 
 @pytest.fixture(scope="module")
@@ -117,6 +118,23 @@ def test_hot_account_in_a_stream(spark, files, tmp_path):
     assert_equal(spark, stream, parts[0].unionByName(parts[1]))
 
 
+@pytest.mark.parametrize("name", ["topic_daily", "tag_daily", "factor_daily"])
+def test_state_goes_by_groups_of_accounts(spark, files, tmp_path, name):
+    """Keys and accesses of the state are bounded by groups, days and parts, however many accounts there are; accounts stay apart."""
+    paths, log, _ = files
+    parts = [spark.read.schema(log.schema).parquet(p).where("dt < '20240103'") for p in paths[:2]]
+    parts = [p.withColumn("account_id", F.expr("if(seq % 5 = 0, null, seq % 1500)")).withColumn("dt", F.lit("20240101")).cache() for p in parts]
+    source = tmp_path / "in"
+    stream = ArchiveStream(str(tmp_path / "out"), name)
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(str(source))
+        query = drain(spark, stream, source, log.schema)
+    log = parts[0].unionByName(parts[1])
+    assert_equal(spark, stream, log)
+    accounts, held = log.select("account_id").distinct().count(), query.lastProgress.stateOperators[0].numRowsTotal
+    assert 0 < held <= GROUPS * DAY_PARTS < accounts
+
+
 def one_course(spark, log, *rows):
     """Submits of account 1 in course 1: (seq, day or None)."""
     base = log.where("src_type = 'SUBMIT_QUESTION'").limit(1).drop("seq", "dt", "epoch_s", "account_id", "course_id")
