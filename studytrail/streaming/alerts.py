@@ -12,6 +12,7 @@ from studytrail.operators import alerts
 from studytrail.streaming.sinks import EVERY, each_batch, query_id, rocks_state
 
 TOTAL = "_total"
+FILES = 4
 
 
 def call_alerts(calls: DataFrame, above_ms: int = 1000, every: str = "10 minutes") -> DataFrame:
@@ -56,7 +57,8 @@ class CountedAlerts:
     def write(self, totals: DataFrame, batch_id: int) -> None:
         spark = totals.sparkSession
         place = self._place(query_id(spark), batch_id)
-        totals.select(*self.keys, F.col("n").alias(TOTAL)).coalesce(4).write.mode("overwrite").parquet(place)
+        # Coalescing would work off several partitions of the state in one task, which holds the memory of all of them to its end.
+        totals.select(*self.keys, F.col("n").alias(TOTAL)).repartition(FILES).write.mode("overwrite").parquet(place)
         if self.send:
             touched = spark.read.parquet(place)
             self.send(self._changed(spark, touched, batch_id), batch_id)

@@ -66,7 +66,7 @@ class ArchiveStream:
         sums = [F.sum(m).alias(m) for m in (*LONGS, EXPIRED, ABILITY)]
         total = added.groupBy("archive", *self.keys).agg(*sums)
         place = f"{self.added}/query={query_id(added.sparkSession)}/batch={batch_id}"
-        total.coalesce(FILES).write.mode("overwrite").parquet(place)
+        total.repartition(FILES).write.mode("overwrite").parquet(place)
 
     def start(self, events: DataFrame, every: str | None = EVERY) -> StreamingQuery:
         with rocks_state(events.sparkSession):

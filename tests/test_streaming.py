@@ -5,7 +5,7 @@ import os
 import time
 
 import pytest
-from pyspark.sql import Window
+from pyspark.sql import DataFrameWriter, Window
 from pyspark.sql import functions as F
 
 from compare import spark_rows
@@ -197,6 +197,25 @@ def test_sent_alerts_are_those_a_batch_changes(spark, tmp_path):
     assert all(not rows for i, rows in sent.items() if i > 2)
 
 
+def test_each_partition_of_the_counts_has_a_task(spark, tmp_path, monkeypatch):
+    """The state's partitions are not worked off several in one task, however many there are."""
+    calls = calls_of(spark, [(f"2024-01-01 10:{i // 60:02d}:{i % 60:02d}", "warn", 1, f"/{i % 7}") for i in range(600)])
+    calls.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream, seen = alerts.warn_stream(str(tmp_path / "out")), set()
+    write = DataFrameWriter.parquet
+
+    def watched(writer, path, **options):
+        if str(tmp_path / "out") in path:
+            plan = writer._df._jdf.queryExecution().optimizedPlan().toString()
+            seen.add("Repartition 4, true" in plan)
+        return write(writer, path, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    drain(spark, stream, tmp_path / "in", calls.schema)
+    assert seen == {True}
+    assert spark_rows(stream.read(spark)) == spark_rows(rules.warn_bursts(calls))
+
+
 def test_traffic_sends_only_windows_of_the_batch(spark, tmp_path):
     def calls(minute, url, n):
         return [(f"2024-01-01 10:{minute:02d}:{i:02d}", "info", 1, url) for i in range(n)]
