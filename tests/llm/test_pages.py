@@ -140,3 +140,20 @@ def test_repeated_runs_go_and_unique_ones_stay(spark):
     assert [got[i] for i in range(6)] == body
     assert {got[10 + i] for i in range(4)} == {body[0] + " once more and again"}
     assert got[20] == menu
+
+
+def test_suffixes_are_sorted_and_compared_with_their_neighbours(spark):
+    """The array holds every suffix of ten words or more; brute force over all windows finds the same repeats."""
+    shared = [f"s{i}" for i in range(14)]
+    words = [["a"] * 12, ["x", *shared, "y"], [*shared, *shared], ["z", "z", *shared[:11]], shared[:9], ["b", *["a"] * 11]]
+    rows = [(h, p, w) for h in ("h", "g") for p, w in enumerate(words) if h == "h" or p < 3]
+    array = main_text.suffix_array(spark.createDataFrame(rows, "host string, page bigint, words array<string>"))
+    got = array.collect()
+    heads = [(h, p, i, w[i : i + 10]) for h, p, w in rows for i in range(len(w) - 9)]
+    assert sorted((r.host, r.page, r.place, r.head) for r in got) == sorted(heads)
+    for h in ("h", "g"):
+        inside = [w for host, _, _, w in heads if host == h]
+        assert sum(r.common == 10 for r in got if r.host == h) == len(inside) - len(set(map(tuple, inside)))
+    pages_of = lambda h, w: {p for host, p, _, x in heads if host == h and x == w}
+    want = sorted((h, p, i) for h, p, i, w in heads if len(pages_of(h, w)) >= main_text.PAGES)
+    assert want and rows_of(main_text.repeats(array), "host", "page", "place") == want
