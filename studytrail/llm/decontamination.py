@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from studytrail.llm import tables
-from studytrail.llm.words import BASE, PIECE, mixed, powers, slices, words_of
+from studytrail.llm.words import BASE, SLICE, mixed, powers, slices, words_of
 
 WINDOW, SHARE, LEAST = 13, 0.8, 8
 MASKS = ("111011", "11010011", "11111")  # five words each
@@ -134,7 +134,7 @@ def item_seeds(benchmark: DataFrame) -> DataFrame:
     def work(batches):
         for b in batches:
             ids = b["item_id"].to_pylist()
-            for at, texts in slices(b["text"]):
+            for at, texts in slices(b["text"], SLICE):
                 yield from _batches(rows_of(ids[at:], texts), SEEDS)
 
     return benchmark.select(F.col("item_id").cast("bigint"), "text").mapInArrow(work, SEEDS)
@@ -186,7 +186,7 @@ def hits(docs: DataFrame, bloom: np.ndarray) -> DataFrame:
     def work(batches):
         for b in batches:
             ids = b["doc_id"].to_pylist()
-            for at, texts in slices(b["text"]):
+            for at, texts in slices(b["text"], SLICE):
                 yield from _batches(rows_of(ids[at:], texts), schema)
 
     return docs.select(F.col("doc_id").cast(name), "text").mapInArrow(work, schema)
@@ -226,7 +226,7 @@ class Runs:
 
     def __init__(self, words: np.ndarray):
         n = 1 << max(10, len(words).bit_length())
-        up, self.down = powers(n) if n <= 4 * PIECE else powers.__wrapped__(n)
+        up, self.down = powers(n)
         self.total = np.zeros(len(words) + 1, np.uint64)
         np.cumsum(words * up[: len(words)], out=self.total[1:])
 
@@ -247,7 +247,7 @@ def whole_items(benchmark: DataFrame) -> DataFrame:
     def work(batches):
         for b in batches:
             ids = b["item_id"].to_pylist()
-            for at, texts in slices(b["text"]):
+            for at, texts in slices(b["text"], SLICE):
                 yield from _batches(rows_of(ids[at:], texts), WHOLE)
 
     return benchmark.select(F.col("item_id").cast("bigint"), "text").mapInArrow(work, WHOLE)
@@ -271,7 +271,7 @@ def whole_runs(docs: DataFrame, bloom: np.ndarray, lengths: list[int]) -> DataFr
     def work(batches):
         for b in batches:
             ids = b["doc_id"].to_pylist()
-            for at, texts in slices(b["text"]):
+            for at, texts in slices(b["text"], SLICE):
                 yield from _batches(rows_of(ids[at:], texts), schema)
 
     return docs.select(F.col("doc_id").cast(name), "text").mapInArrow(work, schema)

@@ -29,13 +29,15 @@ from pyspark.sql import types as T
 
 from studytrail.llm import tables
 from studytrail.llm.components import components
-from studytrail.llm.words import shingles, slices, words_of
+from studytrail.llm.words import SLICE, shingles, slices, words_of
+from studytrail.session import bounded_batches
 
 WORDS, SIMILAR = 5, 0.8
 TREES, DEPTH = 20, 6
 RECALL = 0.9999
 ROUGH = 0.6  # agreement of signatures in a rough group, and of pairs across groups: over five deviations below SIMILAR
 BLOCK = 512  # documents of a block of a rough group
+STRIP = 64  # rows of a block's matrix that are worked on at once
 
 
 def recall(prefix: int, similar: float = SIMILAR) -> float:
@@ -84,7 +86,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            for at, texts in slices(b["text"]):
+            for at, texts in slices(b["text"], SLICE):
                 sets = [shingles(w, WORDS) for w in words_of(texts)]
                 keys = [set_key(s) for s in sets]
                 full = [i for i, s in enumerate(sets) if len(s)]
@@ -106,7 +108,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            for _, texts in slices(b["text"], 1 << 20):
+            for _, texts in slices(b["text"], SLICE):
                 sets = [s for s in (shingles(w, WORDS) for w in words_of(texts)) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "shingles"])
 
@@ -168,8 +170,18 @@ def pairs_across(classes: DataFrame, prefix: int, store=tables.stored) -> DataFr
 
 
 def similar(inter: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:
-    union = sizes_a[:, None] + sizes_b[None, :] - inter
-    return inter >= SIMILAR * union - 1e-9
+    out = np.empty(inter.shape, bool)
+    for at in range(0, len(inter), STRIP):
+        part = inter[at : at + STRIP]
+        union = sizes_a[at : at + STRIP, None] + sizes_b[None, :] - part
+        out[at : at + STRIP] = part >= SIMILAR * union - 1e-9
+    return out
+
+
+def least_neighbours(linked: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Smallest label of each member's neighbours; the number of members where there are none."""
+    strips = (linked[at : at + STRIP] for at in range(0, len(label), STRIP))
+    return np.concatenate([np.where(s, label[None, :], len(label)).min(1, initial=len(label)) for s in strips])
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -182,7 +194,7 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     row, column = row[shared], place[inverse[shared]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    out, width = np.zeros((n, n), np.float32), 4096
+    out, width = np.zeros((n, n), np.float32), 1024
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         lo, hi = np.searchsorted(column, (at, at + width))
         part = np.zeros((n, min(width, int(column[-1]) + 1 - at)), np.float32)
@@ -201,8 +213,7 @@ def block_links(keys: list[bytes], sets: list[np.ndarray], weight: np.ndarray, s
     links = linked @ weight
     label = np.arange(len(keys))
     while True:  # smallest label of the neighbours, until nothing changes
-        least = np.where(linked, label[None, :], len(keys)).min(1, initial=len(keys))
-        new = np.minimum(label, least)
+        new = np.minimum(label, least_neighbours(linked, label))
         new = new[new]
         if (new == label).all():
             return links, [keys[i] for i in label]
@@ -250,6 +261,7 @@ def grouped_links(members: DataFrame) -> DataFrame:
 
 def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sketches, classes): doc_id and key of every row; key, rep_id, size, links and class_id of every set."""
+    bounded_batches(docs.sparkSession)
     with tables.Scratch(docs.sparkSession) as scratch:
         found = scratch.stored(sketched(docs), "sketches")
         classes = found.where("key IS NOT NULL").groupBy("key").agg(
@@ -322,7 +334,7 @@ def _with_key(rows: DataFrame) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            keys = [set_key(shingles(w, WORDS)) for _, texts in slices(b["text"]) for w in words_of(texts)]
+            keys = [set_key(shingles(w, WORDS)) for _, texts in slices(b["text"], SLICE) for w in words_of(texts)]
             yield pa.RecordBatch.from_arrays([b["row"], b["doc_id"], pa.array(keys, pa.binary())], names=["row", "doc_id", "key"])
 
     schema = T.StructType([rows.schema["row"], T.StructField("doc_id", T.LongType()), T.StructField("key", T.BinaryType())])
