@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from studytrail.llm import bpe_codec, decontamination, exact_dedup, near_dups, tables, toxicity
 from studytrail.llm.queries import VOCABULARY
+from studytrail.session import bounded_batches
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; labels are learnt from the folds that op6 learns from."""
+    bounded_batches(spark)
     return toxicity.drop_toxic(docs, toxicity.train(docs, tables.table(spark, sf_dir, "labels")))
 
 
@@ -29,11 +31,13 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    bounded_batches(spark)
     return decontamination.clean_rows(docs, tables.table(spark, sf_dir, "benchmark"))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document that is left."""
+    bounded_batches(spark)
     return bpe_codec.digests(docs, VOCABULARY)
 
 

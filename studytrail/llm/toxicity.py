@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from studytrail.llm import tables
-from studytrail.llm.words import mixed, slices, words_of
+from studytrail.llm.words import SLICE, mixed, slices, words_of
 
 ROWS = 5_000  # sampled rows of each class
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, folds: int = FOL
 
     def featured(batches):
         for b in batches:
-            for at, texts in slices(b["text"]):
+            for at, texts in slices(b["text"], SLICE):
                 found = [t.tobytes() for t in terms_of(texts)]
                 rows = slice(at, at + len(texts))
                 yield pa.RecordBatch.from_arrays([b["doc_id"][rows], b["y"][rows], pa.array(found, pa.binary())], names=["doc_id", "y", "terms"])
@@ -265,7 +265,7 @@ def scored(docs: DataFrame, machine: Machine, folds: int = FOLDS) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            for at, texts in slices(b["text"]):
+            for at, texts in slices(b["text"], SLICE):
                 s = np.array([machine.score(t) for t in terms_of(texts)])
                 rows = slice(at, at + len(texts))
                 yield pa.RecordBatch.from_arrays(
@@ -283,7 +283,7 @@ def drop_toxic(docs: DataFrame, machine: Machine) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            keep = [machine.score(t) < 0.5 for _, texts in slices(b["text"]) for t in terms_of(texts)]
+            keep = [machine.score(t) < 0.5 for _, texts in slices(b["text"], SLICE) for t in terms_of(texts)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema).select(*names)

@@ -8,6 +8,7 @@ import pytest
 
 pytest.importorskip("studytrail.llm")
 
+import corpus_pipeline  # noqa: E402
 from studytrail import session  # noqa: E402
 from studytrail.llm import near_dups, words  # noqa: E402
 
@@ -46,6 +47,14 @@ def test_long_texts_come_in_bounded_batches(spark, large_batches):
     assert max(found) < 5 << 20 and len(found) > 1
 
 
+@pytest.mark.parametrize("name", ["toxicity", "decontamination", "bpe_codec"])
+def test_stages_bound_their_batches(spark, large_batches, name, monkeypatch):
+    for module, f in (("toxicity", "train"), ("toxicity", "drop_toxic"), ("decontamination", "clean_rows"), ("bpe_codec", "digests"), ("tables", "table")):
+        monkeypatch.setattr(getattr(corpus_pipeline, module), f, lambda *_: None)
+    dict(corpus_pipeline.STAGES)[name](spark, None, "")
+    assert spark.conf.get(LIMIT) == str(4 << 20)
+
+
 def test_smaller_limits_stay(spark, large_batches):
     for limit, then in (("1m", "1m"), ("65536b", "65536b"), ("1g", str(4 << 20))):
         spark.conf.set(LIMIT, limit)
