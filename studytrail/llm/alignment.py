@@ -6,10 +6,11 @@ took the place of its immutable one) give coarse cuts; tokens inside one charact
 a whole character or nothing, are cut by the number of their decoded bytes. Both must join to the bytes of
 the text, else the text has no tokens.
 
-Neither tokenizer joins anything across the border between a word and a blank, which is proven from both vocabularies when they are
-read; where it does not hold, texts are encoded whole. So a text is a row of chunks (blanks and a word), and each distinct
-chunk of a block of texts is encoded and aligned once. Blocks are stored with their chunks, links and link counts. Counts are
-added up over the corpus by id pair, and go back to the blocks that hold the pair.
+Neither tokenizer joins anything across the border between a word and a blank, nor across the one between a letter or digit and
+a mark (a comma, say) or a line's end, which is proven from both vocabularies when they are read; where the second does not hold,
+texts are cut at blanks alone, and where the first does not, they are encoded whole. So a text is a row of chunks (blanks and a word,
+or what follows it), and each distinct chunk of a block of texts is encoded and aligned once. Blocks are stored with their chunks,
+links and link counts. Counts are added up over the corpus by id pair, and go back to the blocks that hold the pair.
 
 Null and empty texts, and texts whose joined bytes differ (a literal U+2581 for example), have no tokens and all figures are 0.
 Rows with null or repeated ids are aligned like all others, and repeated texts count as often as they are there. A text of any length is
@@ -22,6 +23,7 @@ import functools
 import hashlib
 import itertools
 import json
+import operator
 import re
 from array import array
 from collections.abc import Iterator
@@ -40,6 +42,11 @@ from studytrail.llm.words import points, slices
 
 OTHER = SPACE.replace(" ", "", 1)  # white space but for the blank
 CHUNK = re.compile(rf"[{SPACE}]*[^{SPACE}]+(?:[{OTHER}][{SPACE}]*[^{SPACE}]+)*(?:[{OTHER}][{SPACE}]*\Z)?|[{SPACE}]+")
+LETTER = "0-9A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ώЀ-ҁҊ-ӿ"  # letters and digits in every version of Unicode in use
+AFTER = r"!-/:-@\[-`{-~\n"  # never in one pre-token of A with a letter or digit before it
+PARTS = re.compile(
+    rf"[{SPACE}]*+(?:(?:[^{SPACE}{LETTER}]++|[{LETTER}]++(?![{AFTER}])|[{OTHER}][{SPACE}]*+)+[{LETTER}]*|[{LETTER}]+)|[{SPACE}]+"
+)
 WHOLE = re.compile(r"(?s).+")
 MARK = "▁"  # a blank in B's pieces
 BLOCK = 6 << 20  # bytes of texts that are aligned together
@@ -79,8 +86,12 @@ class Pair:
         byte_level = before.get("type") == "ByteLevel" and before.get("use_regex", True) and data.get("normalizer") is None
         inner = re.compile(rf"[^{SPACE}{MARK}]{MARK}")
         self.chunk = CHUNK if byte_level and not any(inner.search(p) for p in pieces) else WHOLE
+        joint, named = re.compile(rf"[{LETTER}][{AFTER}]"), (self.b.is_byte, self.b.is_control, self.b.is_unknown)
+        if self.chunk is CHUNK and not any(joint.search(p) and not any(f(i) for f in named) for i, p in enumerate(pieces)):
+            self.chunk = PARTS
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.text_a, self.text_b = ([str(i) for i in range(len(t))] for t in (self.bytes_a, self.bytes_b))
+        # ids of A, then of B, each with what follows it in a group, and as the last of its side
+        self.written = [f"{i}{mark}" for n, last in ((len(self.bytes_a), "|"), (len(self.bytes_b), ";")) for i in range(n) for mark in (",", last)]
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
         """(ids of A, their byte ends, ids of B, their byte ends, bytes before each code point) of a text with a blank
@@ -92,19 +103,18 @@ class Pair:
         ids_a = coded.ids
         if b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw:
             return None
-        pieces = self.b.encode(text[1:], return_type="proto").pieces
-        pieces = list(pieces)
+        pieces = list(self.b.encode(text[1:], return_type="proto").pieces)
         ids_b = [p.id for p in pieces]
         if b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
             return None
-        offsets = at[np.array(coded.offsets, np.int64).reshape(-1, 2)]
+        offsets = at[np.fromiter(itertools.chain.from_iterable(coded.offsets), np.int64, 2 * len(ids_a)).reshape(-1, 2)]
         ids_a, ids_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-        begin, end = (np.array(x, np.int64) + 1 for x in ([p.begin for p in pieces], [p.end for p in pieces]))
+        begin, end = (np.fromiter(map(operator.attrgetter(x), pieces), np.int64, len(pieces)) + 1 for x in ("begin", "end"))
         begin[:1] = 0
         return ids_a, refined(offsets[:, 0], offsets[:, 1], self.len_a[ids_a]), ids_b, refined(begin, end, self.len_b[ids_b]), at
 
     def records(self, chunks: list[str]) -> list[tuple | None]:
-        """(n_a, n_b, n_groups, groups, link codes) of each chunk; all must start with a blank. None: no tokens."""
+        """(n_a, n_b, n_groups, groups, link codes) of each chunk of texts with a blank in front. None: no tokens."""
         if self.chunk is WHOLE:
             return [r for c in chunks for r in self._joined("", [c])]
         # white space at the end would join the next chunk's, and a literal mark is a blank to B
@@ -115,31 +125,39 @@ class Pair:
 
     def _joined(self, first: str, chunks: list[str]) -> list[tuple | None]:
         """Records of chunks encoded in a row after ``first``; one by one if they cannot be told apart."""
-        found = self.spans(first + "".join(chunks))
+        row, places = [], []
+        for c in chunks:
+            if first and c[0] != " ":  # stands after a letter or digit
+                row.append(first)
+            places.append(len(row))
+            row.append(c)
+        found = self.spans(first + "".join(row))
         if found is not None:
             ids_a, ends_a, ids_b, ends_b, at = found
-            ends = at[np.cumsum([len(first), *map(len, chunks)])]
+            ends = at[np.cumsum([len(first), *map(len, row)])]
             borders = ends if first else ends[1:]
             if np.isin(borders, ends_a).all() and np.isin(borders, ends_b).all():
-                return self._records(ids_a, ends_a, ids_b, ends_b, ends)
+                return self._records(ids_a, ends_a, ids_b, ends_b, ends, places)
         if len(chunks) == 1:
             return [None]
         return [r for c in chunks for r in self._joined(first, [c])]
 
-    def _records(self, ids_a, ends_a, ids_b, ends_b, ends) -> list[tuple]:
+    def _records(self, ids_a, ends_a, ids_b, ends_b, ends, places: list[int]) -> list[tuple]:
+        """Records of the chunks at these places, of all between the ends."""
         cuts = np.union1d(ends_a, ends_b)  # between two neighbouring cuts lies one token of each
         codes = ids_a[np.searchsorted(ends_a, cuts)] * len(self.bytes_b) + ids_b[np.searchsorted(ends_b, cuts)]
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        upto_a, upto_b = np.searchsorted(ends_a, common, "right").tolist(), np.searchsorted(ends_b, common, "right").tolist()
-        text_a, text_b = [self.text_a[i] for i in ids_a.tolist()], [self.text_b[i] for i in ids_b.tolist()]
-        groups, i, j = [], 0, 0
-        for k, m in zip(upto_a, upto_b, strict=True):
-            groups.append(f"{text_a[i]}|{text_b[j]}" if k - i == 1 == m - j else ",".join(text_a[i:k]) + "|" + ",".join(text_b[j:m]))
-            i, j = k, m
-        sides = (np.searchsorted(x, ends, "right").tolist() for x in (ends_a, ends_b, common, cuts))
+        upto_a, upto_b = (np.append(0, np.searchsorted(x, common, "right")) for x in (ends_a, ends_b))
+        group_a, group_b = (np.searchsorted(common, x) for x in (ends_a, ends_b))
+        written = np.empty(len(ids_a) + len(ids_b), np.int64)  # of each group A's tokens, then B's
+        written[np.arange(len(ids_a)) + upto_b[group_a]] = 2 * ids_a + (ends_a == common[group_a])
+        written[np.arange(len(ids_b)) + upto_a[group_b + 1]] = 2 * (ids_b + len(self.bytes_a)) + (ends_b == common[group_b])
+        written = list(map(self.written.__getitem__, written.tolist()))
+        a, b, g, c = (np.searchsorted(x, ends, "right").tolist() for x in (ends_a, ends_b, common, cuts))
         out = []
-        for (a0, a1), (b0, b1), (g0, g1), (c0, c1) in zip(*map(itertools.pairwise, sides), strict=True):
-            out.append((a1 - a0, b1 - b0, g1 - g0, ";".join(groups[g0:g1]), codes[c0:c1]))
+        for i in places:
+            a0, a1, b0, b1 = a[i], a[i + 1], b[i], b[i + 1]
+            out.append((a1 - a0, b1 - b0, g[i + 1] - g[i], "".join(written[a0 + b0 : a1 + b1])[:-1], codes[c[i] : c[i + 1]]))
         return out
 
 
@@ -157,7 +175,7 @@ class Chunks(dict):
     def __init__(self, pair: Pair):
         super().__init__()
         self.pair, self.new = pair, []
-        self.figures, self.groups, self.codes = array("q"), [], []
+        self.figures, self.groups, self.codes = array("q"), [], array("q")
         self.uses = np.zeros(0, np.int64)
 
     def __missing__(self, chunk: str) -> int:
@@ -169,22 +187,26 @@ class Chunks(dict):
         """The text's chunks by number."""
         cut = self.pair.chunk
         if len(text) <= LONG:
-            return np.array([self[c] for c in cut.findall(" " + text)], np.int64)
+            return np.array(list(map(self.__getitem__, cut.findall(" " + text))), np.int64)
         out, found = array("q"), (m.group() for m in cut.finditer(" " + text))
         while part := list(itertools.islice(found, 1 << 16)):
-            out.extend([self[c] for c in part])
+            out.extend(map(self.__getitem__, part))
             self.align()
         return np.frombuffer(out, np.int64)
 
     def align(self) -> None:
         for i in range(0, len(self.new), BATCH):
-            for record in self.pair.records(self.new[i : i + BATCH]):
-                n_a, n_b, n_groups, groups, codes = record or (0, 0, 0, None, NO_CODES)
-                self.figures.extend((n_a, n_b, n_groups, len(codes)))
-                self.groups.append(groups)
-                self.codes.append(codes)
+            records = [r or NO_TOKENS for r in self.pair.records(self.new[i : i + BATCH])]
+            self.figures.extend(itertools.chain.from_iterable((*r[:3], len(r[4])) for r in records))
+            self.groups.extend(r[3] for r in records)
+            self.codes.frombytes(np.concatenate([r[4] for r in records]).tobytes())
         self.new = []
 
+    def links(self, numbers: np.ndarray) -> np.ndarray:
+        """Link codes of these chunks, one after the other."""
+        sizes = np.frombuffer(self.figures, np.int64)[3::4]
+        starts, sizes = (np.cumsum(sizes) - sizes)[numbers], sizes[numbers]
+        return np.frombuffer(self.codes, np.int64)[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
 
     def used(self, times: np.ndarray) -> None:
         """Add how often each chunk came in a block."""
@@ -196,17 +218,18 @@ class Chunks(dict):
         out = Chunks(self.pair)
         if 2 * np.count_nonzero(self.uses > 1) > KEPT:
             return out
-        for number, chunk in enumerate(self):
-            if self.uses[number] > 1:
-                out[chunk] = len(out)
-                out.figures.extend(self.figures[4 * number : 4 * number + 4])
-                out.groups.append(self.groups[number])
-                out.codes.append(self.codes[number].copy())
+        kept = np.flatnonzero(self.uses > 1)
+        for number, chunk in enumerate(itertools.compress(self, (self.uses > 1).tolist())):
+            out[chunk] = number
+        out.figures.frombytes(np.frombuffer(self.figures, np.int64).reshape(-1, 4)[kept].tobytes())
+        out.groups = [self.groups[i] for i in kept.tolist()]
+        out.codes.frombytes(self.links(kept).tobytes())
         out.uses = np.ones(len(out), np.int64)
         return out
 
 
 NO_CODES = np.zeros(0, np.int64)
+NO_TOKENS = (0, 0, 0, None, NO_CODES)
 
 
 @functools.lru_cache(1)
@@ -215,7 +238,12 @@ def pair_of(a: str, b: str) -> Pair:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return values.astype(np.uint32).tobytes()
+    """First bytes of all values, then second ones: zeros lie together and pack well."""
+    return values.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel().astype(np.int64)
 
 
 def _block(known: Chunks, number: int, ids: list, texts: list[str | None]) -> pa.RecordBatch:
@@ -236,11 +264,13 @@ def _block(known: Chunks, number: int, ids: list, texts: list[str | None]) -> pa
         shas.append(digest.hexdigest())
         kept.append(row)
     sums = np.array([figures[row].sum(0) for row in kept]).reshape(-1, 4)
-    types, chunks = np.unique(np.concatenate(kept), return_inverse=True)
-    links = np.concatenate([NO_CODES, *(known.codes[i] for i in types.tolist())])
-    pairs, links = np.unique(links, return_inverse=True)
+    chunks = np.concatenate([NO_CODES, *kept])
+    times = np.bincount(chunks, minlength=len(known))
+    types = np.flatnonzero(times)
+    chunks = (np.cumsum(times > 0) - 1)[chunks]
+    pairs, links = np.unique(known.links(types), return_inverse=True)
     type_links = figures[types, 3]
-    times = np.repeat(np.bincount(chunks, minlength=len(types)), type_links)
+    times = np.repeat(times[types], type_links)
     counts = np.bincount(links, times, len(pairs)).astype(np.int64) if len(pairs) else NO_CODES
     lists = [pa.array([list(ids)], pa.list_(pa.int64())), *(pa.array([sums[:, i].tolist()], pa.list_(pa.int32())) for i in range(4)), pa.array([shas], pa.list_(pa.string()))]
     packed = (_packed(np.array([len(r) for r in kept])), _packed(chunks), _packed(type_links), _packed(links))
@@ -302,7 +332,7 @@ def aligned(docs: DataFrame, a: str, b: str) -> DataFrame:
 
 def _figures(row: dict) -> pa.RecordBatch:
     """The rows of one block's documents, with the corpus's counts of their links added up."""
-    sizes, chunks, type_links, links = (np.frombuffer(row[c].as_py(), np.uint32).astype(np.int64) for c in ("sizes", "chunks", "type_links", "links"))
+    sizes, chunks, type_links, links = (_unpacked(row[c].as_py()) for c in ("sizes", "chunks", "type_links", "links"))
     sums = np.zeros((len(sizes), 2), np.int64)
     if len(links):
         place = row["place"].values.to_numpy()
