@@ -18,6 +18,7 @@ an empty one. Other columns are not read, so their names don't matter; drop_toxi
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -80,7 +81,6 @@ def constant(share: float) -> Machine:
 def fit(x: np.ndarray, y: np.ndarray, row_weight: np.ndarray, steps: int = 150, rate: float = 0.05, decay: float = 1e-5):
     """(bias, weights, factors) of a machine over 0/1 columns, by Adam on the weighted log loss."""
     n, d = x.shape
-    x = x.astype(np.float32)
     share = row_weight / row_weight.sum()
     prior = float((share * y).sum())
     rng = np.random.default_rng(7)
@@ -90,7 +90,7 @@ def fit(x: np.ndarray, y: np.ndarray, row_weight: np.ndarray, steps: int = 150,
         b, w, v = p
         grads = [np.zeros_like(a) for a in p]
         for at in range(0, n, 2000):
-            part = x[at : at + 2000]
+            part = x[at : at + 2000].astype(np.float32)
             xv = part @ v.astype(np.float32)
             z = b[0] + part @ w.astype(np.float32) + 0.5 * ((xv * xv).sum(1) - part @ (v * v).sum(1).astype(np.float32))
             e = (share[at : at + 2000] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[at : at + 2000])).astype(np.float32)
@@ -132,30 +132,64 @@ def pair_scores(one: np.ndarray, two: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.minimum(among(w[0][0][:, None], w[0][1][:, None]), among(w[1][0][None, :], w[1][1][None, :]))
 
 
-def pair_bests(spark, bits: np.ndarray, y: np.ndarray, columns: int) -> np.ndarray:
-    """Highest pair score of each column, by tasks over pairs of blocks; bits has the rows' columns as packed bits."""
-    blocks = -(-columns // SIDE)
-    pairs = [(i, j) for i in range(blocks) for j in range(i, blocks)]
+def column_blocks(data: DataFrame, tags: np.ndarray) -> DataFrame:
+    """(block, bits): for each SIDE columns the sample's rows, in the order of tags, as packed and compressed bits."""
+
+    def dealt(batches):
+        for b in batches:
+            out = []
+            for tag, found in zip(b["tag"].to_pylist(), b["at"].to_pylist(), strict=True):
+                at = np.frombuffer(found, np.int32)
+                blocks, start = np.unique(at // SIDE, return_index=True)
+                parts = np.split((at % SIDE).astype(np.int16), start[1:])
+                out += [(k, tag, part.tobytes()) for k, part in zip(blocks.tolist(), parts, strict=False)]
+            kinds = (pa.int32(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=["block", "tag", "at"])
+
+    def packed(batches):
+        for b in batches:
+            for block, rows in zip(b["block"].to_pylist(), b["rows"], strict=True):
+                bits = np.zeros((len(tags), SIDE), np.uint8)
+                for r in rows.as_py():
+                    bits[np.searchsorted(tags, r["tag"]), np.frombuffer(r["at"], np.int16)] = 1
+                bits = zlib.compress(np.packbits(bits, axis=1).tobytes(), 1)
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bits], pa.binary())], names=["block", "bits"])
+
+    rows = data.mapInArrow(dealt, "block int, tag bigint, at binary").groupBy("block")
+    return rows.agg(F.collect_list(F.struct("tag", "at")).alias("rows")).mapInArrow(packed, "block int, bits binary")
+
+
+def pair_bests(blocks: DataFrame, y: np.ndarray, columns: int) -> np.ndarray:
+    """Highest pair score of each column, by tasks over pairs of blocks of column_blocks(); y is in the order of its tags."""
+    n = -(-columns // SIDE)
 
     def work(batches):
-        cut = lambda at: np.unpackbits(bits[:, at // 8 : (at + STEP) // 8], axis=1)
+        bits = lambda packed: np.frombuffer(zlib.decompress(packed.as_py()), np.uint8).reshape(len(y), SIDE // 8)
+        cut = lambda block, at: np.unpackbits(block[:, at // 8 : (at + STEP) // 8], axis=1)
         for b in batches:
-            for i, j in (pairs[k] for k in b["id"].to_pylist()):
+            for i, j, one_bits, two_bits in zip(b["i"].to_pylist(), b["j"].to_pylist(), b["one"], b["two"], strict=True):
+                one_bits, two_bits = bits(one_bits), bits(two_bits)
                 best = np.zeros((2, SIDE))
                 for k in range(0, SIDE, STEP):
-                    one = cut(i * SIDE + k)
+                    one = cut(one_bits, k)
                     for m in range(0, SIDE, STEP):
-                        g = pair_scores(one, cut(j * SIDE + m), y)
+                        g = pair_scores(one, cut(two_bits, m), y)
                         best[0, k : k + STEP] = np.maximum(best[0, k : k + STEP], g.max(1))
                         best[1, m : m + STEP] = np.maximum(best[1, m : m + STEP], g.max(0))
                 best, at = best.ravel(), np.concatenate([i * SIDE + np.arange(SIDE), j * SIDE + np.arange(SIDE)])
                 high = best > PAIR_G
                 yield pa.RecordBatch.from_arrays([pa.array(at[high], pa.int64()), pa.array(best[high], pa.float64())], names=["at", "g"])
 
-    found = spark.range(0, len(pairs), 1, max(1, len(pairs))).mapInArrow(work, "at bigint, g double")
-    found = found.groupBy("at").agg(F.max("g").alias("g")).toPandas()
+    # i and the blocks up to half a turn after it: every pair once, one a task
+    total = n * (n + 1) // 2
+    pairs = blocks.sparkSession.range(0, total, 1, total)
+    pairs = pairs.select(F.expr(f"int(id % {n})").alias("i"), F.expr(f"int((id % {n} + id div {n}) % {n})").alias("j"))
+    for place, name in (("i", "one"), ("j", "two")):
+        pairs = pairs.join(F.broadcast(blocks.select(F.col("block").alias(place), F.col("bits").alias(name))), place)
+    found = pairs.select("i", "j", "one", "two").mapInArrow(work, "at bigint, g double")
+    found = found.groupBy("at").agg(F.max("g").alias("g")).toArrow()
     out = np.zeros(columns)
-    out[found["at"].to_numpy(np.int64)] = found["g"].to_numpy()
+    out[found["at"].to_numpy()] = found["g"].to_numpy()
     return out
 
 
@@ -231,31 +265,40 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, folds: int = FOL
     # no pair can gain more than its members' rows leave open
     counts = counts.select("*", association(found[1], found[0]).alias("g"), (2 * (_xlogx(total) - split)).alias("open"))
     columns = counts.where((F.col("g") > LEAST_G) | (F.col("open") > PAIR_G)).groupBy("with_1", "with_0", "rows")
-    columns = columns.agg(F.max("g").alias("g"), F.sort_array(F.collect_list("term")).alias("terms")).toPandas()
-    members = [np.array(t, np.uint32) for t in columns["terms"]]
-    order = np.argsort([m[0] for m in members]) if members else []
-    members, single = [members[k] for k in order], columns["g"].to_numpy(np.float64)[order]
+    columns = columns.agg(F.max("g").alias("g"), F.sort_array(F.collect_list("term")).alias("terms")).toArrow()
+    terms = columns["terms"].combine_chunks()
+    members = np.split(terms.flatten().to_numpy().astype(np.uint32), np.cumsum(terms.value_lengths().to_numpy())[:-1]) if len(terms) else []
+    order = np.argsort([m[0] for m in members]) if members else np.zeros(0, np.int64)
+    members, single = [members[k] for k in order], columns["g"].to_numpy()[order]
     known = np.array([m[0] for m in members], np.uint32)
+    del columns, terms
 
     def screened(batches):
         for b in batches:
             at = [places(known, np.frombuffer(t, np.uint32)).astype(np.int32).tobytes() for t in b["terms"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["y"], pa.array(at, pa.binary())], names=["y", "at"])
-
-    data = chosen.mapInArrow(screened, "y int, at binary").toPandas()  # 2 * rows rows of known columns
-    data = data.sort_values(["y", "at"], ignore_index=True)
-    y = data["y"].to_numpy(np.float64)
-    bits = np.zeros((len(data), -(-len(known) // SIDE) * SIDE // 8), np.uint8)
-    for i, at in enumerate(data["at"]):
-        row = np.zeros(8 * bits.shape[1], np.uint8)
-        row[np.frombuffer(at, np.int32)] = 1
-        bits[i] = np.packbits(row)
-    del data
-    g = np.maximum(single, pair_bests(chosen.sparkSession, bits, y, len(known))) if len(known) else single
+            yield pa.RecordBatch.from_arrays([b["y"], b["tag"], pa.array(at, pa.binary())], names=["y", "tag", "at"])
+
+    data = chosen.mapInArrow(screened, "y int, tag bigint, at binary")
+    g = single
+    if len(known):
+        rows_y = chosen.select("tag", "y").toArrow().sort_by("tag")  # 2 * rows rows
+        blocks = tables.stored(column_blocks(data, rows_y["tag"].to_numpy()), "blocks")
+        g = np.maximum(single, pair_bests(blocks, rows_y["y"].to_numpy(), len(known)))
     g[(single <= LEAST_G) & (g <= PAIR_G)] = 0
     best = np.argsort(-g, kind="stable")[:TERMS]
     best = np.sort(best[g[best] > 0])
-    x = (bits[:, best // 8] >> (7 - best % 8).astype(np.uint8)) & 1
+
+    def picked(batches):
+        for b in batches:
+            at = [places(best, np.frombuffer(t, np.int32)).astype(np.int32).tobytes() for t in b["at"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["y"], pa.array(at, pa.binary())], names=["y", "at"])
+
+    # only the chosen columns come to the driver; rows are in one order, so that sums round alike in every run
+    data = data.orderBy("y", "at").mapInArrow(picked, "y int, at binary").toArrow()
+    y = data["y"].to_numpy().astype(np.float64)
+    x = np.zeros((len(y), len(best)), np.uint8, order="F")
+    for i, at in enumerate(data["at"]):
+        x[i, np.frombuffer(at.as_py(), np.int32)] = 1
     weight = np.where(y == 1, n[1] / found[1], n[0] / found[0])
     return spread([members[k] for k in best], *fit(x, y, weight))
 

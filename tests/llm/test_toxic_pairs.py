@@ -1,5 +1,7 @@
 """Toxicity that no term shows alone, learnt and judged through train()."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -62,3 +64,53 @@ def test_equal_terms_are_one_column():
     for some in ([], [0], [0, 1], [0, 2], [0, 1, 2]):
         whole = np.sort(np.concatenate([np.zeros(0, np.uint32), *(groups[k] for k in some)]))
         assert machine.score(whole) == pytest.approx(plain.score(np.array(some, np.uint32)))
+
+
+def test_only_chosen_columns_come_to_the_driver(spark, monkeypatch):
+    """300 words are common enough to be screened; one of them and its beginnings tell the classes apart."""
+    rng = np.random.default_rng(12)
+    words = ["".join(rng.choice(list("abcdefghij"), 9)) for _ in range(300)]
+    rows = [(i, " ".join([*rng.choice(words, 60), *(["zzlomur"] if i % 2 else [])]), i % 2) for i in range(600)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    taken, to_arrow = [], type(table).toArrow
+
+    def watched(df):
+        taken.append(to_arrow(df))
+        return taken[-1]
+
+    monkeypatch.setattr(type(table), "toArrow", watched)
+    monkeypatch.setattr(type(table), "toPandas", lambda df: pytest.fail("rows of the sample become objects of the driver"))
+    machine = toxicity.train(table, table.select("doc_id", "toxic"))
+    assert 0 < len(machine.terms) < 50
+    screened = max(t.num_rows for t in taken if "terms" in t.column_names)
+    assert screened > 300
+    most = max(len(at.as_py()) // 4 for t in taken if {"y", "at"} <= set(t.column_names) for at in t["at"])
+    assert most <= len(machine.terms)
+
+
+@pytest.mark.parametrize("columns", [0, 5, 20, 33, 60])  # up to four blocks, the last one in part
+def test_pairs_of_all_blocks(spark, monkeypatch, columns):
+    monkeypatch.setattr(toxicity, "SIDE", 16)
+    monkeypatch.setattr(toxicity, "STEP", 8)
+    monkeypatch.setattr(toxicity, "PAIR_G", 0.5)
+    rng = np.random.default_rng(columns)
+    x, tags = rng.random((90, columns)) < 0.4, np.sort(rng.choice(1 << 40, 90, replace=False))
+    y = (rng.random(90) < 0.5).astype(np.int32)
+    rows = [(int(tag), bytearray(np.flatnonzero(r).astype(np.int32).tobytes())) for tag, r in zip(tags, x, strict=True)]
+    data = spark.createDataFrame(rows[::-1], "tag bigint, at binary")
+    if columns:
+        blocks = toxicity.column_blocks(data, tags)
+        best = toxicity.pair_scores(x.astype(np.uint8), x.astype(np.uint8), y).max(1)
+        assert toxicity.pair_bests(blocks, y, columns) == pytest.approx(np.where(best > 0.5, best, 0))
+    else:
+        assert toxicity.column_blocks(data, tags).count() == 0
+
+
+def test_fitting_takes_rows_in_parts():
+    x = np.zeros((20_000, 200), np.uint8, order="F")
+    x[::2, 0] = 1
+    tracemalloc.start()
+    toxicity.fit(x, x[:, 0].astype(float), np.ones(len(x)), steps=1)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < x.nbytes * 2  # numbers of four bytes for all rows take four times as much
