@@ -18,6 +18,7 @@ an empty one. Other columns are not read, so their names don't matter; drop_toxi
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from dataclasses import dataclass
 
@@ -146,29 +147,32 @@ def column_blocks(data: DataFrame, tags: np.ndarray) -> DataFrame:
             kinds = (pa.int32(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=["block", "tag", "at"])
 
-    def packed(batches):
+    def rows_of(batches):
         for b in batches:
-            for block, rows in zip(b["block"].to_pylist(), b["rows"], strict=True):
-                bits = np.zeros((len(tags), SIDE), np.uint8)
-                for r in rows.as_py():
-                    bits[np.searchsorted(tags, r["tag"]), np.frombuffer(r["at"], np.int16)] = 1
-                bits = zlib.compress(np.packbits(bits, axis=1).tobytes(), 1)
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bits], pa.binary())], names=["block", "bits"])
+            yield from zip(*(b[c].to_pylist() for c in ("block", "tag", "at")), strict=True)
+
+    def packed(batches):
+        for block, rows in itertools.groupby(rows_of(batches), lambda r: r[0]):
+            bits = np.zeros((len(tags), SIDE), np.uint8)
+            for _, tag, at in rows:
+                bits[np.searchsorted(tags, tag), np.frombuffer(at, np.int16)] = 1
+            bits = zlib.compress(np.packbits(bits, axis=1).tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bits], pa.binary())], names=["block", "bits"])
 
-    rows = data.mapInArrow(dealt, "block int, tag bigint, at binary").groupBy("block")
-    return rows.agg(F.collect_list(F.struct("tag", "at")).alias("rows")).mapInArrow(packed, "block int, bits binary")
+    rows = data.mapInArrow(dealt, "block int, tag bigint, at binary").repartition("block").sortWithinPartitions("block")
+    return rows.mapInArrow(packed, "block int, bits binary")
 
 
-def pair_bests(blocks: DataFrame, y: np.ndarray, columns: int) -> np.ndarray:
-    """Highest pair score of each column, by tasks over pairs of blocks of column_blocks(); y is in the order of its tags."""
-    n = -(-columns // SIDE)
+def pair_bests(spark, blocks: list[bytes], y: np.ndarray, columns: int) -> np.ndarray:
+    """Highest pair score of each column, by tasks over pairs of blocks; they have the bits of column_blocks(), y the order of its tags."""
+    pairs = [(i, j) for i in range(len(blocks)) for j in range(i, len(blocks))]
 
     def work(batches):
-        bits = lambda packed: np.frombuffer(zlib.decompress(packed.as_py()), np.uint8).reshape(len(y), SIDE // 8)
+        bits = lambda k: np.frombuffer(zlib.decompress(blocks[k]), np.uint8).reshape(len(y), SIDE // 8)
         cut = lambda block, at: np.unpackbits(block[:, at // 8 : (at + STEP) // 8], axis=1)
         for b in batches:
-            for i, j, one_bits, two_bits in zip(b["i"].to_pylist(), b["j"].to_pylist(), b["one"], b["two"], strict=True):
-                one_bits, two_bits = bits(one_bits), bits(two_bits)
+            for i, j in (pairs[k] for k in b["id"].to_pylist()):
+                one_bits, two_bits = bits(i), bits(j)
                 best = np.zeros((2, SIDE))
                 for k in range(0, SIDE, STEP):
                     one = cut(one_bits, k)
@@ -180,13 +184,7 @@ def pair_bests(blocks: DataFrame, y: np.ndarray, columns: int) -> np.ndarray:
                 high = best > PAIR_G
                 yield pa.RecordBatch.from_arrays([pa.array(at[high], pa.int64()), pa.array(best[high], pa.float64())], names=["at", "g"])
 
-    # i and the blocks up to half a turn after it: every pair once, one a task
-    total = n * (n + 1) // 2
-    pairs = blocks.sparkSession.range(0, total, 1, total)
-    pairs = pairs.select(F.expr(f"int(id % {n})").alias("i"), F.expr(f"int((id % {n} + id div {n}) % {n})").alias("j"))
-    for place, name in (("i", "one"), ("j", "two")):
-        pairs = pairs.join(F.broadcast(blocks.select(F.col("block").alias(place), F.col("bits").alias(name))), place)
-    found = pairs.select("i", "j", "one", "two").mapInArrow(work, "at bigint, g double")
+    found = spark.range(0, len(pairs), 1, max(1, len(pairs))).mapInArrow(work, "at bigint, g double")
     found = found.groupBy("at").agg(F.max("g").alias("g")).toArrow()
     out = np.zeros(columns)
     out[found["at"].to_numpy()] = found["g"].to_numpy()
@@ -282,8 +280,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, folds: int = FOL
     g = single
     if len(known):
         rows_y = chosen.select("tag", "y").toArrow().sort_by("tag")  # 2 * rows rows
-        blocks = tables.stored(column_blocks(data, rows_y["tag"].to_numpy()), "blocks")
-        g = np.maximum(single, pair_bests(blocks, rows_y["y"].to_numpy(), len(known)))
+        blocks = column_blocks(data, rows_y["tag"].to_numpy()).toArrow().sort_by("block")["bits"].to_pylist()
+        g = np.maximum(single, pair_bests(chosen.sparkSession, blocks, rows_y["y"].to_numpy(), len(known)))
+        del blocks
     g[(single <= LEAST_G) & (g <= PAIR_G)] = 0
     best = np.argsort(-g, kind="stable")[:TERMS]
     best = np.sort(best[g[best] > 0])

@@ -98,12 +98,10 @@ def test_pairs_of_all_blocks(spark, monkeypatch, columns):
     y = (rng.random(90) < 0.5).astype(np.int32)
     rows = [(int(tag), bytearray(np.flatnonzero(r).astype(np.int32).tobytes())) for tag, r in zip(tags, x, strict=True)]
     data = spark.createDataFrame(rows[::-1], "tag bigint, at binary")
-    if columns:
-        blocks = toxicity.column_blocks(data, tags)
-        best = toxicity.pair_scores(x.astype(np.uint8), x.astype(np.uint8), y).max(1)
-        assert toxicity.pair_bests(blocks, y, columns) == pytest.approx(np.where(best > 0.5, best, 0))
-    else:
-        assert toxicity.column_blocks(data, tags).count() == 0
+    blocks = toxicity.column_blocks(data, tags).toArrow().sort_by("block")
+    assert blocks["block"].to_pylist() == list(range(-(-columns // 16)))
+    best = toxicity.pair_scores(x.astype(np.uint8), x.astype(np.uint8), y).max(1, initial=0)
+    assert toxicity.pair_bests(spark, blocks["bits"].to_pylist(), y, columns) == pytest.approx(np.where(best > 0.5, best, 0))
 
 
 def test_fitting_takes_rows_in_parts():
