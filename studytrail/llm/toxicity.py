@@ -276,7 +276,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS, folds: int = FOL
             at = [places(known, np.frombuffer(t, np.uint32)).astype(np.int32).tobytes() for t in b["terms"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["y"], b["tag"], pa.array(at, pa.binary())], names=["y", "tag", "at"])
 
-    data = chosen.mapInArrow(screened, "y int, tag bigint, at binary")
+    # stored, as two Python functions in one stage take two workers a task, which executors then keep
+    data = tables.stored(chosen.mapInArrow(screened, "y int, tag bigint, at binary"), "screened")
     g = single
     if len(known):
         rows_y = chosen.select("tag", "y").toArrow().sort_by("tag")  # 2 * rows rows
