@@ -9,8 +9,9 @@ the text, else the text has no tokens.
 Neither tokenizer joins anything across the border between a word and a blank, nor across the one between a letter or digit and
 a mark (a comma, say) or a line's end, which is proven from both vocabularies when they are read; where the second does not hold,
 texts are cut at blanks alone, and where the first does not, they are encoded whole. So a text is a row of chunks (blanks and a word,
-or what follows it), and each distinct chunk of a block of texts is encoded and aligned once. Blocks are stored with their chunks,
-links and link counts. Counts are added up over the corpus by id pair, and go back to the blocks that hold the pair.
+or what follows it), and each distinct chunk of a block of texts is encoded and aligned once. Of a block are stored its texts by chunk
+number, links by chunk and link counts, in rows of one text or up to ``PART`` numbers. Counts are added up over the corpus by id pair, and
+go back to the blocks that hold the pair, where they meet links and texts in this order.
 
 Null and empty texts, and texts whose joined bytes differ (a literal U+2581 for example), have no tokens and all figures are 0.
 Rows with null or repeated ids are aligned like all others, and repeated texts count as often as they are there. A text of any length is
@@ -38,7 +39,8 @@ from tokenizers import Tokenizer
 
 from studytrail.llm.bpe import SPACE, byte_letters
 from studytrail.llm.tables import stored
-from studytrail.llm.words import points, slices
+from studytrail.llm.words import points
+from studytrail.session import bounded_batches
 
 OTHER = SPACE.replace(" ", "", 1)  # white space but for the blank
 CHUNK = re.compile(rf"[{SPACE}]*[^{SPACE}]+(?:[{OTHER}][{SPACE}]*[^{SPACE}]+)*(?:[{OTHER}][{SPACE}]*\Z)?|[{SPACE}]+")
@@ -53,11 +55,14 @@ BLOCK = 6 << 20  # bytes of texts that are aligned together
 LONG = 1 << 20  # code points of a text that is cut lazily
 BATCH = 1 << 12  # chunks encoded at once
 KEPT = 300_000  # distinct chunks after which a worker lets go of those that came once
-INTS = "array<int>"
+PART = 1 << 15  # pairs, or chunks with their links, in one row of a block
+PAIRS, TYPES, TEXTS = range(3)  # kinds of rows, as they are read
 BLOCKS = (
-    f"block bigint, doc_ids array<bigint>, n_a {INTS}, n_b {INTS}, n_groups {INTS}, n_links {INTS}, shas array<string>, "
-    "sizes binary, chunks binary, type_links binary, links binary, pairs array<bigint>, counts array<bigint>"
+    "block bigint, kind int, place int, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, sha string, chunks binary, "
+    "type_links binary, links binary, pairs array<bigint>, counts array<bigint>"
 )
+ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+COLUMNS = {name: ARROW[kind] for name, kind in (c.split() for c in BLOCKS.split(","))}
 RESULT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
 
@@ -246,7 +251,14 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel().astype(np.int64)
 
 
-def _block(known: Chunks, number: int, ids: list, texts: list[str | None]) -> pa.RecordBatch:
+def _rows(block: int, kind: int, n: int, **columns: list) -> pa.RecordBatch:
+    """n rows of a block; columns that are not named are null."""
+    columns |= {"block": [block] * n, "kind": [kind] * n}
+    arrays = [pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in COLUMNS.items()]
+    return pa.RecordBatch.from_arrays(arrays, names=list(COLUMNS))
+
+
+def _block(known: Chunks, number: int, ids: list, texts: list[str | None], part: int) -> Iterator[pa.RecordBatch]:
     rows = [known.numbers(t) if t else NO_CODES for t in texts]
     known.align()
     figures = np.frombuffer(known.figures, np.int64).reshape(-1, 4).copy()
@@ -264,32 +276,49 @@ def _block(known: Chunks, number: int, ids: list, texts: list[str | None]) -> pa
         shas.append(digest.hexdigest())
         kept.append(row)
     sums = np.array([figures[row].sum(0) for row in kept]).reshape(-1, 4)
-    chunks = np.concatenate([NO_CODES, *kept])
-    times = np.bincount(chunks, minlength=len(known))
+    times = np.bincount(np.concatenate([NO_CODES, *kept]), minlength=len(known))
     types = np.flatnonzero(times)
-    chunks = (np.cumsum(times > 0) - 1)[chunks]
+    renumbered = np.cumsum(times > 0) - 1
+    chunks = [_packed(renumbered[row]) for row in kept]
+    yield _rows(
+        number, TEXTS, len(ids), doc_id=ids, sha=shas, chunks=chunks, **{c: sums[:, i] for i, c in enumerate(("n_a", "n_b", "n_groups", "n_links"))}
+    )
     pairs, links = np.unique(known.links(types), return_inverse=True)
     type_links = figures[types, 3]
     times = np.repeat(times[types], type_links)
     counts = np.bincount(links, times, len(pairs)).astype(np.int64) if len(pairs) else NO_CODES
-    lists = [pa.array([list(ids)], pa.list_(pa.int64())), *(pa.array([sums[:, i].tolist()], pa.list_(pa.int32())) for i in range(4)), pa.array([shas], pa.list_(pa.string()))]
-    packed = (_packed(np.array([len(r) for r in kept])), _packed(chunks), _packed(type_links), _packed(links))
-    columns = [pa.array([number], pa.int64()), *lists, *(pa.array([x], pa.binary()) for x in packed)]
-    columns += [pa.array([x], pa.list_(pa.int64())) for x in (pairs, counts)]
-    return pa.RecordBatch.from_arrays(columns, names=[c.strip().split(" ")[0] for c in BLOCKS.split(",")])
+    for i in range(0, len(pairs), part):
+        yield _rows(number, PAIRS, 1, place=[i], pairs=[pairs[i : i + part]], counts=[counts[i : i + part]])
+    ends = np.append(0, np.cumsum(type_links))
+    for i in range(0, len(types), part):
+        some = type_links[i : i + part]
+        yield _rows(number, TYPES, 1, place=[i], type_links=[_packed(some)], links=[_packed(links[ends[i] : ends[i + len(some)]])])
+
+
+def _gathered(batches, size: int) -> Iterator[tuple[list, list[str | None]]]:
+    """ids and texts of not much more than ``size`` bytes, whatever the batches."""
+    ids, texts, held = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+            ids.append(doc_id)
+            texts.append(text.as_py())
+            held += len(texts[-1] or "")
+            if held > size:
+                yield ids, texts
+                ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
 
 
 def blocks(docs: DataFrame, a: str, b: str) -> DataFrame:
-    """A row for each block of texts: figures and digests by document, chunks by number, links of each chunk, pairs and counts."""
+    """Rows of blocks of texts: figures, digest and chunk numbers of each text; links of each chunk; pairs of ids with their counts."""
 
     def work(batches) -> Iterator[pa.RecordBatch]:
         known, number = Chunks(pair_of(a, b)), TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for at, texts in slices(batch["text"], BLOCK):
-                if len(known) > KEPT:
-                    known = known.again()
-                yield _block(known, number, batch["doc_id"][at : at + len(texts)].to_pylist(), texts)
-                number += 1
+        for number, (ids, texts) in enumerate(_gathered(batches, BLOCK), number):
+            if len(known) > KEPT:
+                known = known.again()
+            yield from _block(known, number, ids, texts, PART)
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, BLOCKS)
 
@@ -314,36 +343,52 @@ def link_counts(made: DataFrame, a: str, b: str) -> DataFrame:
 
 def aligned(docs: DataFrame, a: str, b: str) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of every document."""
-    path = pair_of(a, b)
+    bounded_batches(docs.sparkSession)
     made = stored(blocks(docs, a, b), "alignment")
-    counts = pair_counts(made, len(path.bytes_b))
-    held = made.select("block", F.posexplode("pairs").alias("place", "pair"))
-    known = held.join(counts, "pair").groupBy("block").agg(F.collect_list(F.struct("place", "count", "best")).alias("known"))
-    known = known.select("block", *(F.col(f"known.{c}").alias(c) for c in ("place", "count", "best")))
-    columns = ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "shas", "sizes", "chunks", "type_links", "links")
-
-    def work(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                yield _figures({c: batch[c][i] for c in batch.schema.names})
-
-    return made.select("block", *columns).join(known, "block", "left").mapInArrow(work, RESULT)
-
-
-def _figures(row: dict) -> pa.RecordBatch:
-    """The rows of one block's documents, with the corpus's counts of their links added up."""
-    sizes, chunks, type_links, links = (_unpacked(row[c].as_py()) for c in ("sizes", "chunks", "type_links", "links"))
+    counts = pair_counts(made, len(pair_of(a, b).bytes_b))
+    held = made.where(F.col("kind") == PAIRS).select("block", F.col("place").alias("first"), F.posexplode("pairs").alias("place", "pair"))
+    held = held.select("block", (F.col("first") + F.col("place")).alias("place"), "pair")
+    known = held.join(counts, "pair").select("block", F.lit(PAIRS).alias("kind"), "place", "count", "best")
+    rows = made.where(F.col("kind") != PAIRS).drop("pairs", "counts").unionByName(known, allowMissingColumns=True)
+    return rows.repartition("block").sortWithinPartitions("block", "kind", "place").mapInArrow(_figures, RESULT)
+
+
+def _figures(batches) -> Iterator[pa.RecordBatch]:
+    """The rows of the blocks' documents, with the corpus's counts of their links added up. Rows come by block and kind."""
+    block, pairs, types, by_type = None, [], [], None
+    for batch in batches:
+        keys = np.stack([batch[c].to_numpy() for c in ("block", "kind")], axis=1)
+        edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for at, end in itertools.pairwise(edges):
+            rows = batch.slice(at, end - at)
+            if end > at and keys[at, 0] != block:
+                block, pairs, types, by_type = keys[at, 0], [], [], None
+            if end > at and keys[at, 1] == PAIRS:
+                pairs.append([rows[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("best", "count")])
+            elif end > at and keys[at, 1] == TYPES:
+                types += [[_unpacked(rows[c][i].as_py()) for c in ("type_links", "links")] for i in range(len(rows))]
+            elif end > at:
+                if by_type is None:
+                    by_type = _by_type(pairs, types)
+                yield _documents(rows, by_type)
+
+
+def _by_type(pairs: list, types: list) -> np.ndarray:
+    """Of each chunk: links that are the highest of their B id, and the sum of their counts."""
+    if not types:
+        return np.zeros((0, 2), np.int64)
+    by_pair = np.stack([np.concatenate(x) for x in zip(*pairs, strict=True)], axis=1)
+    return np.concatenate([np.add.reduceat(by_pair[links], np.cumsum(n) - n, axis=0) for n, links in types])
+
+
+def _documents(rows: pa.RecordBatch, by_type: np.ndarray) -> pa.RecordBatch:
+    chunks = [_unpacked(x.as_py()) for x in rows["chunks"]]
+    sizes = np.array([len(x) for x in chunks])
     sums = np.zeros((len(sizes), 2), np.int64)
-    if len(links):
-        place = row["place"].values.to_numpy()
-        by_pair = np.zeros((len(place), 2), np.int64)
-        by_pair[place, 0] = row["best"].values.to_numpy(zero_copy_only=False)
-        by_pair[place, 1] = row["count"].values.to_numpy()
-        by_type = np.add.reduceat(by_pair[links], np.cumsum(type_links) - type_links, axis=0)
-        filled = np.flatnonzero(sizes)
-        sums[filled] = np.add.reduceat(by_type[chunks], (np.cumsum(sizes) - sizes)[filled], axis=0)
-    figures = [row[c].values.cast(pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")]
+    filled = np.flatnonzero(sizes)
+    if len(filled):
+        sums[filled] = np.add.reduceat(by_type[np.concatenate(chunks)], (np.cumsum(sizes) - sizes)[filled], axis=0)
     return pa.RecordBatch.from_arrays(
-        [row["doc_ids"].values, *figures, pa.array(sums[:, 0]), pa.array(sums[:, 1]), row["shas"].values],
+        [*(rows[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")), pa.array(sums[:, 0]), pa.array(sums[:, 1]), rows["sha"]],
         names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     )
